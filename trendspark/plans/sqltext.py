@@ -1,0 +1,79 @@
+"""Small dialect macros so one report text serves Spark SQL and the DuckDB oracle.
+
+Macros (balanced parentheses are handled):
+
+* ``RND(x, n)``   HALF_UP round; Spark ``ROUND``, DuckDB via decimal text
+* ``SUMI(x)``     integer sum; DuckDB's HUGEINT is cast back to BIGINT
+* ``DBL(1.5)``    a DOUBLE literal (a bare ``1.5`` is DECIMAL in both)
+* ``SORTED_SET(x)`` sorted distinct list of ``x``
+* ``DAYS_BEFORE(d, n)`` the DATE ``n`` days before ``d``
+"""
+
+from __future__ import annotations
+
+from trendspark.oracle.duckdb_sql import hr
+
+
+def _split_args(body: str) -> list[str]:
+    args, depth, cur = [], 0, []
+    for ch in body:
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        if ch == "," and depth == 0:
+            args.append("".join(cur).strip())
+            cur = []
+        else:
+            cur.append(ch)
+    args.append("".join(cur).strip())
+    return args
+
+
+def _expand(text: str, name: str, render) -> str:
+    token = name + "("
+    while True:
+        start = text.find(token)
+        if start < 0:
+            return text
+        if start > 0 and (text[start - 1].isalnum() or text[start - 1] == "_"):
+            # part of a longer identifier; skip by temporarily masking
+            head, tail = text[: start + len(token)], text[start + len(token):]
+            return head + _expand(tail, name, render)
+        i, depth = start + len(token), 1
+        while depth:
+            if text[i] == "(":
+                depth += 1
+            elif text[i] == ")":
+                depth -= 1
+            i += 1
+        args = _split_args(text[start + len(token): i - 1])
+        text = text[:start] + render(*args) + text[i:]
+
+
+_SPARK = {
+    "RND": lambda x, n: f"ROUND({x}, {n})",
+    "SUMI": lambda x: f"SUM({x})",
+    "DBL": lambda x: f"{x}D",
+    "SORTED_SET": lambda x: f"sort_array(collect_set({x}))",
+    "DAYS_BEFORE": lambda d, n: f"date_sub({d}, {n})",
+}
+_DUCK = {
+    "RND": lambda x, n: hr(x, int(n)),
+    "SUMI": lambda x: f"CAST(SUM({x}) AS BIGINT)",
+    "DBL": lambda x: f"{x}::DOUBLE",
+    "SORTED_SET": lambda x: f"list_sort(array_agg(DISTINCT {x}))",
+    "DAYS_BEFORE": lambda d, n: f"CAST({d} - INTERVAL {n} DAY AS DATE)",
+}
+
+
+def render(text: str, engine: str) -> str:
+    macros = _SPARK if engine == "spark" else _DUCK
+    # expand inner macros first by repeating until stable
+    for _ in range(4):
+        before = text
+        for name, fn in macros.items():
+            text = _expand(text, name, fn)
+        if text == before:
+            break
+    return text
