@@ -111,3 +111,18 @@ def fixed1(col) -> Column:
 
 def fixed2(col) -> Column:
     return c(col).cast("decimal(18,2)").cast("string")
+
+
+def half_up_sql(units: str, divisor: int, op: str = "div") -> str:
+    """SQL text: ``units / divisor`` rounded HALF_UP (away from zero), exactly.
+
+    ``units`` is an integer expression; integer division keeps the result exact
+    for any magnitude, unlike rounding a double through its decimal text.
+    ``op`` is the integer-division operator of the dialect.
+    """
+    return f"(sign({units}) * ((2 * abs({units}) + {divisor}) {op} ({2 * divisor})))"
+
+
+def half_up(units: str, divisor: int, scale: float) -> Column:
+    """``half_up_sql(units, divisor) / scale`` as a DOUBLE column (Spark SQL)."""
+    return F.expr(f"CAST({half_up_sql(units, divisor)} AS BIGINT) / {scale!r}D")

@@ -26,9 +26,20 @@ def rank_within(df: DataFrame, group, value: str, out: str, method: str = "rank"
 
 
 def percentile_score(df: DataFrame, group, value: str, out: str) -> DataFrame:
-    """``round(percent_rank * 100, 2)`` ascending, NULLs first (they score 0)."""
+    """Percent rank x 100 at 2 decimals, ascending, NULLs first (they score 0).
+
+    ``(rank - 1) / (n - 1)`` is rounded HALF_UP in exact integer arithmetic: a
+    double percent rank such as 0.60625 is not exactly representable and its
+    rounding would depend on how the double is printed.
+    """
     w = Window.partitionBy(*group).orderBy(F.col(value).asc_nulls_first())
-    return df.withColumn(out, F.round(F.percent_rank().over(w) * 100, 2))
+    size = Window.partitionBy(*group)
+    ranked = df.withColumns({"_pr_rank": F.rank().over(w).cast("long"),
+                             "_pr_n": F.count(F.lit(1)).over(size)})
+    score = F.expr("CASE WHEN _pr_n > 1 THEN "
+                   "((_pr_rank - 1) * 20000 + (_pr_n - 1)) div (2 * (_pr_n - 1)) / 100.0D "
+                   "ELSE 0.0D END")
+    return ranked.withColumn(out, score).drop("_pr_rank", "_pr_n")
 
 
 def top_n(df: DataFrame, group, value: str, n: int, out: str = "rank",

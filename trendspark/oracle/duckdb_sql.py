@@ -32,6 +32,19 @@ def weighted(parts: list[tuple[str, int]], den: int) -> str:
     return f"(floor(({n} + {den // 2}) / {den}) / 100.0::DOUBLE)"
 
 
+def exact(units_sql: str, divisor: int, scale: float) -> str:
+    """HALF_UP ``units / divisor`` in integers, then scaled to a DOUBLE."""
+    return (f"(CAST(sign({units_sql}) * ((2 * abs({units_sql}) + {divisor}) // ({2 * divisor})) AS BIGINT)"
+            f" / {scale!r}::DOUBLE)")
+
+
+def pct_score(value: str) -> str:
+    r = f"rank() OVER (PARTITION BY region, snapshot_date ORDER BY {value} ASC NULLS FIRST)"
+    n = "count(*) OVER (PARTITION BY region, snapshot_date)"
+    return (f"CASE WHEN {n} > 1 THEN (({r} - 1) * 20000 + ({n} - 1)) // (2 * ({n} - 1)) / 100.0::DOUBLE "
+            f"ELSE 0.0::DOUBLE END")
+
+
 def s(x: str) -> str:
     return f"CAST({x} AS VARCHAR)"
 
@@ -217,7 +230,7 @@ _cte("channel", f"""
       CAST(sum(CASE WHEN days_active_to_date = 1 THEN 1 ELSE 0 END) OVER (
         PARTITION BY channel_id ORDER BY snapshot_date
         RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS markets_present,
-      {hr('percent_rank() OVER (PARTITION BY region, snapshot_date ORDER BY total_views_to_date ASC NULLS FIRST) * 100', 2)} AS views_percentile
+      {pct_score('total_views_to_date')} AS views_percentile
     FROM channel_freq)""", "channel_freq")
 
 # ---- category analytics ------------------------------------------------------
@@ -313,17 +326,21 @@ _cte("video_scores", f"""
     {weighted([('coalesce(velocity_score, 50.0::DOUBLE)', _C.video_weights[0]),
                ('coalesce(engagement_score, 0.0::DOUBLE)', _C.video_weights[1]),
                ('coalesce(persistence_score, 0.0::DOUBLE)', _C.video_weights[2])], 10)} AS trend_score
-  FROM (SELECT *, {hr(_PR.format('view_growth_rate'), 2)} AS velocity_score,
-               {hr(_PR.format('current_engagement_fraction'), 2)} AS engagement_score
+  FROM (SELECT *, {pct_score('view_growth_rate')} AS velocity_score,
+               {pct_score('current_engagement_fraction')} AS engagement_score
         FROM video_trends)""", "video_trends")
 
+_GU = "coalesce(CAST(round(view_growth_rate * 1000000) AS BIGINT), 0)"
+_EU = ("(CAST(round(coalesce(like_rate, 0.0::DOUBLE) * 1000000) AS BIGINT)"
+       " + CAST(round(coalesce(comment_rate, 0.0::DOUBLE) * 1000000) AS BIGINT))")
+
 _cte("video_opps", f"""
   SELECT snapshot_date, region, 'VIDEO' AS scope, video_id AS entity_id, title AS entity_name,
     trend_stage AS trend_type, trend_score, velocity_score, engagement_score, persistence_score,
     0.0::DOUBLE AS market_expansion_score, rank,
-    'Views ' || {fixed(hr('coalesce(view_growth_rate * 100, 0.0::DOUBLE)', 1), 1)}
+    'Views ' || {fixed(exact(_GU, 1000, 10.0), 1)}
     || '% vs previous snapshot, trending ' || {s('trending_days_to_date')}
-    || ' day(s), engagement ' || {fixed(hr('current_engagement_fraction * 100', 2), 2)} || '%.' AS evidence
+    || ' day(s), engagement ' || {fixed(exact(_EU, 100, 100.0), 2)} || '%.' AS evidence
   FROM (SELECT *, CAST(row_number() OVER (PARTITION BY region, snapshot_date
                          ORDER BY trend_score DESC NULLS LAST, video_id ASC NULLS FIRST) AS INTEGER) AS rank
         FROM video_scores WHERE trend_stage IN ('EMERGING', 'SUSTAINING'))
@@ -337,12 +354,13 @@ _cte("category_scores", f"""
     CASE WHEN coalesce(market_count_delta, 0) > 0 THEN 'CROSS_MARKET_EXPANSION'
          WHEN coalesce(category_growth_pct, 0.0::DOUBLE) > 0 THEN 'RISING_CATEGORY'
          ELSE 'DECLINING_CATEGORY' END AS trend_type
-  FROM (SELECT c.* EXCLUDE (category_name), c.category_name,
-               {hr(_PR.format('c.category_growth_pct'), 2)} AS velocity_score,
-               {hr(_PR.format('c.avg_engagement_rate'), 2)} AS engagement_score,
+  FROM (SELECT c.*,
                coalesce(x.market_expansion_score, 0.0::DOUBLE) AS market_expansion_score,
                x.market_count, x.market_count_delta
-        FROM category c LEFT JOIN cross_market x
+        FROM (SELECT *, {pct_score('category_growth_pct')} AS velocity_score,
+                     {pct_score('avg_engagement_rate')} AS engagement_score
+              FROM category) c
+        LEFT JOIN cross_market x
           ON c.category_id = x.category_id AND c.snapshot_date = x.snapshot_date)""",
      "category", "cross_market")
 
@@ -350,7 +368,7 @@ _cte("category_opps", f"""
   SELECT snapshot_date, region, 'CATEGORY' AS scope, CAST(category_id AS VARCHAR) AS entity_id,
     category_name AS entity_name, trend_type, trend_score, velocity_score, engagement_score,
     NULL::DOUBLE AS persistence_score, market_expansion_score, rank,
-    'Growth ' || {fixed(hr('coalesce(category_growth_pct, 0.0::DOUBLE)', 1), 1)}
+    'Growth ' || {fixed(exact('coalesce(CAST(round(category_growth_pct * 100) AS BIGINT), 0)', 10, 10.0), 1)}
     || '%, trending in ' || {s('coalesce(market_count, 1)')}
     || ' market(s), engagement ' || {fixed(hr('avg_engagement_rate * 1.0::DOUBLE', 2), 2)} || '%.' AS evidence
   FROM (SELECT *, CAST(row_number() OVER (PARTITION BY region, snapshot_date
@@ -365,7 +383,7 @@ _cte("channel_opps", f"""
     0.0::DOUBLE AS market_expansion_score, rank,
     'Trending in ' || {s('coalesce(markets_present, 1)')} || ' market(s), '
     || {s('trending_video_count_to_date')} || ' video(s) trending to date, frequency '
-    || {fixed(hr('trending_frequency * 100', 0), 1)} || '%.' AS evidence
+    || {fixed(exact('CAST(round(trending_frequency * 10000) AS BIGINT)', 100, 1.0), 1)} || '%.' AS evidence
   FROM (SELECT *, CAST(row_number() OVER (PARTITION BY region, snapshot_date
                          ORDER BY trend_score DESC NULLS LAST, channel_id ASC NULLS FIRST) AS INTEGER) AS rank
         FROM channel)
