@@ -75,14 +75,19 @@ def channel_daily(df: DataFrame) -> DataFrame:
     percent, held as an integer so the cumulative mean is exact.
     """
     keyed = df.withColumn("channel_key", F.coalesce(F.col("channel_id"), F.col("channel_title")))
-    eng_units = F.sum(F.round(F.col("engagement_rate") * 10_000).cast("long"))
-    return keyed.groupBy("channel_key", *MARKET_DAY).agg(
+    # pre-aggregate per title with hash aggregation (numeric buffers only);
+    # the string max over titles then runs on the already reduced rows
+    per_title = keyed.groupBy("channel_key", *MARKET_DAY, "channel_title").agg(
+        F.sum("views").alias("v"), F.sum("likes").alias("l"), F.sum("comment_count").alias("c"),
+        F.sum(F.round(F.col("engagement_rate") * 10_000).cast("long")).alias("eu"),
+        F.count("engagement_rate").alias("en"), F.max("views").alias("pv"))
+    return per_title.groupBy("channel_key", *MARKET_DAY).agg(
         F.max("channel_title").alias("channel_title"),
-        F.sum("views").alias("daily_views"),
-        F.sum("likes").alias("daily_likes"),
-        F.sum("comment_count").alias("daily_comments"),
-        F.round(eng_units * 100 / F.count("engagement_rate")).cast("long").alias("engagement_units"),
-        F.max("views").alias("daily_peak_views"),
+        F.sum("v").alias("daily_views"),
+        F.sum("l").alias("daily_likes"),
+        F.sum("c").alias("daily_comments"),
+        F.round(F.sum("eu") * 100 / F.sum("en")).cast("long").alias("engagement_units"),
+        F.max("pv").alias("daily_peak_views"),
     )
 
 
@@ -161,8 +166,9 @@ def add_channel_trend_score(channel: DataFrame, cfg: TrendConfig = DEFAULT) -> D
 
 
 def build_category_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFrame:
-    cat = df.groupBy("category_id", *MARKET_DAY).agg(
-        F.max("category_name").alias("category_name"),
+    # the name is a function of (category, market) after the lookup, so it is
+    # a grouping key rather than a (sort-based) string aggregate
+    cat = df.groupBy("category_id", *MARKET_DAY, "category_name").agg(
         F.count("video_id").alias("video_count"),
         F.sum("views").alias("total_views"),
         F.sum("likes").alias("total_likes"),

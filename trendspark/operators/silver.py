@@ -68,7 +68,8 @@ def is_api_layout(df: DataFrame) -> bool:
     return _field(df, "snippet.title") is not None
 
 
-def to_canonical(df: DataFrame, snapshot_date_col: Column | None = None) -> DataFrame:
+def to_canonical(df: DataFrame, snapshot_date_col: Column | None = None,
+                 keep=()) -> DataFrame:
     """Project either raw layout onto the 21 canonical columns.
 
     API rows take their snapshot date from ``snapshot_date_col`` (the ``date=``
@@ -92,12 +93,12 @@ def to_canonical(df: DataFrame, snapshot_date_col: Column | None = None) -> Data
             else:
                 col = _typed(_field(df, API_FIELDS[name]), dtype)
             exprs.append(col.alias(name))
-        return df.select(*exprs)
+        return df.select(*exprs, *keep)
     cols = set(df.columns)
     return df.select(*[
         (_typed(F.col(name), dtype) if name in cols else F.lit(None).cast(dtype)).alias(name)
         for name, dtype in CANONICAL
-    ])
+    ], *keep)
 
 
 def add_rate_metrics(df: DataFrame) -> DataFrame:

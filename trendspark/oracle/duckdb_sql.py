@@ -153,19 +153,26 @@ _cte("silver", f"""
          THEN {hr('views / greatest(video_age_hours, 1.0::DOUBLE)', 2)} END AS views_per_hour
   FROM silver1""", "silver1")
 
-_cte("reference", f"""
-  SELECT CAST(category_id AS VARCHAR) AS id,
-         coalesce(CASE category_id {_CAT_NAMES} END, 'Category ' || {s('category_id')}) AS snippet_title,
-         region
-  FROM (SELECT DISTINCT category_id, region FROM silver)
-  WHERE NOT (category_id = 3 AND region < 'e')""", "silver")
+REFERENCE = {
+    "activity": f"""
+  SELECT DISTINCT CAST(n_regionkey + 1 AS VARCHAR) AS id,
+         coalesce(CASE n_regionkey + 1 {_CAT_NAMES} END, 'Category ' || {s('n_regionkey + 1')}) AS snippet_title,
+         {_MARKET_LIST}[n_nationkey % {len(MARKETS)} + 1] AS region
+  FROM nation""",
+    "orders": f"""
+  SELECT DISTINCT CAST(n_nationkey % 6 + 1 AS VARCHAR) AS id,
+         coalesce(CASE n_nationkey % 6 + 1 {_CAT_NAMES} END, 'Category ' || {s('n_nationkey % 6 + 1')}) AS snippet_title,
+         lower(trim(r_name)) AS region
+  FROM nation JOIN region ON n_regionkey = r_regionkey""",
+}
+_cte("reference", "{REFERENCE}")
 
 _cte("enriched", """
   SELECT s.*, coalesce(r._ref_name, 'Unknown Category ' || CAST(s.category_id AS VARCHAR)) AS category_name
   FROM silver s LEFT JOIN (
     SELECT TRY_CAST(id AS BIGINT) AS category_id, region, min(snippet_title) AS _ref_name
     FROM reference WHERE TRY_CAST(id AS BIGINT) IS NOT NULL GROUP BY 1, 2
-  ) r ON s.category_id = r.category_id AND s.region = r.region""", "reference")
+  ) r ON s.category_id = r.category_id AND s.region = r.region""", "silver", "reference")
 
 _cte("trending", f"""
   SELECT region, trending_date_parsed,
@@ -417,5 +424,6 @@ def with_layers(select: str, bridge: str = "activity") -> str:
     names = _needed(select)
     if not names:
         return select
-    parts = [RAW[bridge].strip()] + [CTES[n][0] for n in names]
+    parts = [RAW[bridge].strip()] + [CTES[n][0].replace("{REFERENCE}", REFERENCE[bridge])
+                                     for n in names]
     return "WITH " + ",\n".join(parts) + "\n" + select

@@ -42,7 +42,7 @@ class Layers:
 
     @cached_property
     def reference(self) -> DataFrame:
-        return category_reference(self.silver)
+        return category_reference(self.spark, self.sf_dir, self.bridge, self.cfg)
 
     @cached_property
     def enriched(self) -> DataFrame:

@@ -9,7 +9,7 @@ shape, both as plain DataFrame plans so their work grows with the tables:
 * ``orders``: ``lineitem`` joined to its order, the customer's region and the
   part, per part, region and order month. The high-volume bridge.
 
-The output has the raw (pre-Silver) column set of ``schemas.RAW_COLUMNS``:
+The output has the raw (pre-Silver) column set of ``operators.silver.CANONICAL``:
 text dates in two formats, an upper-case region with padding, counters that
 may be NULL, so the Silver cleansing is exercised for real.
 """
@@ -145,23 +145,35 @@ def orders_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(out)
 
 
-def category_reference(silver: DataFrame) -> DataFrame:
-    """Category lookup rows (id text, title, region) for the markets observed.
+def category_reference(spark: SparkSession, sf_dir: str, bridge: str,
+                       cfg: TrendConfig = DEFAULT) -> DataFrame:
+    """Category lookup rows (id text, title, market), derived from ``nation``.
 
-    Category 3 has no entry in markets sorting before ``e``, so the
-    ``Unknown Category`` fallback of the lookup join is exercised.
+    Each nation lists one category for its market: ``orders`` markets are the
+    nation's region with category ``nationkey % 6 + 1``; ``activity`` markets
+    are ``markets[nationkey % 10]`` with category ``regionkey + 1``. Markets
+    therefore miss some categories, which exercises the ``Unknown Category``
+    fallback of the lookup. Size is bounded by the nation table (25 rows).
     """
+    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     names = F.create_map(*[x for k, v in CATEGORY_NAMES.items() for x in (F.lit(k), F.lit(v))])
-    return (
-        silver.select("category_id", "region").distinct()
-        .where(~((F.col("category_id") == 3) & (F.col("region") < "e")))
-        .select(
-            F.col("category_id").cast("string").alias("id"),
-            F.coalesce(F.element_at(names, F.col("category_id").cast("int")),
-                       F.concat(F.lit("Category "), F.col("category_id").cast("string")))
-            .alias("snippet_title"),
-            F.col("region"),
-        )
+    if bridge == "orders":
+        region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
+        pairs = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+            (F.col("n_nationkey") % 6 + 1).cast("long").alias("category_id"),
+            F.lower(F.trim("r_name")).alias("region"))
+    else:
+        markets = F.array(*[F.lit(m) for m in cfg.markets])
+        pairs = nation.select(
+            (F.col("n_regionkey") + 1).cast("long").alias("category_id"),
+            F.element_at(markets, (F.col("n_nationkey") % len(cfg.markets) + 1).cast("int"))
+            .alias("region"))
+    return pairs.distinct().select(
+        F.col("category_id").cast("string").alias("id"),
+        F.coalesce(F.element_at(names, F.col("category_id").cast("int")),
+                   F.concat(F.lit("Category "), F.col("category_id").cast("string")))
+        .alias("snippet_title"),
+        F.col("region"),
     )
 
 
