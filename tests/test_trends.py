@@ -1,0 +1,121 @@
+import datetime as dt
+
+import pytest
+
+from trendspark.operators import opportunities, trends
+
+D = [dt.date(2026, 7, d) for d in range(1, 12)]
+SCHEMA = ("video_id string, region string, trending_date_parsed date, title string, views long, "
+          "likes long, comment_count long, like_rate double, comment_rate double")
+
+
+def _vt(spark, rows):
+    return {(r.video_id, r.snapshot_date): r
+            for r in trends.compute_video_trends(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_video_trends_basics(spark):
+    out = _vt(spark, [
+        ("v1", "us", D[0], "a", 1000, 10, 1, 0.01, 0.001),
+        ("v1", "us", D[1], "a", 1500, 20, 2, 0.013333, 0.001333),
+        ("v2", "us", D[0], "b", 2000, 0, 0, 0.0, 0.0),
+        ("v2", "us", D[1], "b", 1000, 0, 0, 0.0, 0.0),
+        ("v3", "us", D[0], "c", 0, 0, 0, 0.0, 0.0),
+        ("v3", "us", D[1], "c", 10, 0, 0, 0.0, 0.0),
+    ])
+    first = out[("v1", D[0])]
+    assert first.is_new_entrant and first.view_growth_rate is None and first.trend_stage == "EMERGING"
+    assert first.engagement_change is None and first.views_delta is None
+    second = out[("v1", D[1])]
+    assert second.view_growth_rate == 0.5 and second.views_delta == 500
+    assert second.trending_days_to_date == 2 and second.first_trending_date == D[0]
+    # v1 was rank 2 behind v2 on day 1, rank 1 on day 2
+    assert (out[("v1", D[0])].rank_in_region, second.rank_in_region, second.rank_change) == (2, 1, 1)
+    assert out[("v3", D[1])].view_growth_rate is None  # zero baseline
+    assert out[("v2", D[1])].trend_stage == "FADING"
+
+
+@pytest.mark.parametrize("growth,days,stage", [
+    (0.30, 2, "EMERGING"), (0.30, 5, "SUSTAINING"), (-0.10, 5, "FADING"), (0.0, 10, "ESTABLISHED"),
+    (0.0, 5, "ESTABLISHED"), (0.10, 9, "ESTABLISHED"), (0.25, 9, "SUSTAINING")])
+def test_stage_rules(spark, growth, days, stage):
+    from pyspark.sql import functions as F
+    from trendspark.functions.columns import trend_stage
+    df = spark.createDataFrame([(False, growth, days)],
+                               "is_new_entrant boolean, view_growth_rate double, trending_days_to_date int")
+    assert df.select(trend_stage().alias("s")).first().s == stage
+
+
+def test_persistence_cap(spark):
+    rows = [("v1", "us", D[i], "a", 100 + i, 1, 1, 0.01, 0.01) for i in range(8)]
+    out = _vt(spark, rows)
+    assert out[("v1", D[7])].persistence_score == 100.0
+    assert out[("v1", D[0])].persistence_score == 14.29
+    assert all(r.first_trending_date == D[0] for r in out.values())
+    assert [out[("v1", D[i])].engagement_change is None for i in range(8)] == [True] + [False] * 7
+
+
+def test_cross_market(spark):
+    df = spark.createDataFrame([
+        (10, "Music", "us", D[0], 500), (10, "Music", "us", D[1], 500), (10, "Music", "gb", D[1], 1000)],
+        "category_id long, category_name string, region string, snapshot_date date, total_views long")
+    out = {r.snapshot_date: r for r in trends.compute_cross_market(df).collect()}
+    assert (out[D[0]].market_count, out[D[1]].market_count) == (1, 2)
+    assert out[D[1]].total_views_all_markets == 1500
+    assert out[D[0]].market_count_delta is None and out[D[1]].market_count_delta == 1
+    assert out[D[1]].market_expansion_score == 20.0
+
+
+def _category(spark, rows):
+    return spark.createDataFrame(rows, (
+        "category_id long, category_name string, region string, snapshot_date date, total_views long, "
+        "category_growth_pct double, avg_engagement_rate double, unique_channels long"))
+
+
+def test_category_opportunities(spark):
+    cat = _category(spark, [
+        (20, "Gaming", "us", D[0], 100, None, 1.0, 1), (20, "Gaming", "us", D[1], 150, 50.0, 2.0, 1),
+        (20, "Gaming", "gb", D[1], 150, None, 2.0, 1),
+        (10, "Music", "us", D[0], 100, None, 1.0, 1), (10, "Music", "us", D[1], 120, 20.0, 1.0, 1),
+        (30, "News", "us", D[0], 100, None, 1.0, 1), (30, "News", "us", D[1], 90, -10.0, 1.0, 1),
+    ])
+    cross = trends.compute_cross_market(cat)
+    out = {(r.entity_name, r.snapshot_date, r.region): r
+           for r in opportunities.build_category_opportunities(cat, cross).collect()}
+    assert out[("Gaming", D[1], "us")].trend_type == "CROSS_MARKET_EXPANSION"
+    assert out[("Music", D[1], "us")].trend_type == "RISING_CATEGORY"
+    news = out[("News", D[1], "us")]
+    assert news.trend_type == "DECLINING_CATEGORY" and news.market_expansion_score == 10.0
+    assert news.persistence_score is None
+    assert news.evidence == "Growth -10.0%, trending in 1 market(s), engagement 1.00%."
+
+
+def test_video_opportunities_filter_and_rank(spark):
+    vt = trends.compute_video_trends(spark.createDataFrame([
+        ("v1", "us", D[0], "a", 1000, 10, 1, 0.01, 0.001),
+        ("v1", "us", D[1], "a", 1500, 10, 1, 0.006667, 0.000667),
+        ("v2", "us", D[0], "b", 1000, 10, 1, 0.01, 0.001),
+        ("v2", "us", D[1], "b", 500, 10, 1, 0.02, 0.002),
+    ], SCHEMA))
+    opps = opportunities.build_video_opportunities(vt).where("snapshot_date = '2026-07-02'").collect()
+    assert [(r.entity_id, r.rank, r.trend_type) for r in opps] == [("v1", 1, "EMERGING")]
+    assert opps[0].evidence.startswith("Views 50.0% vs previous snapshot, trending 2 day(s)")
+
+
+def test_channel_opportunities(spark):
+    ch = spark.createDataFrame([
+        ("c1", "One", "us", D[0], 5, 1.0, 100.0, 90.0, 2), ("c2", "Two", "us", D[0], 3, 0.5, 0.0, 15.0, 1)],
+        "channel_id string, channel_title string, region string, snapshot_date date, "
+        "trending_video_count_to_date long, trending_frequency double, views_percentile double, "
+        "trend_score double, markets_present long")
+    rows = sorted(opportunities.build_channel_opportunities(ch).collect(), key=lambda r: r.rank)
+    assert [r.entity_id for r in rows] == ["c1", "c2"]
+    assert rows[0].evidence == ("Trending in 2 market(s), 5 video(s) trending to date, "
+                                "frequency 100.0%.")
+
+
+def test_union_has_three_scopes(spark):
+    from trendspark.plans.layers import Layers
+    layers = Layers(spark, "/root/testdata/sf0.001")
+    scopes = {r.scope for r in layers.opportunities.select("scope").distinct().collect()}
+    assert scopes == {"VIDEO", "CATEGORY", "CHANNEL"}
