@@ -54,9 +54,18 @@ class TrendConfig:
     dq_max_views: int = 50_000_000_000
     dq_freshness_hours: int = 48
 
+    # ranks / percentiles inside (market, date): 0 = one window per group
+    # (the whole group sorted in one task); > 0 = exact bucketed ranks with
+    # this many value buckets per group (no whole-group window; hot markets
+    # are spread over tasks). Categories per market-date are few and always
+    # use the window.
+    rank_buckets: int = 0
+
     # category evidence used to multiply an already-percent rate by 100 again;
     # True reproduces that text, False prints the rate as a percent once
     legacy_evidence: bool = False
 
 
 DEFAULT = TrendConfig()
+# cluster jobs: exact bucketed ranks, so no (market, date) group is sorted whole
+CLUSTER = TrendConfig(rank_buckets=64)

@@ -132,7 +132,8 @@ def build_channel_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFr
         "trending_frequency": F.round(F.col("days_active_to_date") / span, 4),
     })
     ch = rank_within(ch, ["region", "snapshot_date"], "total_views_to_date", "rank_in_region",
-                     method="row_number", descending=True, tie_break=["channel_id"])
+                     method="row_number", descending=True, tie_break=["channel_id"],
+                     buckets=cfg.rank_buckets)
     ch = add_markets_present(ch)
     return add_channel_trend_score(ch, cfg)
 
@@ -157,7 +158,7 @@ def add_markets_present(channel: DataFrame) -> DataFrame:
 def add_channel_trend_score(channel: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFrame:
     """70 % views percentile in market+date, 30 % trending frequency (0-100)."""
     ch = percentile_score(channel, ["region", "snapshot_date"], "total_views_to_date",
-                          "views_percentile")
+                          "views_percentile", buckets=cfg.rank_buckets)
     wp, wf = cfg.channel_weights
     freq_pct = F.round(F.col("trending_frequency") * 10_000) / 100.0
     return ch.withColumn(

@@ -20,18 +20,31 @@ def _order(value: str, descending: bool, tie_break) -> list[Column]:
 
 
 def rank_within(df: DataFrame, group, value: str, out: str, method: str = "rank",
-                descending: bool = False, tie_break=()) -> DataFrame:
+                descending: bool = False, tie_break=(), buckets: int = 0) -> DataFrame:
+    """Rank inside ``group``; ``buckets > 0`` selects the skew-safe exact form."""
+    if buckets > 0:
+        if method == "row_number":
+            # rank by value, then number the ties by the tie-break key: only a
+            # group of exactly equal values is ever sorted together
+            ranked = rank_within_bucketed(df, group, value, "_rk", "rank", descending, buckets)
+            ties = Window.partitionBy(*group, value).orderBy(*[F.col(t).asc_nulls_first()
+                                                               for t in tie_break])
+            return ranked.withColumn(out, (F.col("_rk") + F.row_number().over(ties) - 1)
+                                     .cast("int")).drop("_rk")
+        return rank_within_bucketed(df, group, value, out, method, descending, buckets)
     w = Window.partitionBy(*group).orderBy(*_order(value, descending, tie_break))
     return df.withColumn(out, _FUNCS[method]().over(w))
 
 
-def percentile_score(df: DataFrame, group, value: str, out: str) -> DataFrame:
+def percentile_score(df: DataFrame, group, value: str, out: str, buckets: int = 0) -> DataFrame:
     """Percent rank x 100 at 2 decimals, ascending, NULLs first (they score 0).
 
     ``(rank - 1) / (n - 1)`` is rounded HALF_UP in exact integer arithmetic: a
     double percent rank such as 0.60625 is not exactly representable and its
     rounding would depend on how the double is printed.
     """
+    if buckets > 0:
+        return rank_within_bucketed(df, group, value, out, "percent_score", False, buckets)
     w = Window.partitionBy(*group).orderBy(F.col(value).asc_nulls_first())
     size = Window.partitionBy(*group)
     ranked = df.withColumns({"_pr_rank": F.rank().over(w).cast("long"),
@@ -51,3 +64,92 @@ def top_n(df: DataFrame, group, value: str, n: int, out: str = "rank",
     """
     w = Window.partitionBy(*group).orderBy(*_order(value, True, tie_break))
     return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n)
+
+
+# ---- skew-safe exact ranks -------------------------------------------------
+#
+# A window over (market, date) sorts each whole group in one task; a market
+# holding a third of all rows would make that task the job. The bucketed form
+# computes the same exact ranks without any whole-group window:
+#
+# 1. histogram: rows -> (group, value, count); combined map-side, so a hot
+#    group or a hot value collapses before the shuffle;
+# 2. per group, B-1 approximate quantile boundaries of the values (a sketch
+#    aggregate, bounded memory) split the value range into B buckets;
+# 3. per (group, bucket): row and distinct-value totals -> offsets by a window
+#    over at most B rows per group;
+# 4. inside (group, bucket): counts of smaller values by a window over about
+#    1/B of the group's distinct values;
+# 5. rank = offset + rank inside the bucket; joined back on (group, value).
+#
+# Equal values always fall in the same bucket, so ties are exact.
+
+def _bucketed_ranks(df: DataFrame, group: list[str], value: str, descending: bool,
+                    buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Ranks of every distinct non-null key ``_k`` and per-group counts.
+
+    ``_k`` is the value (negated when ``descending``) so ranks always ascend.
+    Both outputs derive from one histogram of the input.
+    """
+    key = (-F.col(value) if descending else F.col(value)).cast("double")
+    hist = df.select(*group, key.alias("_k")).groupBy(*group, "_k").agg(
+        F.count(F.lit(1)).alias("_c"))
+    stats = hist.groupBy(*group).agg(
+        F.sum("_c").alias("_n"),
+        F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_c"))), F.lit(0)).alias("_n_null"),
+        F.count("_k").alias("_d_nonnull"))
+    nonnull = hist.where(F.col("_k").isNotNull())
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = nonnull.groupBy(*group).agg(
+        F.percentile_approx("_k", probs, 10_000).alias("_b"))
+    bucket = F.expr("size(filter(_b, x -> x < _k))") if buckets > 1 else F.lit(0)
+    keyed = nonnull.join(bounds, group).withColumn("_bk", bucket).drop("_b")
+    totals = keyed.groupBy(*group, "_bk").agg(F.sum("_c").alias("_rows"),
+                                              F.count(F.lit(1)).alias("_vals"))
+    before = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*group, "_bk",
+                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_off"),
+                           F.coalesce(F.sum("_vals").over(before), F.lit(0)).alias("_val_off"))
+    inside = Window.partitionBy(*group, "_bk").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = keyed.select(*group, "_bk", "_k",
+                         F.coalesce(F.sum("_c").over(inside), F.lit(0)).alias("_row_before"),
+                         F.count(F.lit(1)).over(inside).alias("_val_before"))
+    ranks = keyed.join(totals, [*group, "_bk"]).select(
+        *group, "_k",
+        (F.col("_row_off") + F.col("_row_before") + 1).alias("_rank"),
+        (F.col("_val_off") + F.col("_val_before") + 1).alias("_dense"))
+    return ranks, stats
+
+
+def rank_within_bucketed(df: DataFrame, group, value: str, out: str, method: str = "rank",
+                         descending: bool = False, buckets: int = 64) -> DataFrame:
+    """Exact ``rank``/``dense_rank``/``percent_score`` without whole-group windows.
+
+    Order is ascending NULLS FIRST, or descending NULLS LAST (as the window
+    forms). ``percent_score`` is ``round(percent_rank * 100, 2)`` HALF_UP.
+    """
+    group = list(group)
+    ranks, stats = _bucketed_ranks(df, group, value, descending, buckets)
+    key = (-F.col(value) if descending else F.col(value)).cast("double")
+    joined = (df.withColumn("_k", key)
+              .join(ranks, [*group, "_k"], "left")
+              .join(stats, group, "left"))
+    nulls_first = not descending
+    shift = F.col("_n_null") if nulls_first else F.lit(0)
+    null_rank = F.lit(1) if nulls_first else F.col("_n") - F.col("_n_null") + 1
+    null_dense = F.lit(1) if nulls_first else F.col("_d_nonnull") + 1
+    rank = F.when(F.col("_k").isNull(), null_rank).otherwise(F.col("_rank") + shift)
+    dense = F.when(F.col("_k").isNull(), null_dense).otherwise(
+        F.col("_dense") + F.when(F.col("_n_null") > 0, 1).otherwise(0) * F.lit(int(nulls_first)))
+    if method == "rank":
+        result = rank.cast("int")
+    elif method == "dense_rank":
+        result = dense.cast("int")
+    elif method == "percent_score":
+        joined = joined.withColumn("_r", rank.cast("long"))
+        result = F.expr("CASE WHEN _n > 1 THEN ((_r - 1) * 20000 + (_n - 1)) div (2 * (_n - 1)) "
+                        "/ 100.0D ELSE 0.0D END")
+    else:
+        raise ValueError(f"unsupported method {method}")
+    drop = ["_k", "_rank", "_dense", "_n", "_n_null", "_d_nonnull", "_r"]
+    return joined.withColumn(out, result).drop(*drop).select(*df.columns, out)

@@ -14,7 +14,7 @@ import os
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from trendspark.config import DEFAULT, TrendConfig
+from trendspark.config import CLUSTER, TrendConfig
 from trendspark.operators import gold, opportunities, quality, trends
 from trendspark.plans.layers import Layers
 from trendspark.session import prepare
@@ -44,7 +44,7 @@ def run_silver(spark: SparkSession, landing: str, out_root: str, markets=None, d
 
 
 def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_root: str,
-             cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
+             cfg: TrendConfig = CLUSTER) -> dict[str, DataFrame]:
     enriched = gold.add_category_name(silver, reference).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
         "trending_analytics": gold.build_trending_analytics(enriched),
@@ -60,7 +60,7 @@ def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_r
 
 
 def run_trends(spark: SparkSession, enriched: DataFrame, category: DataFrame,
-               channel: DataFrame, out_root: str, cfg: TrendConfig = DEFAULT,
+               channel: DataFrame, out_root: str, cfg: TrendConfig = CLUSTER,
                gate: bool = True) -> dict[str, DataFrame]:
     vt = trends.compute_video_trends(enriched, cfg)
     write_table(vt, _path(out_root, "video_trends"), GOLD_PARTITIONS["video_trends"])
@@ -77,7 +77,7 @@ def run_trends(spark: SparkSession, enriched: DataFrame, category: DataFrame,
 
 
 def run_all(spark: SparkSession, sf_dir: str, bridge: str = "orders", sink: str = "noop",
-            out_root: str | None = None, cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
+            out_root: str | None = None, cfg: TrendConfig = CLUSTER) -> dict[str, DataFrame]:
     """Every Gold table from a bridge source; ``sink='parquet'`` writes them."""
     layers = Layers(spark, sf_dir, bridge, cfg)
     if sink == "parquet":
