@@ -101,7 +101,7 @@ def _bucketed_ranks(df: DataFrame, group: list[str], value: str, descending: boo
     nonnull = hist.where(F.col("_k").isNotNull())
     probs = [i / buckets for i in range(1, buckets)]
     bounds = nonnull.groupBy(*group).agg(
-        F.percentile_approx("_k", probs, 10_000).alias("_b"))
+        F.percentile_approx("_k", probs, 1_000).alias("_b"))
     bucket = F.expr("size(filter(_b, x -> x < _k))") if buckets > 1 else F.lit(0)
     keyed = nonnull.join(bounds, group).withColumn("_bk", bucket).drop("_b")
     totals = keyed.groupBy(*group, "_bk").agg(F.sum("_c").alias("_rows"),
