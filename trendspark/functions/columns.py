@@ -19,23 +19,38 @@ def c(name_or_col) -> Column:
     return F.col(name_or_col) if isinstance(name_or_col, str) else name_or_col
 
 
-def ratio(num, den, scale: int, times: float | None = None) -> Column:
-    """``round(num / den [* times], scale)`` when ``den > 0``, else 0.0."""
-    value = c(num) / c(den)
-    if times is not None:
-        value = value * F.lit(times)
-    return F.when(c(den) > 0, F.round(value, scale)).otherwise(F.lit(0.0))
+def half_up_div_sql(num: str, den: str, op: str = "div") -> str:
+    """SQL text: integer ``num / den`` rounded HALF_UP (away from zero), exactly.
 
+    ``den`` must be positive. Integer division keeps the result exact for any
+    magnitude and avoids ``round(double)``, which Spark evaluates through a
+    per-row ``BigDecimal`` built from the double's printed form.
+    """
+    return (f"(CASE WHEN ({num}) >= 0 THEN (2 * ({num}) + ({den})) {op} (2 * ({den})) "
+            f"ELSE -((2 * -({num}) + ({den})) {op} (2 * ({den}))) END)")
+
+
+def scaled(num: str, den: str, places: int, op: str = "div", dbl: str = "D") -> str:
+    """SQL text: ``num / den`` at ``places`` decimals (HALF_UP) as a DOUBLE."""
+    unit = 10 ** places
+    q = half_up_div_sql(f"({num}) * {unit}", den, op)
+    return f"(CAST({q} AS BIGINT) / {unit}.0{dbl})"
+
+
+def ratio(num: str, den: str, places: int, times: int = 1) -> Column:
+    """``num / den * times`` at ``places`` decimals when ``den > 0``, else 0.0.
+
+    ``num`` / ``den`` are SQL expressions over integer columns.
+    """
+    n = f"({num}) * {times}" if times != 1 else num
+    return F.expr(f"CASE WHEN ({den}) > 0 THEN {scaled(n, den, places)} ELSE 0.0D END")
 
-def growth(cur, prev, scale: int, times: float | None = None) -> Column:
+
+def growth(cur: str, prev: str, places: int, times: int = 1) -> Column:
     """Relative change vs. the previous value; NULL without a usable baseline."""
-    value = (c(cur) - c(prev)) / c(prev)
-    if times is not None:
-        value = value * F.lit(times)
-    return (
-        F.when(c(prev).isNull() | (c(prev) == 0), F.lit(None).cast("double"))
-        .otherwise(F.round(value, scale))
-    )
+    n = f"(({cur}) - ({prev})) * {times}" if times != 1 else f"({cur}) - ({prev})"
+    return F.expr(f"CASE WHEN ({prev}) IS NULL OR ({prev}) = 0 THEN CAST(NULL AS DOUBLE) "
+                  f"ELSE {scaled(n, prev, places)} END")
 
 
 def duration_seconds(col) -> Column:
@@ -44,9 +59,10 @@ def duration_seconds(col) -> Column:
     Hours, minutes and seconds are each optional; a day part is not counted.
     """
     def part(unit: str) -> Column:
-        return F.coalesce(
-            F.regexp_extract(c(col), rf"(\d+){unit}", 1).try_cast("int"), F.lit(0)
-        )
+        digits = F.regexp_extract(c(col), rf"(\d+){unit}", 1)
+        # an absent unit extracts '' -> 0 without a (slow, failing) try_cast
+        return F.when(digits == "", F.lit(0)).otherwise(
+            F.coalesce(digits.try_cast("int"), F.lit(0)))
 
     total = part("H") * 3600 + part("M") * 60 + part("S")
     return F.when(c(col).isNotNull(), total).otherwise(F.lit(None).cast("int"))
@@ -60,9 +76,18 @@ def snapshot_date(col) -> Column:
     )
 
 
+def units(col, unit: int) -> Column:
+    """A value already rounded to ``log10(unit)`` places as an exact integer.
+
+    The product is within float error of an integer, so ``rint`` is exact and
+    avoids the per-row ``BigDecimal`` of ``round``.
+    """
+    return F.rint(c(col) * unit).cast("long")
+
+
 def hundredths(col) -> Column:
     """A value already rounded to 2 places as an exact integer count of 0.01."""
-    return F.round(c(col) * 100).cast("long")
+    return units(col, 100)
 
 
 def weighted_score(parts: list[tuple[Column, int]], denominator: int) -> Column:
@@ -83,8 +108,7 @@ def weighted_score(parts: list[tuple[Column, int]], denominator: int) -> Column:
 
 def scaled_mean(col, scale: int) -> Column:
     """Exact mean of a column whose values carry ``log10(scale)`` decimals."""
-    units = F.round(c(col) * F.lit(scale)).cast("long")
-    return F.sum(units) / (F.count(c(col)) * F.lit(float(scale)))
+    return F.sum(units(col, scale)) / (F.count(c(col)) * F.lit(float(scale)))
 
 
 def trend_stage(cfg: TrendConfig = DEFAULT) -> Column:

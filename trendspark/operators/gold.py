@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
-from trendspark.functions.columns import growth, hundredths, scaled_mean, weighted_score
+from trendspark.functions.columns import (growth, half_up_div_sql, hundredths, scaled,
+                                          scaled_mean, units, weighted_score)
 from trendspark.operators.ranking import percentile_score, rank_within
 
 DATE = "trending_date_parsed"
@@ -79,16 +80,19 @@ def channel_daily(df: DataFrame) -> DataFrame:
     # the string max over titles then runs on the already reduced rows
     per_title = keyed.groupBy("channel_key", *MARKET_DAY, "channel_title").agg(
         F.sum("views").alias("v"), F.sum("likes").alias("l"), F.sum("comment_count").alias("c"),
-        F.sum(F.round(F.col("engagement_rate") * 10_000).cast("long")).alias("eu"),
+        F.sum(units("engagement_rate", 10_000)).alias("eu"),
         F.count("engagement_rate").alias("en"), F.max("views").alias("pv"))
-    return per_title.groupBy("channel_key", *MARKET_DAY).agg(
+    daily = per_title.groupBy("channel_key", *MARKET_DAY).agg(
         F.max("channel_title").alias("channel_title"),
         F.sum("v").alias("daily_views"),
         F.sum("l").alias("daily_likes"),
         F.sum("c").alias("daily_comments"),
-        F.round(F.sum("eu") * 100 / F.sum("en")).cast("long").alias("engagement_units"),
+        F.sum("eu").alias("_eu"), F.sum("en").alias("_en"),
         F.max("pv").alias("daily_peak_views"),
     )
+    eng_units = F.expr(f"CAST({half_up_div_sql('_eu * 100', '_en')} AS BIGINT)")
+    return daily.select("channel_key", *MARKET_DAY, "channel_title", "daily_views", "daily_likes",
+                        "daily_comments", eng_units.alias("engagement_units"), "daily_peak_views")
 
 
 def channel_new_videos(df: DataFrame) -> DataFrame:
@@ -123,13 +127,13 @@ def build_channel_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFr
         F.row_number().over(series).alias("days_active_to_date"),
         F.min(DATE).over(cum).alias("first_trending_date"),
     )
-    span = F.datediff("snapshot_date", "first_trending_date").cast("double") + F.lit(1.0)
     ch = ch.withColumns({
-        "avg_views_per_video_to_date": F.when(
-            F.col("trending_video_count_to_date") > 0,
-            F.round(F.col("total_views_to_date") / F.col("trending_video_count_to_date"), 2),
-        ).otherwise(F.lit(0.0)),
-        "trending_frequency": F.round(F.col("days_active_to_date") / span, 4),
+        "avg_views_per_video_to_date": F.expr(
+            "CASE WHEN trending_video_count_to_date > 0 THEN "
+            f"{scaled('total_views_to_date', 'trending_video_count_to_date', 2)} ELSE 0.0D END"),
+        # active days / calendar days since the first appearance (inclusive)
+        "trending_frequency": F.expr(scaled(
+            "days_active_to_date", "datediff(snapshot_date, first_trending_date) + 1", 4)),
     })
     ch = rank_within(ch, ["region", "snapshot_date"], "total_views_to_date", "rank_in_region",
                      method="row_number", descending=True, tie_break=["channel_id"],
@@ -160,7 +164,7 @@ def add_channel_trend_score(channel: DataFrame, cfg: TrendConfig = DEFAULT) -> D
     ch = percentile_score(channel, ["region", "snapshot_date"], "total_views_to_date",
                           "views_percentile", buckets=cfg.rank_buckets)
     wp, wf = cfg.channel_weights
-    freq_pct = F.round(F.col("trending_frequency") * 10_000) / 100.0
+    freq_pct = F.rint(F.col("trending_frequency") * 10_000) / 100.0
     return ch.withColumn(
         "trend_score",
         weighted_score([(F.col("views_percentile"), wp), (freq_pct, wf)], wp + wf))
@@ -178,10 +182,10 @@ def build_category_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataF
         F.count_distinct("channel_title").alias("unique_channels"),
     )
     market_day = Window.partitionBy(*MARKET_DAY)
-    cat = cat.withColumn(
+    cat = cat.withColumn("_day_total", F.sum("total_views").over(market_day)).withColumn(
         "view_share_pct",
-        F.round(F.col("total_views") / F.nullif(F.sum("total_views").over(market_day), F.lit(0)) * 100, 2),
-    )
+        F.expr(f"CASE WHEN _day_total > 0 THEN {scaled('total_views * 100', '_day_total', 2)} END"),
+    ).drop("_day_total")
     # rank first: then every (category, market) series function shares one sort
     cat = rank_within(cat, list(MARKET_DAY), "total_views", "category_rank",
                       method="dense_rank", descending=True)
@@ -191,13 +195,15 @@ def build_category_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataF
         "previous_rank": F.lag("category_rank").over(series),
     })
     cat = cat.withColumn("category_growth_pct",
-                         growth("total_views", "previous_total_views", 2, times=100.0))
+                         growth("total_views", "previous_total_views", 2, times=100))
+    # mean of the last N growth values (NULLs skipped) at 2 places, exact
     frame = series.rowsBetween(-(cfg.momentum_snapshots - 1), Window.currentRow)
-    cat = cat.withColumn(
-        "category_momentum",
-        F.round(F.sum(hundredths("category_growth_pct")).over(frame)
-                / (F.count("category_growth_pct").over(frame) * 100.0), 2),
-    )
+    cat = cat.withColumns({
+        "_m_sum": F.sum(hundredths("category_growth_pct")).over(frame),
+        "_m_n": F.count("category_growth_pct").over(frame),
+    }).withColumn("category_momentum", F.expr(
+        f"CASE WHEN _m_n > 0 THEN CAST({half_up_div_sql('_m_sum', '_m_n')} AS BIGINT) / 100.0D END"
+    )).drop("_m_sum", "_m_n")
     cat = cat.withColumn(
         "rank_change",
         F.when(F.col("previous_rank").isNotNull(), F.col("previous_rank") - F.col("category_rank"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
+from trendspark.functions.columns import scaled
 
 # fixed values: critical columns, natural keys and score bounds per table
 CRITICAL_COLUMNS = {
@@ -41,8 +42,9 @@ REPORT_SCHEMA = ("check string, table_name string, column_name string, value dou
                  "threshold double, passed boolean, message string")
 
 
-def _pct(nulls: Column, rows: Column) -> Column:
-    return F.when(rows > 0, F.round(nulls / rows * 100, 2)).otherwise(F.lit(0.0))
+def _pct(nulls: str, rows: str) -> Column:
+    """NULL share in percent at 2 places (exact HALF_UP); 0.0 for an empty table."""
+    return F.expr(f"CASE WHEN {rows} > 0 THEN {scaled(f'{nulls} * 100', rows, 2)} ELSE 0.0D END")
 
 
 def table_profile(df: DataFrame, table: str, cfg: TrendConfig = DEFAULT) -> dict:
@@ -182,8 +184,8 @@ def _nulls_frame(layers) -> DataFrame:
                             for c in cols])).alias("x"))
     return stacked.select(
         F.lit("clean_statistics").alias("table_name"), "x.column_name", "x.null_count", "row_count",
-        _pct(F.col("x.null_count"), F.col("row_count")).alias("null_pct"),
-        (_pct(F.col("x.null_count"), F.col("row_count")) <= DEFAULT.dq_max_null_pct).alias("passed"))
+        _pct("x.null_count", "row_count").alias("null_pct"),
+        (_pct("x.null_count", "row_count") <= DEFAULT.dq_max_null_pct).alias("passed"))
 
 
 def _ranges_frame(layers) -> DataFrame:
@@ -229,8 +231,9 @@ CHECK_FRAMES = {"dq_nulls": _nulls_frame, "dq_ranges": _ranges_frame,
 def _oracle_nulls() -> str:
     parts = []
     for c in CRITICAL_COLUMNS["clean_statistics"]:
-        pct = (f"CASE WHEN count(*) > 0 THEN round(cast(cast((count(*) FILTER (WHERE {c} IS NULL))"
-               f" / count(*) * 100 AS VARCHAR) AS DECIMAL(38,12)), 2)::DOUBLE ELSE 0.0::DOUBLE END")
+        nulls = f"(count(*) FILTER (WHERE {c} IS NULL))"
+        exact = scaled(f"{nulls} * 100", "count(*)", 2, op="//", dbl="::DOUBLE")
+        pct = f"CASE WHEN count(*) > 0 THEN {exact} ELSE 0.0::DOUBLE END"
         parts.append(
             f"SELECT 'clean_statistics' AS table_name, '{c}' AS column_name, "
             f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count, "

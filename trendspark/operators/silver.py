@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.functions.columns import duration_seconds, ratio, snapshot_date
+from trendspark.functions.columns import (duration_seconds, half_up_div_sql, ratio, scaled,
+                                          snapshot_date)
 
 SILVER_KEY = ("video_id", "region", "trending_date_parsed")
 COUNTERS = ("views", "likes", "dislikes", "comment_count")
@@ -125,20 +126,18 @@ def add_velocity_context(df: DataFrame) -> DataFrame:
     if "publish_time" not in df.columns or "trending_date_parsed" not in df.columns:
         return df.withColumns({"video_age_hours": F.lit(None).cast("double"),
                                "views_per_hour": F.lit(None).cast("double")})
-    published = F.try_to_timestamp(F.col("publish_time"))
-    observed = F.col("trending_date_parsed").cast("timestamp")
-    age = F.round((F.unix_timestamp(observed) - F.unix_timestamp(published)) / 3600.0, 2)
-    df = df.withColumn(
-        "video_age_hours",
-        F.when(published.isNotNull() & observed.isNotNull(), age)
-        .otherwise(F.lit(None).cast("double")),
-    )
-    return df.withColumn(
-        "views_per_hour",
-        F.when(F.col("video_age_hours").isNotNull(),
-               F.round(F.col("views") / F.greatest(F.col("video_age_hours"), F.lit(1.0)), 2))
-        .otherwise(F.lit(None).cast("double")),
-    )
+    # age in hundredths of an hour, exact: seconds * 100 / 3600, HALF_UP
+    seconds = ("unix_timestamp(CAST(trending_date_parsed AS TIMESTAMP)) "
+               "- unix_timestamp(try_to_timestamp(publish_time))")
+    df = df.withColumn("_age_units", F.expr(
+        f"CAST({half_up_div_sql(f'({seconds}) * 100', '3600')} AS BIGINT)"))
+    return df.withColumns({
+        "video_age_hours": F.col("_age_units") / 100.0,
+        # views / max(age, 1 h) at 2 places = views * 10^4 / max(age units, 100)
+        "views_per_hour": F.expr(
+            "CASE WHEN _age_units IS NOT NULL THEN "
+            f"{scaled('views * 100', 'greatest(_age_units, 100)', 2)} END"),
+    }).drop("_age_units")
 
 
 def cleanse(df: DataFrame, job_name: str = "silver", processed_at: Column | None = None) -> DataFrame:
@@ -150,9 +149,8 @@ def cleanse(df: DataFrame, job_name: str = "silver", processed_at: Column | None
         .withColumns({k: F.coalesce(F.col(k), F.lit(0).cast("long")) for k in COUNTERS})
     )
     df = df.withColumns({
-        "like_ratio": ratio("likes", "views", 4, times=100.0),
-        "engagement_rate": ratio(
-            F.col("likes") + F.col("dislikes") + F.col("comment_count"), "views", 4, times=100.0),
+        "like_ratio": ratio("likes", "views", 4, times=100),
+        "engagement_rate": ratio("likes + dislikes + comment_count", "views", 4, times=100),
     })
     df = add_velocity_context(add_duration_seconds(add_rate_metrics(df)))
     stamp = processed_at if processed_at is not None else F.current_timestamp()

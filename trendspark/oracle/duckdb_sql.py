@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from trendspark.config import DEFAULT, MARKETS
+from trendspark.functions.columns import half_up_div_sql, scaled as _scaled
 from trendspark.sources.bridges import CATEGORY_NAMES, ORDERS_CUTOFF, PART_TYPE_CATEGORY
 
 
@@ -27,6 +28,15 @@ def units(x: str) -> str:
     return f"CAST(round({x}) AS BIGINT)"
 
 
+def sc(num: str, den: str, places: int) -> str:
+    """``num / den`` at ``places`` decimals, exact integer HALF_UP (as in Spark)."""
+    return _scaled(num, den, places, op="//", dbl="::DOUBLE")
+
+
+def hdiv(num: str, den: str) -> str:
+    return f"CAST({half_up_div_sql(num, den, '//')} AS BIGINT)"
+
+
 def weighted(parts: list[tuple[str, int]], den: int) -> str:
     n = " + ".join(f"{units(f'({c}) * 100')} * {w}" for c, w in parts)
     return f"(floor(({n} + {den // 2}) / {den}) / 100.0::DOUBLE)"
@@ -134,23 +144,21 @@ _cte("silver0", f"""
 
 _cte("silver1", f"""
   SELECT *,
-    CASE WHEN views > 0 THEN {hr('likes / views * 100.0::DOUBLE', 4)} ELSE 0.0::DOUBLE END AS like_ratio,
-    CASE WHEN views > 0 THEN {hr('(likes + dislikes + comment_count) / views * 100.0::DOUBLE', 4)} ELSE 0.0::DOUBLE END AS engagement_rate,
-    CASE WHEN views > 0 THEN {hr('likes / views', 6)} ELSE 0.0::DOUBLE END AS like_rate,
-    CASE WHEN views > 0 THEN {hr('comment_count / views', 6)} ELSE 0.0::DOUBLE END AS comment_rate,
+    CASE WHEN views > 0 THEN {sc('likes * 100', 'views', 4)} ELSE 0.0::DOUBLE END AS like_ratio,
+    CASE WHEN views > 0 THEN {sc('(likes + dislikes + comment_count) * 100', 'views', 4)} ELSE 0.0::DOUBLE END AS engagement_rate,
+    CASE WHEN views > 0 THEN {sc('likes', 'views', 6)} ELSE 0.0::DOUBLE END AS like_rate,
+    CASE WHEN views > 0 THEN {sc('comment_count', 'views', 6)} ELSE 0.0::DOUBLE END AS comment_rate,
     CASE WHEN duration IS NOT NULL THEN
       coalesce(TRY_CAST(regexp_extract(duration, '(\\d+)H', 1) AS INTEGER), 0) * 3600
       + coalesce(TRY_CAST(regexp_extract(duration, '(\\d+)M', 1) AS INTEGER), 0) * 60
       + coalesce(TRY_CAST(regexp_extract(duration, '(\\d+)S', 1) AS INTEGER), 0) END AS duration_seconds,
-    CASE WHEN try_strptime(publish_time, '{_ISO}') IS NOT NULL AND trending_date_parsed IS NOT NULL
-         THEN {hr(f"date_diff('second', try_strptime(publish_time, '{_ISO}'), CAST(trending_date_parsed AS TIMESTAMP)) / 3600.0::DOUBLE", 2)}
-    END AS video_age_hours
+    {hdiv(f"date_diff('second', try_strptime(publish_time, '{_ISO}'), CAST(trending_date_parsed AS TIMESTAMP)) * 100", '3600')} AS _age_units
   FROM silver0""", "silver0")
 
 _cte("silver", f"""
-  SELECT *,
-    CASE WHEN video_age_hours IS NOT NULL
-         THEN {hr('views / greatest(video_age_hours, 1.0::DOUBLE)', 2)} END AS views_per_hour
+  SELECT * EXCLUDE (_age_units), _age_units / 100.0::DOUBLE AS video_age_hours,
+    CASE WHEN _age_units IS NOT NULL
+         THEN {sc('views * 100', 'greatest(_age_units, 100)', 2)} END AS views_per_hour
   FROM silver1""", "silver1")
 
 REFERENCE = {
@@ -193,7 +201,7 @@ _cte("channel_daily", f"""
     max(channel_title) AS channel_title,
     CAST(sum(views) AS BIGINT) AS daily_views, CAST(sum(likes) AS BIGINT) AS daily_likes,
     CAST(sum(comment_count) AS BIGINT) AS daily_comments,
-    CAST(round(CAST(sum({units('engagement_rate * 10000')}) AS BIGINT) * 100 / count(engagement_rate)) AS BIGINT) AS engagement_units,
+    {hdiv(f"CAST(sum({units('engagement_rate * 10000')}) AS BIGINT) * 100", 'count(engagement_rate)')} AS engagement_units,
     max(views) AS daily_peak_views
   FROM enriched GROUP BY 1, 2, 3""", "enriched")
 
@@ -221,8 +229,8 @@ _cte("channel_cum", """
 _cte("channel_freq", f"""
   SELECT *,
     CASE WHEN trending_video_count_to_date > 0
-         THEN {hr('total_views_to_date / trending_video_count_to_date', 2)} ELSE 0.0::DOUBLE END AS avg_views_per_video_to_date,
-    {hr('days_active_to_date / (CAST(date_diff(\'day\', first_trending_date, snapshot_date) AS DOUBLE) + 1.0::DOUBLE)', 4)} AS trending_frequency,
+         THEN {sc('total_views_to_date', 'trending_video_count_to_date', 2)} ELSE 0.0::DOUBLE END AS avg_views_per_video_to_date,
+    {sc('days_active_to_date', "(date_diff('day', first_trending_date, snapshot_date) + 1)", 4)} AS trending_frequency,
     CAST(row_number() OVER (PARTITION BY region, snapshot_date
                             ORDER BY total_views_to_date DESC NULLS LAST, channel_id ASC NULLS FIRST) AS INTEGER) AS rank_in_region
   FROM channel_cum""", "channel_cum")
@@ -253,14 +261,15 @@ _cte("category0", f"""
 
 _cte("category1", f"""
   SELECT *,
-    {hr('total_views / nullif(sum(total_views) OVER (PARTITION BY region, snapshot_date), 0) * 100', 2)} AS view_share_pct,
+    CASE WHEN sum(total_views) OVER (PARTITION BY region, snapshot_date) > 0
+         THEN {sc('total_views * 100', 'CAST(sum(total_views) OVER (PARTITION BY region, snapshot_date) AS BIGINT)', 2)} END AS view_share_pct,
     CAST(dense_rank() OVER (PARTITION BY region, snapshot_date ORDER BY total_views DESC NULLS LAST) AS INTEGER) AS category_rank
   FROM category0""", "category0")
 
 _cte("category2", f"""
   SELECT *,
     CASE WHEN previous_total_views IS NULL OR previous_total_views = 0 THEN NULL
-         ELSE {hr('(total_views - previous_total_views) / previous_total_views * 100.0::DOUBLE', 2)} END AS category_growth_pct
+         ELSE {sc('(total_views - previous_total_views) * 100', 'previous_total_views', 2)} END AS category_growth_pct
   FROM (SELECT *,
           lag(total_views) OVER s AS previous_total_views,
           lag(category_rank) OVER s AS previous_rank
@@ -268,7 +277,8 @@ _cte("category2", f"""
 
 _cte("category", f"""
   SELECT *,
-    {hr(f"CAST(sum({units('category_growth_pct * 100')}) OVER m AS BIGINT) / (count(category_growth_pct) OVER m * 100.0::DOUBLE)", 2)} AS category_momentum,
+    CASE WHEN count(category_growth_pct) OVER m > 0
+         THEN {hdiv(f"CAST(sum({units('category_growth_pct * 100')}) OVER m AS BIGINT)", 'count(category_growth_pct) OVER m')} / 100.0::DOUBLE END AS category_momentum,
     CASE WHEN previous_rank IS NOT NULL THEN previous_rank - category_rank END AS rank_change
   FROM category2
   WINDOW m AS (PARTITION BY category_id, region ORDER BY snapshot_date
@@ -296,11 +306,10 @@ _cte("vt2", f"""
     views - previous_views AS views_delta, likes - previous_likes AS likes_delta,
     comment_count - previous_comment_count AS comments_delta,
     CASE WHEN previous_views IS NULL OR previous_views = 0 THEN NULL
-         ELSE {hr('(views - previous_views) / previous_views', 6)} END AS view_growth_rate,
-    CASE WHEN previous_engagement_fraction IS NOT NULL
-         THEN {hr('current_engagement_fraction - previous_engagement_fraction', 6)} END AS engagement_change,
+         ELSE {sc('views - previous_views', 'previous_views', 6)} END AS view_growth_rate,
+    ({units('current_engagement_fraction * 1000000')} - {units('previous_engagement_fraction * 1000000')}) / 1000000.0::DOUBLE AS engagement_change,
     CASE WHEN previous_rank IS NOT NULL THEN previous_rank - rank_in_region END AS rank_change,
-    {hr(f'least(trending_days_to_date / {float(DEFAULT.persistence_cap_days)}::DOUBLE, 1.0::DOUBLE) * 100', 2)} AS persistence_score
+    {sc(f'least(trending_days_to_date, {DEFAULT.persistence_cap_days}) * 100', str(DEFAULT.persistence_cap_days), 2)} AS persistence_score
   FROM vt1""", "vt1")
 
 _C = DEFAULT
@@ -318,7 +327,7 @@ _cte("video_trends", f"""
 _cte("cross_market", f"""
   SELECT *,
     CASE WHEN previous_market_count IS NOT NULL THEN market_count - previous_market_count END AS market_count_delta,
-    {hr(f'market_count / {float(_C.total_markets)}::DOUBLE * 100', 2)} AS market_expansion_score
+    {sc('market_count * 100', str(_C.total_markets), 2)} AS market_expansion_score
   FROM (SELECT *, lag(market_count) OVER (PARTITION BY category_id ORDER BY snapshot_date) AS previous_market_count
         FROM (SELECT category_id, snapshot_date, max(category_name) AS category_name,
                      count(DISTINCT region) AS market_count,
