@@ -59,3 +59,14 @@ def test_bucketed_plan_has_no_whole_group_window(spark):
     specs = re.findall(r"windowspecdefinition\(([^)]*)\)", plan)
     # every window is partitioned by the bucket (or a tie group), never by the group alone
     assert specs and all("_bk" in s or "views" in s for s in specs)
+
+
+def test_auto_strategy_checks_group_size(spark, monkeypatch):
+    df = spark.createDataFrame([(f"v{i}", "us", "d", i % 7) for i in range(50)],
+                               "video_id string, region string, snapshot_date string, views long")
+    assert ranking.resolve_buckets(df, G, -1) == 0
+    monkeypatch.setattr(ranking, "WINDOW_MAX_GROUP_ROWS", 10)
+    assert ranking.resolve_buckets(df, G, -1) == ranking.AUTO_BUCKETS
+    a = ranking.rank_within(df, G, "views", "r", "dense_rank", True)
+    b = ranking.rank_within(df, G, "views", "r", "dense_rank", True, buckets=-1)
+    assert _same(a, b)

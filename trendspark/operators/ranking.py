@@ -19,9 +19,29 @@ def _order(value: str, descending: bool, tie_break) -> list[Column]:
     return [primary, *[F.col(t).asc_nulls_first() for t in tie_break]]
 
 
+# auto strategy: groups up to this many rows are ranked by one window (sorted
+# in one task); a larger group switches to the bucketed form
+WINDOW_MAX_GROUP_ROWS = 4_000_000
+AUTO_BUCKETS = 64
+
+
+def resolve_buckets(df: DataFrame, group, buckets: int) -> int:
+    """``buckets < 0`` means auto: measure the largest group, then decide.
+
+    The check is one aggregate job returning a single number; inputs of the
+    job bodies are persisted, so it does not recompute their lineage.
+    """
+    if buckets >= 0:
+        return buckets
+    largest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    return AUTO_BUCKETS if largest > WINDOW_MAX_GROUP_ROWS else 0
+
+
 def rank_within(df: DataFrame, group, value: str, out: str, method: str = "rank",
                 descending: bool = False, tie_break=(), buckets: int = 0) -> DataFrame:
-    """Rank inside ``group``; ``buckets > 0`` selects the skew-safe exact form."""
+    """Rank inside ``group``; ``buckets > 0`` selects the skew-safe exact form,
+    ``buckets < 0`` picks it only when the largest group is too big for one task."""
+    buckets = resolve_buckets(df, group, buckets)
     if buckets > 0:
         if method == "row_number":
             # rank by value, then number the ties by the tie-break key: only a
@@ -43,6 +63,7 @@ def percentile_score(df: DataFrame, group, value: str, out: str, buckets: int =
     double percent rank such as 0.60625 is not exactly representable and its
     rounding would depend on how the double is printed.
     """
+    buckets = resolve_buckets(df, group, buckets)
     if buckets > 0:
         return rank_within_bucketed(df, group, value, out, "percent_score", False, buckets)
     w = Window.partitionBy(*group).orderBy(F.col(value).asc_nulls_first())
