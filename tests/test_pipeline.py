@@ -35,3 +35,46 @@ def test_published_views(spark):
     views = register_views(Layers(spark, SF))
     assert set(views) == {"v_video_trends", "v_category", "v_channel", "v_opportunities", "v_overview"}
     assert spark.sql("SELECT count(*) AS n FROM v_overview").first().n > 0
+
+
+def test_run_reference_overwrites_only_present_markets(spark, tmp_path):
+    import json
+    import os
+
+    def doc(path, items):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as fh:
+            json.dump({"kind": "list", "items": items}, fh)
+
+    bronze, out = tmp_path / "bronze", str(tmp_path / "silver")
+    doc(str(bronze / "region=us" / "date=2026-07-17" / "us.json"),
+        [{"id": "1", "snippet": {"title": "Film & Animation"}}])
+    doc(str(bronze / "region=gb" / "date=2026-07-17" / "gb.json"),
+        [{"id": "2", "snippet": {"title": "Autos & Vehicles"}}])
+    doc(str(bronze / "region=us" / "date=2026-07-18" / "us.json"),
+        [{"id": "1", "snippet": {"title": "Film"}}, {"id": "2", "snippet": {"title": "Autos"}}])
+    first = pipeline.run_reference(spark, str(bronze), "2026-07-17", out)
+    assert sorted((r.region, r.id) for r in first.collect()) == [("gb", "2"), ("us", "1")]
+    second = pipeline.run_reference(spark, str(bronze), "2026-07-18", out)
+    assert sorted((r.region, r.id, r.snippet_title) for r in second.collect()) == [
+        ("gb", "2", "Autos & Vehicles"), ("us", "1", "Film"), ("us", "2", "Autos")]
+
+
+def test_landing_writer_round_trip(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from trendspark.sinks import write_landing
+    from trendspark.sources import snapshots
+    from trendspark.sources.snapshots import ITEM_SCHEMA
+
+    items = spark.createDataFrame([([{"id": "v1", "statistics": {"viewCount": "5"}}],)],
+                                  f"items array<{ITEM_SCHEMA.simpleString()}>")
+    env = items.select("items", F.lit("us").alias("region"), F.lit("2026-07-17").alias("date"),
+                       F.lit(3).alias("hour"), F.lit("i1").alias("ingestion_id"),
+                       F.lit("2026-07-17T03:00:00Z").alias("ingestion_timestamp"))
+    base = str(tmp_path / "landing")
+    write_landing(env, base)
+    back = snapshots.read_snapshot_envelopes(spark, base)
+    row = back.first()
+    assert row.region == "us" and row._pipeline_metadata.item_count == 1
+    assert row._pipeline_metadata.region == "us"
+    assert snapshots.flatten_items(back).first().statistics.viewCount == "5"

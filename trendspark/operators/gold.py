@@ -26,12 +26,16 @@ def _unbounded(w: Window) -> Window:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def add_category_name(df: DataFrame, reference: DataFrame) -> DataFrame:
+BROADCAST_MAX_ROWS = 100_000
+
+
+def add_category_name(df: DataFrame, reference: DataFrame,
+                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Attach ``category_name`` from the per-market reference; labelled fallback.
 
-    The reference has one row per (category, market) after the de-duplication
-    (``min`` title, deterministic), so its size is bounded by categories x
-    markets and the broadcast is safe.
+    The reference is de-duplicated to one row per (category, market) (``min``
+    title, deterministic). It is broadcast only after its row count is checked
+    against ``broadcast_max_rows``; a larger reference takes a shuffle join.
     """
     ref = (
         reference.select(
@@ -43,7 +47,8 @@ def add_category_name(df: DataFrame, reference: DataFrame) -> DataFrame:
         .groupBy("category_id", "region")
         .agg(F.min("_ref_name").alias("_ref_name"))
     )
-    out = df.join(F.broadcast(ref), on=["category_id", "region"], how="left")
+    small = ref.count() <= broadcast_max_rows
+    out = df.join(F.broadcast(ref) if small else ref, on=["category_id", "region"], how="left")
     name = F.coalesce(
         F.col("_ref_name"),
         F.concat(F.lit("Unknown Category "), F.col("category_id").cast("string")),

@@ -19,6 +19,7 @@ from trendspark.operators import gold, opportunities, quality, trends
 from trendspark.plans.layers import Layers
 from trendspark.session import prepare
 from trendspark.sinks import GOLD_PARTITIONS, write_noop, write_table
+from trendspark.sources import reference as reference_docs
 from trendspark.sources import snapshots
 
 
@@ -43,6 +44,21 @@ def run_silver(spark: SparkSession, landing: str, out_root: str, markets=None, d
     return written
 
 
+def run_reference(spark: SparkSession, bronze: str, date: str, out_root: str,
+                  ingested_at: Column | None = None) -> DataFrame:
+    """Category reference documents of one date -> per-market Silver table.
+
+    Raises when the date has no document or none is readable; only the
+    markets present are overwritten (dynamic partition overwrite).
+    """
+    prepare(spark)
+    reference_docs.reference_outcome(spark, bronze, date)
+    flat = reference_docs.read_reference(spark, bronze, date, ingested_at)
+    path = _path(out_root, "clean_reference_data")
+    write_table(flat, path, ("region",))
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_root: str,
              cfg: TrendConfig = CLUSTER) -> dict[str, DataFrame]:
     enriched = gold.add_category_name(silver, reference).persist(StorageLevel.MEMORY_AND_DISK)

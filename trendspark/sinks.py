@@ -42,7 +42,7 @@ def write_landing(envelopes: DataFrame, base: str) -> None:
     ingestion id/time; the lineage struct with the item count is added here.
     """
     enriched = envelopes.withColumn("_pipeline_metadata", F.struct(
-        F.col("ingestion_id"), F.col("region").alias("region_code"),
+        F.col("ingestion_id"), F.col("region").alias("region"),
         F.col("ingestion_timestamp"), F.lit("api").alias("source"),
         F.when(F.col("items").isNotNull(), F.size("items")).alias("item_count"),
     )).drop("ingestion_id", "ingestion_timestamp")
