@@ -78,3 +78,13 @@ def test_landing_writer_round_trip(spark, tmp_path):
     assert row.region == "us" and row._pipeline_metadata.item_count == 1
     assert row._pipeline_metadata.region == "us"
     assert snapshots.flatten_items(back).first().statistics.viewCount == "5"
+
+
+def test_tune_for_cluster_keeps_explicit_settings(spark):
+    from trendspark.session import tune_for_cluster
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    applied = tune_for_cluster(spark, target_input_bytes=10 * 1024 ** 4)
+    assert "spark.sql.adaptive.enabled" not in applied  # already set by the session
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")

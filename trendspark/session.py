@@ -57,3 +57,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="trendspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+CLUSTER_DEFAULTS = {
+    # AQE re-plans at runtime: coalesces small shuffle partitions towards the
+    # advisory size and splits skewed join partitions
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    # scan splits of ~128 MB keep a task's input within executor memory
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def tune_for_cluster(spark: SparkSession, target_input_bytes: int | None = None) -> dict:
+    """Apply ``CLUSTER_DEFAULTS`` where the platform left a setting unset.
+
+    With ``target_input_bytes`` the initial shuffle partition count is sized
+    so each partition starts near the advisory size (AQE then coalesces);
+    without it, a multiple of the cluster's default parallelism is used.
+    """
+    applied = {}
+    for key, value in CLUSTER_DEFAULTS.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+            applied[key] = value
+    if "spark.sql.shuffle.partitions" not in spark.sparkContext.getConf().toDebugString():
+        advisory = int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+        if target_input_bytes:
+            n = max(1, target_input_bytes // advisory)
+        else:
+            n = 3 * spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        applied["spark.sql.shuffle.partitions"] = str(n)
+    return applied
