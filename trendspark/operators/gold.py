@@ -140,10 +140,12 @@ def build_channel_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFr
         "trending_frequency": F.expr(scaled(
             "days_active_to_date", "datediff(snapshot_date, first_trending_date) + 1", 4)),
     })
+    # markets-present (per channel) first: the rank, the percentile and a later
+    # top-N then share one (market, date) partitioning
+    ch = add_markets_present(ch)
     ch = rank_within(ch, ["region", "snapshot_date"], "total_views_to_date", "rank_in_region",
                      method="row_number", descending=True, tie_break=["channel_id"],
                      buckets=cfg.rank_buckets)
-    ch = add_markets_present(ch)
     return add_channel_trend_score(ch, cfg)
 
 
