@@ -33,3 +33,9 @@ def test_incremental_equals_batch_and_is_idempotent(spark, tmp_path):
     newer = [r for r in second.collect() if r.video_id == "v1" and r.region == "us"
              and str(r.trending_date_parsed) == "2026-07-17"]
     assert newer[0].title == "newer"
+
+
+def test_default_stream_checkpoint_is_stable(spark):
+    from trendspark.session import stream_checkpoint
+    a = stream_checkpoint(spark, "incremental_silver_x")
+    assert a == stream_checkpoint(spark, "incremental_silver_x") and a.endswith("streams/incremental_silver_x")

@@ -33,20 +33,22 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     prepare(spark)
+    checkpoint_dir(spark)
     return spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Idempotent session defaults used by every entry point."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a private folder is created.
+    Called only where a reliable checkpoint is taken. A private folder is
+    created only for a local master (tests); on a cluster the setting must
+    name shared storage, never a machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"{_CKPT_KEY} is not set; name a shared folder for checkpoints")
         configured = tempfile.mkdtemp(prefix="trendspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -95,3 +99,20 @@ def tune_for_cluster(spark: SparkSession, target_input_bytes: int | None = None)
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
         applied["spark.sql.shuffle.partitions"] = str(n)
     return applied
+
+
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """A stable per-stream checkpoint folder under ``spark.checkpoint.dir``.
+
+    ``SparkContext.getCheckpointDir()`` adds a per-application id, which would
+    lose a stream's progress between runs; this path depends on the setting
+    and the stream name only.
+    """
+    sc = spark.sparkContext
+    base = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
+    if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"{_CKPT_KEY} is not set; name a shared folder for checkpoints")
+        base = os.path.dirname(checkpoint_dir(spark).rstrip("/"))
+    return os.path.join(base, "streams", name)
+

@@ -16,14 +16,14 @@ replaces. Replaying a batch after a failure yields the same partitions.
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from trendspark.operators.silver import SILVER_KEY
-from trendspark.session import checkpoint_dir, prepare
+from trendspark.session import checkpoint_dir, prepare, stream_checkpoint
 from trendspark.sinks import write_table
 from trendspark.sources import snapshots
 
@@ -60,7 +60,9 @@ def start_incremental_silver(spark: SparkSession, landing: str, silver_path: str
                              available_now: bool = True):
     """Start the stream; with ``available_now`` it drains the backlog and stops."""
     prepare(spark)
-    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "incremental_silver")
+    if checkpoint is None:
+        name = "incremental_silver_" + re.sub(r"[^A-Za-z0-9]+", "_", silver_path).strip("_")
+        checkpoint = stream_checkpoint(spark, name)
     stream = (spark.readStream.schema(LANDING_SCHEMA).option("multiLine", True)
               .option("basePath", landing).json(landing))
     if markets is not None:
