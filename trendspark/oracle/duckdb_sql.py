@@ -335,7 +335,6 @@ _cte("cross_market", f"""
               FROM category GROUP BY 1, 2))""", "category")
 
 # ---- opportunities -----------------------------------------------------------
-_PR = "percent_rank() OVER (PARTITION BY region, snapshot_date ORDER BY {} ASC NULLS FIRST) * 100"
 
 _cte("video_scores", f"""
   SELECT *,
