@@ -88,3 +88,16 @@ def test_tune_for_cluster_keeps_explicit_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == before
     assert spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_reports_on_written_gold_match_on_the_fly(spark, tmp_path):
+    from trendspark.config import DEFAULT
+    from trendspark.plans.layers import Layers
+    from trendspark.plans.reports import REPORTS, run_report, run_report_on_gold
+    out = str(tmp_path / "gold")
+    pipeline.run_all(spark, SF, bridge="activity", sink="parquet", out_root=out, cfg=DEFAULT)
+    layers = Layers(spark, SF)
+    for name in ("q1_1", "q2_6", "q3_4", "q4_7", "q1_7"):
+        a = sorted(map(tuple, run_report(layers, REPORTS[name]).collect()))
+        b = sorted(map(tuple, run_report_on_gold(spark, out, REPORTS[name]).collect()))
+        assert a == b, name

@@ -177,3 +177,22 @@ def duck_text(text: str) -> str:
     for k, v in DUCK_TABLES.items():
         out = out.replace("{" + k + "}", v)
     return out
+
+
+GOLD_TABLES = {"vt": "video_trends", "cat": "category_analytics", "ch": "channel_analytics",
+               "ta": "trending_analytics", "opp": "trend_opportunities"}
+
+
+def run_report_on_gold(spark, gold_root: str, text: str) -> DataFrame:
+    """A report over written Gold tables (the dashboard path).
+
+    The latest-snapshot subquery then reads one column of a Parquet table
+    instead of recomputing the layer graph.
+    """
+    import os
+
+    spark_text = render(text, "spark")
+    frames = {k: spark.read.parquet(os.path.join(gold_root, name))
+              for k, name in GOLD_TABLES.items() if "{" + k + "}" in spark_text}
+    return spark.sql(spark_text, **frames)
+
