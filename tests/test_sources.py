@@ -110,3 +110,26 @@ def test_reference_outcome(spark, tmp_path):
     import pytest
     with pytest.raises(RuntimeError):
         reference.reference_outcome(spark, str(base), "2020-01-01")
+
+
+def test_reference_outcome_empty_document_fails(spark, tmp_path):
+    import pytest
+    base = tmp_path / "ref"
+    _write_json(str(base / "region=us" / "date=2026-07-17" / "us.json"), {"kind": "list", "items": []})
+    with pytest.raises(RuntimeError):
+        reference.reference_outcome(spark, str(base), "2026-07-17")
+    _write_json(str(base / "region=gb" / "date=2026-07-17" / "gb.json"),
+                {"items": [{"id": "2", "snippet": {"title": "Autos & Vehicles"}}]})
+    out = {r.region: r.ok for r in reference.reference_outcome(spark, str(base), "2026-07-17").collect()}
+    assert out == {"us": False, "gb": True}
+
+
+def test_reference_document_without_items_is_one_row(spark, tmp_path):
+    base = tmp_path / "ref"
+    _write_json(str(base / "region=us" / "date=2026-07-17" / "a.json"),
+                {"items": [{"id": "1", "snippet": {"title": "Film & Animation"}}]})
+    _write_json(str(base / "region=kr" / "date=2026-07-17" / "b.json"), {"id": "24", "kind": "single"})
+    flat = {r.region: r.id for r in reference.read_reference(spark, str(base), "2026-07-17").collect()}
+    assert flat == {"us": "1", "kr": "24"}
+    ok = {r.region: r.ok for r in reference.reference_outcome(spark, str(base), "2026-07-17").collect()}
+    assert ok == {"us": True, "kr": True}

@@ -12,18 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+import logging
+
 from trendspark.sources.snapshots import region_from_path
 
 REQUIRED = ("id", "snippet_title")
-
-
-def _flatten(df: DataFrame, col: str, prefix: str) -> list[Column]:
-    out = []
-    dtype = df.schema[col].dataType if "." not in col else None
-    fields = dtype.fields if isinstance(dtype, StructType) else []
-    for f in fields:
-        out.extend(_flatten_field(f"{col}.{f.name}", f.dataType, f"{prefix}{f.name}"))
-    return out
+log = logging.getLogger(__name__)
 
 
 def _flatten_field(path: str, dtype, name: str) -> list[Column]:
@@ -43,7 +37,11 @@ def read_reference(spark: SparkSession, path: str, date: str | None = None,
            .withColumn("_source_file", F.col("_metadata.file_path")))
     if date is not None and "date" in raw.columns:
         raw = raw.where(F.col("date").cast("string") == date)
-    return flatten_reference(raw, ingested_at)
+    flat = flatten_reference(raw, ingested_at)
+    missing = [c for c in REQUIRED if c not in flat.columns]
+    if missing:  # kept as a warning: the lookup falls back to "Unknown Category"
+        log.warning("reference documents lack expected columns %s", missing)
+    return flat
 
 
 def flatten_reference(raw: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -78,9 +76,10 @@ def flatten_reference(raw: DataFrame, ingested_at: Column | None = None) -> Data
 
 
 def reference_outcome(spark: SparkSession, path: str, date: str) -> DataFrame:
-    """Per-file outcome for one date: rows flattened and whether it was readable.
+    """Per-file outcome for one date: category rows and whether the file is usable.
 
-    Raises when the date has no file or when no file could be read.
+    Raises when the date has no file or when no file is usable (unreadable
+    or without any category row).
     """
     raw = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
@@ -89,12 +88,15 @@ def reference_outcome(spark: SparkSession, path: str, date: str) -> DataFrame:
         raw = raw.where(F.col("date").cast("string") == date)
     corrupt = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in raw.columns
                else F.lit(False))
-    n_items = F.size("items") if "items" in raw.columns else F.lit(1)
+    # a document without ``items`` is itself one row
+    n_items = (F.when(F.col("items").isNull(), F.lit(1)).otherwise(F.size("items"))
+               if "items" in raw.columns else F.lit(1))
     per_file = raw.groupBy("_source_file").agg(
         F.max(corrupt.cast("int")).alias("_bad"),
         F.sum(F.greatest(n_items, F.lit(0))).alias("rows"))
+    # a readable document without any category row is a failed file too
     outcome = per_file.select("_source_file", region_from_path(F.col("_source_file")).alias("region"),
-                              (F.col("_bad") == 0).alias("ok"), "rows")
+                              ((F.col("_bad") == 0) & (F.col("rows") > 0)).alias("ok"), "rows")
     stats = outcome.agg(F.count(F.lit(1)).alias("files"), F.count_if("ok").alias("good")).first()
     if stats["files"] == 0:
         raise RuntimeError(f"No reference files found for date={date}")
