@@ -101,3 +101,13 @@ def test_reports_on_written_gold_match_on_the_fly(spark, tmp_path):
         a = sorted(map(tuple, run_report(layers, REPORTS[name]).collect()))
         b = sorted(map(tuple, run_report_on_gold(spark, out, REPORTS[name]).collect()))
         assert a == b, name
+
+
+def test_gold_tables_carry_aggregated_at(spark, tmp_path):
+    from trendspark.config import DEFAULT
+    from trendspark.operators import quality
+    out = str(tmp_path / "gold")
+    tables = pipeline.run_all(spark, SF, bridge="activity", sink="parquet", out_root=out, cfg=DEFAULT)
+    assert all("_aggregated_at" in df.columns for df in tables.values())
+    fresh = quality.run_checks({"trend_opportunities": tables["trend_opportunities"]})
+    assert [r for r in fresh["details"] if r["check"] == "freshness"][0].get("latest_record")

@@ -13,6 +13,7 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trendspark.config import CLUSTER, TrendConfig
 from trendspark.operators import gold, opportunities, quality, trends
@@ -27,6 +28,12 @@ def _path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
+def _stamped(df: DataFrame, aggregated_at: Column | None) -> DataFrame:
+    """Gold lineage column; pass ``aggregated_at`` for reproducible output."""
+    return df.withColumn("_aggregated_at",
+                         aggregated_at if aggregated_at is not None else F.current_timestamp())
+
+
 def run_silver(spark: SparkSession, landing: str, out_root: str, markets=None, dates=None,
                processed_at: Column | None = None, gate: bool = True) -> DataFrame:
     """Landed JSON -> clean_statistics (partitioned by market and date)."""
@@ -60,7 +67,7 @@ def run_reference(spark: SparkSession, bronze: str, date: str, out_root: str,
 
 
 def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_root: str,
-             cfg: TrendConfig = CLUSTER) -> dict[str, DataFrame]:
+             cfg: TrendConfig = CLUSTER, aggregated_at: Column | None = None) -> dict[str, DataFrame]:
     enriched = gold.add_category_name(silver, reference).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
         "trending_analytics": gold.build_trending_analytics(enriched),
@@ -69,7 +76,7 @@ def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_r
     }
     out = {}
     for name, df in tables.items():
-        write_table(df, _path(out_root, name), GOLD_PARTITIONS[name])
+        write_table(_stamped(df, aggregated_at), _path(out_root, name), GOLD_PARTITIONS[name])
         out[name] = spark.read.parquet(_path(out_root, name))
     enriched.unpersist()
     return out
@@ -77,13 +84,16 @@ def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_r
 
 def run_trends(spark: SparkSession, enriched: DataFrame, category: DataFrame,
                channel: DataFrame, out_root: str, cfg: TrendConfig = CLUSTER,
-               gate: bool = True) -> dict[str, DataFrame]:
+               gate: bool = True, aggregated_at: Column | None = None) -> dict[str, DataFrame]:
     vt = trends.compute_video_trends(enriched, cfg)
-    write_table(vt, _path(out_root, "video_trends"), GOLD_PARTITIONS["video_trends"])
+    write_table(_stamped(vt, aggregated_at), _path(out_root, "video_trends"),
+                GOLD_PARTITIONS["video_trends"])
     vt = spark.read.parquet(_path(out_root, "video_trends"))
     cross = trends.compute_cross_market(category, cfg)
-    opp = opportunities.build_trend_opportunities(vt, category, cross, channel, cfg)
-    write_table(opp, _path(out_root, "trend_opportunities"), GOLD_PARTITIONS["trend_opportunities"])
+    opp = opportunities.build_trend_opportunities(vt.drop("_aggregated_at"), category, cross,
+                                                  channel, cfg)
+    write_table(_stamped(opp, aggregated_at), _path(out_root, "trend_opportunities"),
+                GOLD_PARTITIONS["trend_opportunities"])
     out = {"video_trends": vt,
            "trend_opportunities": spark.read.parquet(_path(out_root, "trend_opportunities"))}
     if gate:
@@ -103,8 +113,8 @@ def run_all(spark: SparkSession, sf_dir: str, bridge: str = "orders", sink: str
         reference = layers.reference
         g = run_gold(spark, silver, reference, out_root, cfg)
         enriched = gold.add_category_name(silver, reference)
-        t = run_trends(spark, enriched, g["category_analytics"], g["channel_analytics"],
-                       out_root, cfg, gate=False)
+        t = run_trends(spark, enriched, g["category_analytics"].drop("_aggregated_at"),
+                       g["channel_analytics"].drop("_aggregated_at"), out_root, cfg, gate=False)
         return {**g, **t}
     enriched = layers.enriched.persist(StorageLevel.MEMORY_AND_DISK)
     category = gold.build_category_analytics(enriched, cfg).persist(StorageLevel.MEMORY_AND_DISK)
