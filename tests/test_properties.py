@@ -63,3 +63,13 @@ def test_opportunity_ranks_are_dense_and_capped(spark):
     caps = {"VIDEO": 20, "CATEGORY": 10, "CHANNEL": 10}
     for r in per_group.collect():
         assert r.mn == 1 and r.mx == r.n <= caps[r.scope]
+
+
+def test_bridge_rows_are_unique_per_grain(spark):
+    """Layers skips the Silver de-dup shuffle for bridges; this pins why."""
+    from trendspark.operators.quality import duplicate_rows
+    for bridge in ("activity", "orders"):
+        silver = Layers(spark, SF, bridge).silver
+        assert duplicate_rows(silver, ["video_id", "region", "trending_date_parsed"]) \
+            .first()["duplicate_row_count"] == 0
+        assert silver.where(F.col("trending_date_parsed").isNull()).count() == 0
