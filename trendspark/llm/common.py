@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,8 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def reachable(spark: SparkSession) -> None:
+    """Python workers of this machine find the library where the driver found it (a cluster is sent it as a package)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in (env.get("PYTHONPATH") or os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with the library in the workers' reach."""
+    reachable(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows without their lineage, written to the shared checkpoint folder."""
+    reachable(df.sparkSession)
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
@@ -36,7 +53,7 @@ def arrow_map(df: DataFrame, per_slice: Callable[[pa.RecordBatch], pa.RecordBatc
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def crc_mod(column: str, modulus: int):
@@ -107,3 +124,18 @@ def shingle_hashes(text: str | None, width: int = 5) -> np.ndarray:
     for j in range(width):
         total = total * _P + words[j : j + n]
     return mix64(total)
+
+
+def arrow_filter(docs: DataFrame, column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose value of ``column`` ``keep`` accepts; nothing is shuffled."""
+    at = docs.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                out = part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
+                if out.num_rows:
+                    yield out
+
+    return map_batches(docs, run, docs.schema)
