@@ -147,8 +147,9 @@ def identify_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return identify(docs, models, held_out(id_col), id_col, text_col)
 
 
-#: Least cosine with a prototype for a document to count as written in a known language.
-MIN_SCORE = 0.2
+#: Least cosine with a prototype for a document to count as written in a known language; that of a text unrelated to all
+#: of them is about 1 / sqrt(DIMENSIONS) = 0.03, and short texts in a known language come close to it.
+MIN_SCORE = 0.04
 
 
 def known_language(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

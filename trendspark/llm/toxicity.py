@@ -6,8 +6,9 @@ unlabelled texts minus the prior times that on positives; where an estimate of i
 other way, so it stays non-negative. A linear classifier over hashed words present in a text is trained with numpy.
 
 It is fitted on a bounded sample: at most POSITIVES confirmed toxic texts and UNLABELLED others of the learning rows,
-those with the smallest hash of their id, whole texts. Only words whose share of positives differs from that of
-unlabelled texts by MIN_Z standard errors are used, FEATURES at most. Every text is scored.
+those with the smallest hash of their id, whole texts. Only words that positives have more often than unlabelled texts
+by MIN_Z standard errors, and whose texts are toxic in a share of at least MIN_SHARE (the prior times the ratio of the
+two rates), are used, FEATURES at most. Every text is scored.
 
 Results: an empty or null text has no words and gets the score of the bias alone; without any confirmed toxic row, or
 without any text, all scores are 0. Labels that repeat a doc_id count once, toxic if any is; null labels are not labels.
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from trendspark.llm.common import arrow_filter, arrow_map, crc_mod, word_hashes
 
 POSITIVES, UNLABELLED = 4000, 12_000
-BUCKETS, FEATURES, MIN_Z = 1 << 20, 1024, 5.0
-STEPS, RATE, DECAY = 400, 0.05, 1e-4
+BUCKETS, FEATURES, MIN_Z, MIN_SHARE = 1 << 20, 128, 5.0, 0.4
+STEPS, RATE, DECAY = 1500, 0.05, 3e-6
 THRESHOLD = 0.7
 
 
@@ -64,10 +65,12 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = arrow_map(texts.join(F.broadcast(chosen), "id").select("id", "text", "p"), run, "id long, p int, words array<int>").toArrow()
     order = np.lexsort((rows["id"].to_numpy(), rows["p"].to_numpy())) if rows.num_rows else []
     words, kinds = rows["words"].combine_chunks(), rows["p"].to_pylist()
-    found: tuple[list, list] = ([], [])
+    # copies of a text count once, so that a large group of copies does not make all its words look toxic
+    found: tuple[dict, dict] = ({}, {})
     for i in order:
-        found[kinds[i]].append(np.asarray(words[int(i)].values))
-    return found[1], found[0], share
+        own = np.asarray(words[int(i)].values)
+        found[kinds[i]].setdefault(own.tobytes(), own)
+    return list(found[1].values()), list(found[0].values()), share
 
 
 def _matrix(texts: list, used: np.ndarray) -> np.ndarray:
@@ -87,9 +90,9 @@ def fit(positive: list, unlabelled: list, prior: float) -> tuple[np.ndarray, np.
     in_p, in_u = (np.bincount(np.concatenate([*x, np.empty(0, np.int32)]).astype(np.int64), minlength=BUCKETS) for x in (positive, unlabelled))
     both = (in_p + in_u) / (n_p + n_u)
     z = (in_p / n_p - in_u / n_u) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n_p + 1 / n_u))
-    # enough texts have the word, so that the standard error says something
-    strong = np.flatnonzero((np.abs(z) >= MIN_Z) & (in_p + in_u >= 10))
-    used = np.sort(strong[np.argsort(-np.abs(z[strong]), kind="stable")][:FEATURES]).astype(np.int32)
+    sure = prior * (in_p / n_p) >= MIN_SHARE * (in_u / n_u)
+    strong = np.flatnonzero((z >= MIN_Z) & sure)
+    used = np.sort(strong[np.argsort(-z[strong], kind="stable")][:FEATURES]).astype(np.int32)
     x_p, x_u = _matrix(positive, used), _matrix(unlabelled, used)
     weights, bias = np.zeros(len(used)), float(np.log(prior / max(1 - prior, 1e-9)))
     theta = np.append(weights, bias)
