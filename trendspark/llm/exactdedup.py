@@ -55,7 +55,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = cut(recipes(docs, id_col, text_col))
     best = F.max(F.struct(F.col("doc_id").isNotNull(), F.col("n_points"), -F.col("doc_id"))).alias("best")
     groups = rows.groupBy("recipe").agg(best, F.count("*").alias("group_size"))
-    groups = groups.select("recipe", (-F.col("best.col3")).alias("keep_id"), "group_size")
+    # written out, so that the join has an exchange of its own on both sides and AQE can split a large group
+    groups = cut(groups.select("recipe", (-F.col("best.col3")).alias("keep_id"), "group_size"))
     return rows.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
