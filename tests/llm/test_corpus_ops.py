@@ -316,8 +316,7 @@ def test_unsettled_buckets_are_compared_to_the_end(spark):
     texts = [*c, *a, *b]
     t = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     members = t.select(F.lit(1).cast("long").alias("bucket"), F.col("id").alias("rep"))
-    links = minhash.linked(members, t, np.ones(minhash.BUCKETS), 0.8)
-    root = {r.vertex: r.root for r in components.components(links).collect()}
+    root = {r.vertex: r.root for r in minhash.linked(members, t, np.ones(minhash.BUCKETS), 0.8).collect()}
     assert root == {**dict.fromkeys(range(1, 7), 1), **dict.fromkeys(range(7, 12), 7)}
 
 

@@ -3,7 +3,7 @@
 Each round every vertex joins its first neighbour (itself included) in an order of the vertices, and the graph is
 replaced by the joined vertices. The first two rounds order by id, which settles stars at their smallest vertex; later
 ones order by a hash that changes with the round, so chains shrink by a constant factor too. Rounds are few (logarithmic
-in the longest path) and each is cut from its lineage by a reliable checkpoint. A vertex with very many edges is only
+in the longest path) and each round's graph is cut from its lineage by a reliable checkpoint. A vertex with very many edges is only
 ever in a minimum, which is reduced before the shuffle, and in joins that AQE can split.
 """
 
@@ -31,7 +31,6 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             order = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(round_)).alias("h"), F.col(c).alias("v"))
             step = both.groupBy("a").agg(F.min(order("b")).alias("b")).select(F.col("a").alias("v"), F.least(order("a"), F.col("b"))["v"].alias("to"))
-        step = cut(step)
         steps.append(step)
         left = step.select(F.col("v").alias("a"), F.col("to").alias("na"))
         right = step.select(F.col("v").alias("b"), F.col("to").alias("nb"))
