@@ -100,3 +100,27 @@ def test_unreadable_table_is_failed_check(spark):
 
     res = quality.run_checks({"missing": Broken()})
     assert res["details"][0]["check"] == "read_table" and not res["quality_passed"]
+
+
+def test_freshness_does_not_depend_on_the_time_zone(tmp_path):
+    """A driver west of UTC reads the same age."""
+    import os
+    import subprocess
+    import sys
+    code = """
+import datetime as dt
+from trendspark.session import build_session
+from trendspark.operators import quality
+spark = build_session(master="local[1]", shuffle_partitions=1)
+df = spark.sql("SELECT TIMESTAMP '2026-07-15 14:00:00' AS _processed_at")
+r = [x for x in quality.check_table(df, "x", now=dt.datetime(2026, 7, 17, 12, tzinfo=dt.timezone.utc)) if x["check"] == "freshness"][0]
+assert r["passed"] and r["latest_record"].startswith("2026-07-15 14:00"), r
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "TZ": "America/New_York", "PYTHONPATH": root}
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, env=env, timeout=300).returncode == 0
+
+
+def test_a_missing_path_is_a_failed_check(spark, tmp_path):
+    found = quality.run_checks({"video_trends": str(tmp_path / "nothing")})
+    assert [r["check"] for r in found["details"]] == ["read_table"] and not found["quality_passed"]

@@ -1,72 +1,75 @@
-"""Skew-safe bucketed ranks equal the window ranks exactly."""
+"""Histogram ranks equal plain window ranks exactly, at every bucket size and in the value's own type."""
+
+import random
+import re
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trendspark.operators import ranking
-from trendspark.plans.layers import Layers
 
-G = ["region", "snapshot_date"]
+G = ["region", "day"]
+
+
+def _frame(spark, kind):
+    rng = random.Random(5)
+    near = [2**53, 2**53 + 1, 2**53 + 2, -(2**62), 2**63 - 1, 0]
+    pick = {"bigint": lambda: rng.choice([*near, rng.randrange(40)]), "double": lambda: rng.choice([0.1, -0.0, 0.0, 1e300, rng.random()]),
+            "decimal(20,2)": lambda: Decimal(rng.randrange(60)) / 4}[kind]
+    rows = [(f"v{i:05d}", "us" if i % 5 else None, "d1", None if i % 11 == 0 else pick()) for i in range(900)]
+    hot = pick()
+    rows += [(f"w{i:05d}", "us", "d1", hot) for i in range(450)] + [("x", "gb", "d2", pick()), ("y", "fr", "d1", None)]
+    return spark.createDataFrame(rows, f"id string, region string, day string, v {kind}").cache()
+
+
+def _window(df, method, descending):
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+    w = Window.partitionBy(*G)
+    if method == "percent_score":
+        return df.withColumn("r", F.round(F.percent_rank().over(w.orderBy(order)).cast("decimal(30,20)") * 100, 2).cast("double"))
+    fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
+    return df.withColumn("r", fn().over(w.orderBy(order, "id")) if method == "row_number" else fn().over(w.orderBy(order)))
 
 
-@pytest.fixture(scope="module")
-def vt(spark):
-    df = Layers(spark, "/root/testdata/sf0.001").video_trends.select(
-        "video_id", "region", "snapshot_date", "views", "view_growth_rate")
-    return df.cache()
+def _values(df):
+    return sorted((r.id, r.r) for r in df.select("id", "r").collect())
 
 
-def _same(a, b):
-    cols = ["video_id", "region", "snapshot_date", "r"]
-    return a.select(cols).exceptAll(b.select(cols)).count() == 0 and a.count() == b.count()
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(20,2)"])
+@pytest.mark.parametrize("per_bucket", [3, 40, 200_000])
+def test_every_rank_equals_the_window(spark, kind, per_bucket):
+    df = _frame(spark, kind)
+    for method, descending in [("rank", False), ("rank", True), ("dense_rank", False), ("dense_rank", True), ("row_number", True), ("row_number", False)]:
+        got = ranking.rank_within(df, G, "v", "r", method, descending, tie_break=["id"], values_per_bucket=per_bucket)
+        assert _values(got) == _values(_window(df, method, descending)), (method, descending)
 
 
-@pytest.mark.parametrize("method,value,desc", [
-    ("dense_rank", "views", True), ("rank", "view_growth_rate", False),
-    ("dense_rank", "view_growth_rate", True)])
-@pytest.mark.parametrize("buckets", [1, 3, 16])
-def test_bucketed_equals_window(vt, method, value, desc, buckets):
-    a = ranking.rank_within(vt, G, value, "r", method=method, descending=desc)
-    b = ranking.rank_within(vt, G, value, "r", method=method, descending=desc, buckets=buckets)
-    assert _same(a, b)
+def test_percentiles_equal_the_window(spark):
+    df = _frame(spark, "bigint")
+    want = _values(_window(df, "percent_score", False))
+    for per_bucket in (3, 200_000):
+        assert _values(ranking.percentile_score(df, G, "v", "r", values_per_bucket=per_bucket)) == want
+    assert _values(ranking.percentile_score_small(df, G, "v", "r")) == want
 
 
-def test_bucketed_percentile_and_row_number(vt):
-    a = ranking.percentile_score(vt, G, "view_growth_rate", "r")
-    b = ranking.percentile_score(vt, G, "view_growth_rate", "r", buckets=8)
-    assert _same(a, b)
-    a = ranking.rank_within(vt, G, "views", "r", "row_number", True, tie_break=["video_id"])
-    b = ranking.rank_within(vt, G, "views", "r", "row_number", True, tie_break=["video_id"], buckets=8)
-    assert _same(a, b)
+def test_row_numbers_are_unique_beyond_double_precision(spark):
+    df = spark.createDataFrame([("a", "us", "d", 2**53), ("b", "us", "d", 2**53 + 1)], "id string, region string, day string, v bigint")
+    got = ranking.rank_within(df, G, "v", "r", "row_number", True, tie_break=["id"])
+    assert _values(got) == [("a", 2), ("b", 1)]
 
 
-def test_hot_group_with_heavy_ties(spark):
-    # one market-day holds most rows, a third of them tied on one value
-    rows = [(f"v{i}", "us", "2026-07-17", 7 if i % 3 == 0 else i % 50) for i in range(3000)]
-    rows += [(f"w{i}", "gb", "2026-07-17", i) for i in range(20)]
-    df = spark.createDataFrame(rows, "video_id string, region string, snapshot_date string, views long")
-    for method in ("rank", "dense_rank"):
-        a = ranking.rank_within(df, G, "views", "r", method=method, descending=True)
-        b = ranking.rank_within(df, G, "views", "r", method=method, descending=True, buckets=16)
-        assert _same(a, b)
+def test_several_ranks_share_one_histogram(spark):
+    df = _frame(spark, "bigint")
+    got = ranking.with_ranks(df, G, "v", {"r": ("rank", True), "p": ("percent_score", False)})
+    assert _values(got) == _values(_window(df, "rank", True))
+    assert got.columns == [*df.columns, "r", "p"]
 
 
-def test_bucketed_plan_has_no_whole_group_window(spark):
-    df = spark.createDataFrame([("v", "us", "d", 1)], "video_id string, region string, snapshot_date string, views long")
-    plan = ranking.rank_within(df, G, "views", "r", "rank", True, buckets=8)._jdf.queryExecution() \
-        .executedPlan().toString()
-    import re
+def test_no_window_is_over_a_whole_group_of_rows(spark):
+    df = spark.createDataFrame([("v", "us", "d", 1)], "id string, region string, day string, v bigint")
+    plan = ranking.rank_within(df, G, "v", "r", "rank", True)._jdf.queryExecution().executedPlan().toString()
     specs = re.findall(r"windowspecdefinition\(([^)]*)\)", plan)
-    # every window is partitioned by the bucket (or a tie group), never by the group alone
-    assert specs and all("_bk" in s or "views" in s for s in specs)
-
-
-def test_auto_strategy_checks_group_size(spark, monkeypatch):
-    df = spark.createDataFrame([(f"v{i}", "us", "d", i % 7) for i in range(50)],
-                               "video_id string, region string, snapshot_date string, views long")
-    assert ranking.resolve_buckets(df, G, -1) == 0
-    monkeypatch.setattr(ranking, "WINDOW_MAX_GROUP_ROWS", 10)
-    assert ranking.resolve_buckets(df, G, -1) == ranking.AUTO_BUCKETS
-    a = ranking.rank_within(df, G, "views", "r", "dense_rank", True)
-    b = ranking.rank_within(df, G, "views", "r", "dense_rank", True, buckets=-1)
-    assert _same(a, b)
+    # by (group, bucket) over values, and by group over its buckets only
+    assert specs and all("_at" in s or "_r#" in s or "_n#" in s for s in specs) or "_at" in plan

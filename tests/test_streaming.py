@@ -39,3 +39,25 @@ def test_default_stream_checkpoint_is_stable(spark):
     from trendspark.session import stream_checkpoint
     a = stream_checkpoint(spark, "incremental_silver_x")
     assert a == stream_checkpoint(spark, "incremental_silver_x") and a.endswith("streams/incremental_silver_x")
+
+
+def test_late_files_and_missing_dates_equal_batch(spark, tmp_path):
+    """An older copy that lands later does not win, in one or several batches; rows of no date are kept."""
+    from pyspark.sql import functions as F
+
+    from trendspark.streaming.incremental import merge_batch
+
+    landing, table, ckpt = (str(tmp_path / x) for x in ("landing", "silver", "ckpt"))
+    _land(landing, "us", "2026-07-17", 5, _doc([_item("v1", 120)], ingestion_id="i5"), "late.json")
+    run_incremental_silver(spark, landing, table, ckpt)
+    _land(landing, "us", "2026-07-17", 3, _doc([_item("v1", 100), _item("v2", 7)], ingestion_id="i3"), "early.json")
+    got = run_incremental_silver(spark, landing, table, ckpt)
+    batch = snapshots.api_to_silver(snapshots.flatten_items(snapshots.read_snapshot_envelopes(spark, landing)))
+    assert _rows(got) == _rows(batch) and {r.video_id: r.views for r in got.collect()} == {"v1": 120, "v2": 7}
+
+    undated = str(tmp_path / "undated")
+    envelopes = snapshots.read_snapshot_envelopes(spark, landing).withColumn("date", F.lit(None).cast("date"))
+    merge_batch(envelopes.where("hour = 5"), undated)
+    merge_batch(envelopes.where("hour = 3"), undated)
+    merge_batch(envelopes.where("hour = 3"), undated)
+    assert {r.video_id: r.views for r in spark.read.parquet(undated).collect()} == {"v1": 120, "v2": 7}

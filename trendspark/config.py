@@ -54,22 +54,9 @@ class TrendConfig:
     dq_max_views: int = 50_000_000_000
     dq_freshness_hours: int = 48
 
-    # ranks / percentiles inside (market, date): 0 = one window per group
-    # (the whole group sorted in one task); > 0 = exact bucketed ranks with
-    # this many value buckets per group (no whole-group window; hot markets
-    # are spread over tasks); < 0 = auto: measure the largest group first and
-    # use the bucketed form only beyond ranking.WINDOW_MAX_GROUP_ROWS.
-    # Categories per market-date are few and always use the window.
-    rank_buckets: int = 0
-
     # category evidence used to multiply an already-percent rate by 100 again;
     # True reproduces that text, False prints the rate as a percent once
     legacy_evidence: bool = False
 
 
 DEFAULT = TrendConfig()
-# cluster jobs: a (market, date) group too large for one task is ranked with
-# exact bucketed ranks; smaller ones keep the single window
-CLUSTER = TrendConfig(rank_buckets=-1)
-# always bucketed (what CLUSTER does once a group exceeds the limit)
-SKEW_SAFE = TrendConfig(rank_buckets=64)

@@ -19,38 +19,55 @@ def c(name_or_col) -> Column:
     return F.col(name_or_col) if isinstance(name_or_col, str) else name_or_col
 
 
-def half_up_div_sql(num: str, den: str, op: str = "div") -> str:
-    """SQL text: integer ``num / den`` rounded HALF_UP (away from zero), exactly.
-
-    ``den`` must be positive. Integer division keeps the result exact for any
-    magnitude and avoids ``round(double)``, which Spark evaluates through a
-    per-row ``BigDecimal`` built from the double's printed form.
-    """
-    return (f"(CASE WHEN ({num}) >= 0 THEN (2 * ({num}) + ({den})) {op} (2 * ({den})) "
-            f"ELSE -((2 * -({num}) + ({den})) {op} (2 * ({den}))) END)")
+#: Largest magnitude of a numerator for which the doubled, scaled value stays a long.
+_LONG_ROOM = 4_000_000_000_000_000_000
 
 
-def scaled(num: str, den: str, places: int, op: str = "div", dbl: str = "D") -> str:
-    """SQL text: ``num / den`` at ``places`` decimals (HALF_UP) as a DOUBLE."""
-    unit = 10 ** places
-    q = half_up_div_sql(f"({num}) * {unit}", den, op)
-    return f"(CAST({q} AS BIGINT) / {unit}.0{dbl})"
+def _terms(num: str | tuple[str, ...]) -> list[str]:
+    return [num] if isinstance(num, str) else list(num)
 
 
-def ratio(num: str, den: str, places: int, times: int = 1) -> Column:
-    """``num / den * times`` at ``places`` decimals when ``den > 0``, else 0.0.
+def half_up_quotient(num: str | tuple[str, ...], den: str, times: int = 1) -> str:
+    """SQL text: ``num * times / den`` rounded HALF_UP (away from zero) to a whole number, as a DOUBLE.
 
-    ``num`` / ``den`` are SQL expressions over integer columns.
+    ``num`` is an integer expression or several to be added up; a term that starts with ``-`` is subtracted. Exact for
+    any long: where the scaled numerator might leave the long range, the same division is done in DECIMAL(38, 0). A
+    negative divisor turns the sign of both; a NULL or zero divisor gives NULL. (``round(double)`` would go through the
+    double's printed form, row by row.)
     """
-    n = f"({num}) * {times}" if times != 1 else num
-    return F.expr(f"CASE WHEN ({den}) > 0 THEN {scaled(n, den, places)} ELSE 0.0D END")
+    terms = [t.strip() for t in _terms(num)]
+    parts = [(t[1:], "-") if t.startswith("-") else (t, "+") for t in terms]
+    room = _LONG_ROOM // (2 * times * len(parts))
+    fits = " AND ".join(f"({x}) BETWEEN -{room} AND {room}" for x, _ in parts)
+    fits += f" AND ({den}) BETWEEN -{_LONG_ROOM // 4} AND {_LONG_ROOM // 4}"
+
+    def total(form: str) -> str:
+        return "(" + " ".join(f"{sign} {form.format(x)}" for x, sign in parts) + ")"
+
+    n, d = total("({})"), f"({den})"
+    wide_n, wide_d = total("CAST(({}) AS DECIMAL(20,0))"), f"CAST({d} AS DECIMAL(20,0))"
+    wide_up = f"(2 * abs({wide_n}) * {times} + abs({wide_d}))"
+    return (f"(CASE WHEN ({den}) = 0 THEN NULL "
+            f"WHEN {fits} THEN CAST(sign({n}) * sign({d}) AS INT) "
+            f"* CAST((2 * {times} * abs({n}) + abs({d})) div (2 * abs({d})) AS DOUBLE) "
+            f"ELSE CAST(sign({wide_n}) * sign({wide_d}) AS INT) "
+            f"* CAST(({wide_up} - {wide_up} % (2 * abs({wide_d}))) / (2 * abs({wide_d})) AS DOUBLE) END)")
+
+
+def scaled(num: str | tuple[str, ...], den: str, places: int, times: int = 1) -> str:
+    """SQL text: ``num * times / den`` at ``places`` decimals (HALF_UP) as a DOUBLE."""
+    unit = 10 ** places
+    return f"({half_up_quotient(num, den, unit * times)} / {unit}.0D)"
+
+
+def ratio(num: str | tuple[str, ...], den: str, places: int, times: int = 1) -> Column:
+    """``num / den * times`` at ``places`` decimals when ``den > 0``, else 0.0."""
+    return F.expr(f"CASE WHEN ({den}) > 0 THEN {scaled(num, den, places, times)} ELSE 0.0D END")
 
 
 def growth(cur: str, prev: str, places: int, times: int = 1) -> Column:
-    """Relative change vs. the previous value; NULL without a usable baseline."""
-    n = f"(({cur}) - ({prev})) * {times}" if times != 1 else f"({cur}) - ({prev})"
-    return F.expr(f"CASE WHEN ({prev}) IS NULL OR ({prev}) = 0 THEN CAST(NULL AS DOUBLE) "
-                  f"ELSE {scaled(n, prev, places)} END")
+    """Relative change vs. the previous value; NULL without a usable baseline (none, or zero)."""
+    return F.expr(f"CASE WHEN ({prev}) <> 0 THEN {scaled((cur, '-' + prev), prev, places, times)} END")
 
 
 def duration_seconds(col) -> Column:
@@ -112,20 +129,20 @@ def scaled_mean(col, scale: int) -> Column:
 
 
 def trend_stage(cfg: TrendConfig = DEFAULT) -> Column:
-    """Ordered stage rules, first match wins (EMERGING/FADING/.../ESTABLISHED)."""
-    g = F.col("view_growth_rate")
-    days = F.col("trending_days_to_date")
-    return (
-        F.when(F.col("is_new_entrant"), F.lit("EMERGING"))
-        .when(g < cfg.fading_growth_threshold, F.lit("FADING"))
-        .when((days <= cfg.emerging_max_days) & (g > cfg.emerging_growth_threshold),
-              F.lit("EMERGING"))
-        .when((days > cfg.established_min_days)
-              & (g >= cfg.fading_growth_threshold)
-              & (g <= cfg.emerging_growth_threshold), F.lit("ESTABLISHED"))
-        .when(g > 0, F.lit("SUSTAINING"))
-        .otherwise(F.lit("ESTABLISHED"))
-    )
+    """Lifecycle stage of a video in its market.
+
+    A video is EMERGING on its first day, and while it is young and growing fast; FADING when it shrinks beyond the
+    threshold; SUSTAINING when it grows without being an old video of flat growth; everything else is ESTABLISHED.
+    """
+    rate = "view_growth_rate"
+    young = f"trending_days_to_date <= {cfg.emerging_max_days}"
+    flat = f"{rate} <= {cfg.emerging_growth_threshold}D"
+    old = f"trending_days_to_date > {cfg.established_min_days}"
+    return F.expr(f"""CASE
+        WHEN is_new_entrant OR ({young} AND NOT {flat}) THEN 'EMERGING'
+        WHEN {rate} < {cfg.fading_growth_threshold}D THEN 'FADING'
+        WHEN {rate} > 0 AND NOT ({old} AND {flat}) THEN 'SUSTAINING'
+        ELSE 'ESTABLISHED' END""")
 
 
 def fixed1(col) -> Column:
@@ -137,16 +154,6 @@ def fixed2(col) -> Column:
     return c(col).cast("decimal(18,2)").cast("string")
 
 
-def half_up_sql(units: str, divisor: int, op: str = "div") -> str:
-    """SQL text: ``units / divisor`` rounded HALF_UP (away from zero), exactly.
-
-    ``units`` is an integer expression; integer division keeps the result exact
-    for any magnitude, unlike rounding a double through its decimal text.
-    ``op`` is the integer-division operator of the dialect.
-    """
-    return f"(sign({units}) * ((2 * abs({units}) + {divisor}) {op} ({2 * divisor})))"
-
-
-def half_up(units: str, divisor: int, scale: float) -> Column:
-    """``half_up_sql(units, divisor) / scale`` as a DOUBLE column (Spark SQL)."""
-    return F.expr(f"CAST({half_up_sql(units, divisor)} AS BIGINT) / {scale!r}D")
+def half_up(units_col: str, divisor: int, scale: float) -> Column:
+    """Whole units divided by ``divisor``, rounded HALF_UP, then by ``scale``, as a DOUBLE."""
+    return F.expr(f"({half_up_quotient(units_col, str(divisor))} / {scale!r}D)")

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
-from trendspark.functions.columns import (growth, half_up_div_sql, hundredths, scaled,
+from trendspark.functions.columns import (growth, half_up_quotient, hundredths, scaled,
                                           scaled_mean, units, weighted_score)
-from trendspark.operators.ranking import percentile_score, rank_within
+from trendspark.operators.ranking import percentile_score, with_ranks
 
 DATE = "trending_date_parsed"
 MARKET_DAY = ("region", DATE)
@@ -26,35 +26,17 @@ def _unbounded(w: Window) -> Window:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-BROADCAST_MAX_ROWS = 100_000
+def add_category_name(df: DataFrame, reference: DataFrame) -> DataFrame:
+    """``category_name`` of each row's category in its market, or a label made of the id.
 
-
-def add_category_name(df: DataFrame, reference: DataFrame,
-                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Attach ``category_name`` from the per-market reference; labelled fallback.
-
-    The reference is de-duplicated to one row per (category, market) (``min``
-    title, deterministic). It is broadcast only after its row count is checked
-    against ``broadcast_max_rows``; a larger reference takes a shuffle join.
+    The reference is reduced to one title (the smallest) per category and market; the optimizer chooses the join from
+    real sizes at run time, so nothing runs while the plan is built.
     """
-    ref = (
-        reference.select(
-            F.col("id").try_cast("long").alias("category_id"),
-            F.col("snippet_title").alias("_ref_name"),
-            F.col("region").alias("region"),
-        )
-        .where(F.col("category_id").isNotNull())
-        .groupBy("category_id", "region")
-        .agg(F.min("_ref_name").alias("_ref_name"))
-    )
-    small = ref.count() <= broadcast_max_rows
-    out = df.join(F.broadcast(ref) if small else ref, on=["category_id", "region"], how="left")
-    name = F.coalesce(
-        F.col("_ref_name"),
-        F.concat(F.lit("Unknown Category "), F.col("category_id").cast("string")),
-    )
-    return out.withColumn("category_name", name).drop("_ref_name").select(
-        *df.columns, "category_name")
+    titles = reference.groupBy(F.expr("try_cast(id AS BIGINT)").alias("category_id"), "region").agg(
+        F.min("snippet_title").alias("_title"))
+    named = df.join(titles.where("category_id IS NOT NULL"), ["category_id", "region"], "left")
+    return named.select(*df.columns, F.expr(
+        "coalesce(_title, 'Unknown Category ' || CAST(category_id AS STRING))").alias("category_name"))
 
 
 def build_trending_analytics(df: DataFrame) -> DataFrame:
@@ -95,7 +77,7 @@ def channel_daily(df: DataFrame) -> DataFrame:
         F.sum("eu").alias("_eu"), F.sum("en").alias("_en"),
         F.max("pv").alias("daily_peak_views"),
     )
-    eng_units = F.expr(f"CAST({half_up_div_sql('_eu * 100', '_en')} AS BIGINT)")
+    eng_units = F.expr(f"CAST({half_up_quotient('_eu', '_en', 100)} AS BIGINT)")
     return daily.select("channel_key", *MARKET_DAY, "channel_title", "daily_views", "daily_likes",
                         "daily_comments", eng_units.alias("engagement_units"), "daily_peak_views")
 
@@ -143,9 +125,10 @@ def build_channel_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFr
     # markets-present (per channel) first: the rank, the percentile and a later
     # top-N then share one (market, date) partitioning
     ch = add_markets_present(ch)
-    ch = rank_within(ch, ["region", "snapshot_date"], "total_views_to_date", "rank_in_region",
-                     method="row_number", descending=True, tie_break=["channel_id"],
-                     buckets=cfg.rank_buckets)
+    # rank and percentile of the same value come from one histogram
+    ch = with_ranks(ch, ["region", "snapshot_date"], "total_views_to_date",
+                    {"rank_in_region": ("row_number", True), "views_percentile": ("percent_score", False)},
+                    tie_break=["channel_id"])
     return add_channel_trend_score(ch, cfg)
 
 
@@ -168,11 +151,11 @@ def add_markets_present(channel: DataFrame) -> DataFrame:
 
 def add_channel_trend_score(channel: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFrame:
     """70 % views percentile in market+date, 30 % trending frequency (0-100)."""
-    ch = percentile_score(channel, ["region", "snapshot_date"], "total_views_to_date",
-                          "views_percentile", buckets=cfg.rank_buckets)
+    if "views_percentile" not in channel.columns:
+        channel = percentile_score(channel, ["region", "snapshot_date"], "total_views_to_date", "views_percentile")
     wp, wf = cfg.channel_weights
     freq_pct = F.rint(F.col("trending_frequency") * 10_000) / 100.0
-    return ch.withColumn(
+    return channel.withColumn(
         "trend_score",
         weighted_score([(F.col("views_percentile"), wp), (freq_pct, wf)], wp + wf))
 
@@ -191,11 +174,11 @@ def build_category_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataF
     market_day = Window.partitionBy(*MARKET_DAY)
     cat = cat.withColumn("_day_total", F.sum("total_views").over(market_day)).withColumn(
         "view_share_pct",
-        F.expr(f"CASE WHEN _day_total > 0 THEN {scaled('total_views * 100', '_day_total', 2)} END"),
+        F.expr(f"CASE WHEN _day_total > 0 THEN {scaled('total_views', '_day_total', 2, times=100)} END"),
     ).drop("_day_total")
     # rank first: then every (category, market) series function shares one sort
-    cat = rank_within(cat, list(MARKET_DAY), "total_views", "category_rank",
-                      method="dense_rank", descending=True)
+    # (categories of a market-day are few, so their rank is a plain window)
+    cat = cat.withColumn("category_rank", F.dense_rank().over(market_day.orderBy(F.col("total_views").desc_nulls_last())))
     series = Window.partitionBy("category_id", "region").orderBy(DATE)
     cat = cat.withColumns({
         "previous_total_views": F.lag("total_views").over(series),
@@ -209,11 +192,7 @@ def build_category_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataF
         "_m_sum": F.sum(hundredths("category_growth_pct")).over(frame),
         "_m_n": F.count("category_growth_pct").over(frame),
     }).withColumn("category_momentum", F.expr(
-        f"CASE WHEN _m_n > 0 THEN CAST({half_up_div_sql('_m_sum', '_m_n')} AS BIGINT) / 100.0D END"
+        f"CASE WHEN _m_n > 0 THEN {half_up_quotient('_m_sum', '_m_n')} / 100.0D END"
     )).drop("_m_sum", "_m_n")
-    cat = cat.withColumn(
-        "rank_change",
-        F.when(F.col("previous_rank").isNotNull(), F.col("previous_rank") - F.col("category_rank"))
-        .otherwise(F.lit(None).cast("int")),
-    )
+    cat = cat.withColumn("rank_change", F.col("previous_rank") - F.col("category_rank"))
     return cat.withColumnRenamed(DATE, "snapshot_date")

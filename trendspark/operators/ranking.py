@@ -1,8 +1,16 @@
-"""Ranks and percentile ranks inside (market, date) groups.
+"""Exact ranks and percentile ranks inside groups of any size.
 
-``rank_within`` / ``percentile_score`` are the single place where a ranking
-over a possibly huge group is expressed, so the strategy can change without
-touching the operators that use them.
+A window over (market, date) would sort a whole market-day in one task. Every rank here comes from a histogram instead,
+in one form at every size:
+
+1. rows -> (group, value, count), combined map-side, so a hot group or a hot value collapses before the shuffle;
+2. quantiles of each group's distinct values cut its value range into buckets; their number follows from the data, one
+   for every ``VALUES_PER_BUCKET`` values, up to ``QUANTILES`` (a group of fewer has one bucket and no cuts);
+3. totals per (group, bucket) give each bucket's offset, and the group's totals, by a window over its few buckets;
+4. inside (group, bucket) a window counts the smaller values, and the result is joined back on (group, value).
+
+Values keep their own type throughout (boundaries may be inexact, comparisons are not), a descending order is counted
+from the other end, and equal values always share a bucket, so ties are exact.
 """
 
 from __future__ import annotations
@@ -10,167 +18,117 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_FUNCS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number,
-          "percent_rank": F.percent_rank}
+#: Most buckets of a group, and distinct values for each before there is more than one.
+QUANTILES, VALUES_PER_BUCKET = 1024, 200_000
+_FINE = 32
+
+
+def _same(group: list[str], prefix: str) -> Column:
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same &= F.col(g).eqNullSafe(F.col(f"{prefix}{i}"))
+    return same
+
+
+def _bucket(cuts: Column, v: Column) -> Column:
+    """Number of cuts below a value, -1 for NULL. Coarse cuts first, then those between two of them: at most 2 * 32
+    comparisons for 1024 buckets."""
+    coarse = F.size(F.filter(cuts, lambda x, i: ((i + 1) % _FINE == 0) & (x < v))) * _FINE
+    exact = F.transform(F.array(coarse), lambda c: c + F.size(F.filter(F.slice(cuts, c + 1, F.lit(_FINE)), lambda x: x < v)))[0]
+    return F.when(v.isNull(), -1).when(F.size(cuts) == 0, 0).otherwise(exact)
+
+
+def _positions(df: DataFrame, group: list[str], value: str, values_per_bucket: int) -> DataFrame:
+    """Per (group, ``_v``): rows and values below it, its own rows, and the group's totals; ``_v`` is NULL for NULLs."""
+    hist = df.groupBy(*group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_own"))
+    shares = F.array(*[F.lit((i + 1) / QUANTILES) for i in range(QUANTILES - 1)])
+    step = f"greatest(1, CAST({QUANTILES} / ceil(_d / {values_per_bucket}) AS INT))"
+    stats = hist.groupBy(*[F.col(g).alias(f"_s{i}") for i, g in enumerate(group)]).agg(
+        F.count("_v").alias("_d"), F.percentile_approx("_v", shares, 2 * QUANTILES).alias("_q"))
+    stats = stats.withColumn("_cuts", F.expr(
+        f"CASE WHEN _d <= {values_per_bucket} THEN slice(_q, 1, 0) ELSE filter(_q, (x, i) -> (i + 1) % {step} = 0) END")).drop("_q", "_d")
+    keyed = hist.join(stats, _same(group, "_s")).select(*group, "_v", "_own", _bucket(F.col("_cuts"), F.col("_v")).alias("_at"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = keyed.groupBy(*group, "_at").agg(F.sum("_own").alias("_r"), F.count("_v").alias("_n")).select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_at").alias("_b"),
+        F.coalesce(F.sum("_r").over(before), F.lit(0)).alias("_r0"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+        F.sum("_r").over(whole).alias("_rows"), F.sum("_n").over(whole).alias("_values"),
+        F.coalesce(F.sum(F.expr("CASE WHEN _at < 0 THEN _r END")).over(whole), F.lit(0)).alias("_nulls"))
+    inside = Window.partitionBy(*group, "_at").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = keyed.withColumns({"_r1": F.coalesce(F.sum("_own").over(inside), F.lit(0)), "_n1": F.count("_v").over(inside)})
+    return keyed.join(buckets, _same(group, "_g") & (F.col("_at") == F.col("_b"))).select(
+        *[F.col(g).alias(f"_p{i}") for i, g in enumerate(group)], "_v", "_own", "_rows", "_values", "_nulls",
+        (F.col("_r0") + F.col("_r1")).alias("_below"), (F.col("_n0") + F.col("_n1")).alias("_values_below"))
+
+
+def _result(method: str, descending: bool) -> Column:
+    """Ascending orders have NULLs first, descending ones last."""
+    if method == "percent_score":
+        return F.expr("CASE WHEN _rows > 1 THEN (_below * 20000 + (_rows - 1)) div (2 * (_rows - 1)) / 100.0D ELSE 0.0D END")
+    if method in ("rank", "row_number"):
+        return F.expr("CAST(_rows - _below - _own + 1 AS INT)" if descending else "CAST(_below + 1 AS INT)")
+    if method == "dense_rank":
+        if descending:
+            return F.expr("CAST(CASE WHEN _v IS NULL THEN _values + 1 ELSE _values - _values_below END AS INT)")
+        return F.expr("CAST(CASE WHEN _v IS NULL THEN 1 ELSE _values_below + 1 + CAST(_nulls > 0 AS INT) END AS INT)")
+    raise ValueError(f"unsupported method {method}")
+
+
+def with_ranks(df: DataFrame, group, value: str, outs: dict[str, tuple[str, bool]], tie_break=(),
+               values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+    """Several ranks of one value in one pass; ``outs``: column -> (method, descending).
+
+    Methods: ``rank``, ``dense_rank``, ``row_number`` (rows of equal value numbered by ``tie_break``; only rows of one
+    value in one group are ever sorted together) and ``percent_score``: ``percent_rank * 100`` at 2 places, HALF_UP in
+    integers. Groups and values compare null-safely.
+    """
+    return with_ranks_of(df, group, {value: outs}, tie_break, values_per_bucket)
 
 
-def _order(value: str, descending: bool, tie_break) -> list[Column]:
-    primary = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    return [primary, *[F.col(t).asc_nulls_first() for t in tie_break]]
+def with_ranks_of(df: DataFrame, group, values: dict[str, dict[str, tuple[str, bool]]], tie_break=(),
+                  values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+    """``with_ranks`` of several values; the histograms all come from ``df``, so its plan does not nest."""
+    group, out, added = list(group), df, []
+    for value, outs in values.items():
+        found = _positions(df, group, value, values_per_bucket)
+        out = out.join(found, F.col(value).eqNullSafe(F.col("_v")) & _same(group, "_p"), "left")
+        columns = {}
+        for name, (method, descending) in outs.items():
+            column = _result(method, descending)
+            if method == "row_number":
+                ties = Window.partitionBy(*group, value).orderBy(*[F.col(t).asc_nulls_first() for t in tie_break])
+                column = (column + F.row_number().over(ties) - 1).cast("int")
+            columns[name] = column
+        added += outs
+        out = out.withColumns(columns).select(*df.columns, *added)
+    return out
 
 
-# auto strategy: groups up to this many rows are ranked by one window (sorted
-# in one task); a larger group switches to the bucketed form
-WINDOW_MAX_GROUP_ROWS = 4_000_000
-AUTO_BUCKETS = 64
+def rank_within(df: DataFrame, group, value: str, out: str, method: str = "rank", descending: bool = False,
+                tie_break=(), values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+    """One rank inside ``group``; see ``with_ranks``."""
+    return with_ranks(df, group, value, {out: (method, descending)}, tie_break, values_per_bucket)
 
 
-def resolve_buckets(df: DataFrame, group, buckets: int) -> int:
-    """``buckets < 0`` means auto: measure the largest group, then decide.
+def percentile_score(df: DataFrame, group, value: str, out: str, values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+    """Percent rank x 100 at 2 decimals, ascending, NULLs first (they score 0)."""
+    return with_ranks(df, group, value, {out: ("percent_score", False)}, values_per_bucket=values_per_bucket)
 
-    The check is one aggregate job returning a single number; inputs of the
-    job bodies are persisted, so it does not recompute their lineage.
-    """
-    if buckets >= 0:
-        return buckets
-    largest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
-    return AUTO_BUCKETS if largest > WINDOW_MAX_GROUP_ROWS else 0
-
-
-def rank_within(df: DataFrame, group, value: str, out: str, method: str = "rank",
-                descending: bool = False, tie_break=(), buckets: int = 0) -> DataFrame:
-    """Rank inside ``group``; ``buckets > 0`` selects the skew-safe exact form,
-    ``buckets < 0`` picks it only when the largest group is too big for one task."""
-    buckets = resolve_buckets(df, group, buckets)
-    if buckets > 0:
-        if method == "row_number":
-            # rank by value, then number the ties by the tie-break key: only a
-            # group of exactly equal values is ever sorted together
-            ranked = rank_within_bucketed(df, group, value, "_rk", "rank", descending, buckets)
-            ties = Window.partitionBy(*group, value).orderBy(*[F.col(t).asc_nulls_first()
-                                                               for t in tie_break])
-            return ranked.withColumn(out, (F.col("_rk") + F.row_number().over(ties) - 1)
-                                     .cast("int")).drop("_rk")
-        return rank_within_bucketed(df, group, value, out, method, descending, buckets)
-    w = Window.partitionBy(*group).orderBy(*_order(value, descending, tie_break))
-    return df.withColumn(out, _FUNCS[method]().over(w))
-
-
-def percentile_score(df: DataFrame, group, value: str, out: str, buckets: int = 0) -> DataFrame:
-    """Percent rank x 100 at 2 decimals, ascending, NULLs first (they score 0).
-
-    ``(rank - 1) / (n - 1)`` is rounded HALF_UP in exact integer arithmetic: a
-    double percent rank such as 0.60625 is not exactly representable and its
-    rounding would depend on how the double is printed.
-    """
-    buckets = resolve_buckets(df, group, buckets)
-    if buckets > 0:
-        return rank_within_bucketed(df, group, value, out, "percent_score", False, buckets)
-    w = Window.partitionBy(*group).orderBy(F.col(value).asc_nulls_first())
-    size = Window.partitionBy(*group)
-    ranked = df.withColumns({"_pr_rank": F.rank().over(w).cast("long"),
-                             "_pr_n": F.count(F.lit(1)).over(size)})
-    score = F.expr("CASE WHEN _pr_n > 1 THEN "
-                   "((_pr_rank - 1) * 20000 + (_pr_n - 1)) div (2 * (_pr_n - 1)) / 100.0D "
-                   "ELSE 0.0D END")
-    return ranked.withColumn(out, score).drop("_pr_rank", "_pr_n")
-
-
-def top_n(df: DataFrame, group, value: str, n: int, out: str = "rank",
-          tie_break=()) -> DataFrame:
+
+def percentile_score_small(df: DataFrame, group, value: str, out: str) -> DataFrame:
+    """``percentile_score`` by plain windows, for groups that are small by nature (the categories of a market-day)."""
+    whole = Window.partitionBy(*group)
+    rank, rows = F.rank().over(whole.orderBy(F.col(value).asc_nulls_first())), F.count(F.lit(1)).over(whole)
+    df = df.withColumns({"_below": (rank - 1).cast("long"), "_rows": rows})
+    return df.withColumn(out, _result("percent_score", False)).drop("_below", "_rows")
+
+
+def top_n(df: DataFrame, group, value: str, n: int, out: str = "rank", tie_break=()) -> DataFrame:
     """``row_number() <= n`` per group, highest ``value`` first.
 
-    Catalyst plans this as a partial ``WindowGroupLimit`` before the shuffle,
-    so each input partition ships at most ``n`` rows per group.
-    """
-    w = Window.partitionBy(*group).orderBy(*_order(value, True, tie_break))
-    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n)
-
-
-# ---- skew-safe exact ranks -------------------------------------------------
-#
-# A window over (market, date) sorts each whole group in one task; a market
-# holding a third of all rows would make that task the job. The bucketed form
-# computes the same exact ranks without any whole-group window:
-#
-# 1. histogram: rows -> (group, value, count); combined map-side, so a hot
-#    group or a hot value collapses before the shuffle;
-# 2. per group, B-1 approximate quantile boundaries of the values (a sketch
-#    aggregate, bounded memory) split the value range into B buckets;
-# 3. per (group, bucket): row and distinct-value totals -> offsets by a window
-#    over at most B rows per group;
-# 4. inside (group, bucket): counts of smaller values by a window over about
-#    1/B of the group's distinct values;
-# 5. rank = offset + rank inside the bucket; joined back on (group, value).
-#
-# Equal values always fall in the same bucket, so ties are exact.
-
-def _bucketed_ranks(df: DataFrame, group: list[str], value: str, descending: bool,
-                    buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Ranks of every distinct non-null key ``_k`` and per-group counts.
-
-    ``_k`` is the value (negated when ``descending``) so ranks always ascend.
-    Both outputs derive from one histogram of the input.
-    """
-    key = (-F.col(value) if descending else F.col(value)).cast("double")
-    hist = df.select(*group, key.alias("_k")).groupBy(*group, "_k").agg(
-        F.count(F.lit(1)).alias("_c"))
-    stats = hist.groupBy(*group).agg(
-        F.sum("_c").alias("_n"),
-        F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_c"))), F.lit(0)).alias("_n_null"),
-        F.count("_k").alias("_d_nonnull"))
-    nonnull = hist.where(F.col("_k").isNotNull())
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = nonnull.groupBy(*group).agg(
-        F.percentile_approx("_k", probs, 1_000).alias("_b"))
-    bucket = F.expr("size(filter(_b, x -> x < _k))") if buckets > 1 else F.lit(0)
-    keyed = nonnull.join(bounds, group).withColumn("_bk", bucket).drop("_b")
-    totals = keyed.groupBy(*group, "_bk").agg(F.sum("_c").alias("_rows"),
-                                              F.count(F.lit(1)).alias("_vals"))
-    before = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*group, "_bk",
-                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_off"),
-                           F.coalesce(F.sum("_vals").over(before), F.lit(0)).alias("_val_off"))
-    inside = Window.partitionBy(*group, "_bk").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    keyed = keyed.select(*group, "_bk", "_k",
-                         F.coalesce(F.sum("_c").over(inside), F.lit(0)).alias("_row_before"),
-                         F.count(F.lit(1)).over(inside).alias("_val_before"))
-    ranks = keyed.join(totals, [*group, "_bk"]).select(
-        *group, "_k",
-        (F.col("_row_off") + F.col("_row_before") + 1).alias("_rank"),
-        (F.col("_val_off") + F.col("_val_before") + 1).alias("_dense"))
-    return ranks, stats
-
-
-def rank_within_bucketed(df: DataFrame, group, value: str, out: str, method: str = "rank",
-                         descending: bool = False, buckets: int = 64) -> DataFrame:
-    """Exact ``rank``/``dense_rank``/``percent_score`` without whole-group windows.
-
-    Order is ascending NULLS FIRST, or descending NULLS LAST (as the window
-    forms). ``percent_score`` is ``round(percent_rank * 100, 2)`` HALF_UP.
+    Catalyst plans this as a partial ``WindowGroupLimit`` before the shuffle, so each input partition ships at most
+    ``n`` rows per group.
     """
-    group = list(group)
-    ranks, stats = _bucketed_ranks(df, group, value, descending, buckets)
-    key = (-F.col(value) if descending else F.col(value)).cast("double")
-    joined = (df.withColumn("_k", key)
-              .join(ranks, [*group, "_k"], "left")
-              .join(stats, group, "left"))
-    nulls_first = not descending
-    shift = F.col("_n_null") if nulls_first else F.lit(0)
-    null_rank = F.lit(1) if nulls_first else F.col("_n") - F.col("_n_null") + 1
-    null_dense = F.lit(1) if nulls_first else F.col("_d_nonnull") + 1
-    rank = F.when(F.col("_k").isNull(), null_rank).otherwise(F.col("_rank") + shift)
-    dense = F.when(F.col("_k").isNull(), null_dense).otherwise(
-        F.col("_dense") + F.when(F.col("_n_null") > 0, 1).otherwise(0) * F.lit(int(nulls_first)))
-    if method == "rank":
-        result = rank.cast("int")
-    elif method == "dense_rank":
-        result = dense.cast("int")
-    elif method == "percent_score":
-        joined = joined.withColumn("_r", rank.cast("long"))
-        result = F.expr("CASE WHEN _n > 1 THEN ((_r - 1) * 20000 + (_n - 1)) div (2 * (_n - 1)) "
-                        "/ 100.0D ELSE 0.0D END")
-    else:
-        raise ValueError(f"unsupported method {method}")
-    drop = ["_k", "_rank", "_dense", "_n", "_n_null", "_d_nonnull", "_r"]
-    return joined.withColumn(out, result).drop(*drop).select(*df.columns, out)
+    order = [F.col(value).desc_nulls_last(), *[F.col(t).asc_nulls_first() for t in tie_break]]
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col(out) <= n)

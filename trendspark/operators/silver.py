@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.functions.columns import (duration_seconds, half_up_div_sql, ratio, scaled,
+from trendspark.functions.columns import (duration_seconds, half_up_quotient, ratio, scaled,
                                           snapshot_date)
 
 SILVER_KEY = ("video_id", "region", "trending_date_parsed")
@@ -130,13 +130,13 @@ def add_velocity_context(df: DataFrame) -> DataFrame:
     seconds = ("unix_timestamp(CAST(trending_date_parsed AS TIMESTAMP)) "
                "- unix_timestamp(try_to_timestamp(publish_time))")
     df = df.withColumn("_age_units", F.expr(
-        f"CAST({half_up_div_sql(f'({seconds}) * 100', '3600')} AS BIGINT)"))
+        f"CAST({half_up_quotient(seconds, '3600', 100)} AS BIGINT)"))
     return df.withColumns({
         "video_age_hours": F.col("_age_units") / 100.0,
         # views / max(age, 1 h) at 2 places = views * 10^4 / max(age units, 100)
         "views_per_hour": F.expr(
             "CASE WHEN _age_units IS NOT NULL THEN "
-            f"{scaled('views * 100', 'greatest(_age_units, 100)', 2)} END"),
+            f"{scaled('views', 'greatest(_age_units, 100)', 2, times=100)} END"),
     }).drop("_age_units")
 
 
@@ -150,7 +150,7 @@ def cleanse(df: DataFrame, job_name: str = "silver", processed_at: Column | None
     )
     df = df.withColumns({
         "like_ratio": ratio("likes", "views", 4, times=100),
-        "engagement_rate": ratio("likes + dislikes + comment_count", "views", 4, times=100),
+        "engagement_rate": ratio(("likes", "dislikes", "comment_count"), "views", 4, times=100),
     })
     df = add_velocity_context(add_duration_seconds(add_rate_metrics(df)))
     stamp = processed_at if processed_at is not None else F.current_timestamp()
@@ -158,23 +158,16 @@ def cleanse(df: DataFrame, job_name: str = "silver", processed_at: Column | None
 
 
 def deduplicate(df: DataFrame, key=SILVER_KEY, order=("_processed_at",)) -> DataFrame:
-    """Keep the greatest row per key by ``order`` (then by all columns).
+    """Keep the greatest row per key by ``order`` (then by all other columns).
 
-    Written as ``max_by`` aggregation rather than ``row_number``: the aggregate
-    is combined map-side, so a key holding a large share of the rows is
-    reduced inside each input partition before the shuffle instead of landing
-    whole in one task. The struct ordering is total, so the survivor does not
-    depend on input order.
+    One struct per row, order columns first, and its ``max``: the aggregate is combined map-side, so a key holding a
+    large share of the rows is reduced inside each input partition before the shuffle, and each row travels once. The
+    struct's order is total, so the survivor does not depend on input order.
     """
     others = [x for x in df.columns if x not in key]
-    ordering = F.struct(*[F.col(o) for o in order], *[F.col(x) for x in others])
-    payload = F.struct(*[F.col(x) for x in others])
-    return (
-        df.groupBy(*key)
-        .agg(F.max_by(payload, ordering).alias("_row"))
-        .select(*key, "_row.*")
-        .select(*df.columns)
-    )
+    first = [x for x in order if x in others]
+    row = F.struct(*first, *[x for x in others if x not in first])
+    return df.groupBy(*key).agg(F.max(row).alias("_row")).select(*key, "_row.*").select(*df.columns)
 
 
 def quality_counts(df: DataFrame) -> DataFrame:

@@ -10,9 +10,24 @@ from __future__ import annotations
 
 import re
 
-from trendspark.config import DEFAULT, MARKETS
-from trendspark.functions.columns import half_up_div_sql, scaled as _scaled
-from trendspark.sources.bridges import CATEGORY_NAMES, ORDERS_CUTOFF, PART_TYPE_CATEGORY
+# Fixed values of the model, stated here on their own: nothing of the code under test is imported.
+MARKETS = ("us", "gb", "in", "ca", "au", "de", "fr", "jp", "kr", "ru")
+PART_TYPE_CATEGORY = {
+    "ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6,
+}
+CATEGORY_NAMES = {
+    1: "Film & Animation", 2: "Autos & Vehicles", 3: "Music",
+    4: "Pets & Animals", 5: "Sports", 6: "Travel & Events",
+}
+
+
+class DEFAULT:
+    emerging_max_days, emerging_growth_threshold = 3, 0.2
+    fading_growth_threshold, established_min_days = -0.05, 7
+    persistence_cap_days, total_markets = 7, 10
+    video_weights, category_weights, channel_weights = (5, 3, 2), (8, 5, 7), (7, 3)
+    top_videos, top_categories, top_channels = 20, 10, 10
+    momentum_snapshots = 3
 
 
 def hr(x: str, n: int) -> str:
@@ -28,13 +43,19 @@ def units(x: str) -> str:
     return f"CAST(round({x}) AS BIGINT)"
 
 
+def _half_up(num: str, den: str) -> str:
+    """HALF_UP (away from zero) in 128-bit integers."""
+    n, d = f"CAST({num} AS HUGEINT)", f"CAST({den} AS HUGEINT)"
+    return f"(sign({n}) * sign({d}) * ((2 * abs({n}) + abs({d})) // (2 * abs({d}))))"
+
+
 def sc(num: str, den: str, places: int) -> str:
     """``num / den`` at ``places`` decimals, exact integer HALF_UP (as in Spark)."""
-    return _scaled(num, den, places, op="//", dbl="::DOUBLE")
+    return f"({_half_up(f'({num}) * {10 ** places}', den)}::DOUBLE / {10 ** places}.0::DOUBLE)"
 
 
 def hdiv(num: str, den: str) -> str:
-    return f"CAST({half_up_div_sql(num, den, '//')} AS BIGINT)"
+    return f"CAST({_half_up(num, den)} AS BIGINT)"
 
 
 def weighted(parts: list[tuple[str, int]], den: int) -> str:
@@ -116,7 +137,6 @@ raw AS (
     JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey
-    WHERE o_orderdate < TIMESTAMP '{ORDERS_CUTOFF} 00:00:00'
     GROUP BY 1, 2, 3
   ) obs
   JOIN part ON l_partkey = p_partkey

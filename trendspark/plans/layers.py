@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
 from trendspark.operators import gold, opportunities, silver, trends
-from trendspark.session import prepare
+from trendspark.session import checkpoint_dir, prepare
 from trendspark.sources.bridges import SNAPSHOT_BRIDGES, category_reference
 
 FIXED_AS_OF = "2026-01-01 00:00:00"
@@ -40,6 +40,11 @@ class Layers:
         return silver.build_silver(self.raw, job_name=f"bridge_{self.bridge}",
                                    processed_at=self.as_of, dedup=False)
 
+    @cached_property
+    def newest_day(self) -> DataFrame:
+        """One row, ``day``: the newest snapshot of Silver, and so of every Gold table."""
+        return self.silver.agg(F.max("trending_date_parsed").alias("day"))
+
     @cached_property
     def reference(self) -> DataFrame:
         return category_reference(self.spark, self.sf_dir, self.bridge, self.cfg)
@@ -73,6 +78,16 @@ class Layers:
         return opportunities.build_trend_opportunities(
             self.video_trends, self.category, self.cross_market, self.channel, self.cfg)
 
+    def shared(self) -> "Layers":
+        """These layers with Silver and the Gold tables that others build on written once (reliable checkpoints), for
+        queries that read several of them."""
+        if "enriched" not in self.__dict__:
+            checkpoint_dir(self.spark)
+            self.silver = self.silver.checkpoint()
+            for name in ("enriched", "category", "channel", "video_trends", "opportunities"):
+                setattr(self, name, getattr(self, name).checkpoint())
+        return self
+
     def gold_tables(self) -> dict[str, DataFrame]:
         return {
             "trending_analytics": self.trending,

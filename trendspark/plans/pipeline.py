@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.config import CLUSTER, TrendConfig
+from trendspark.config import DEFAULT, TrendConfig
 from trendspark.operators import gold, opportunities, quality, trends
 from trendspark.plans.layers import Layers
 from trendspark.session import prepare
@@ -67,7 +67,7 @@ def run_reference(spark: SparkSession, bronze: str, date: str, out_root: str,
 
 
 def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_root: str,
-             cfg: TrendConfig = CLUSTER, aggregated_at: Column | None = None) -> dict[str, DataFrame]:
+             cfg: TrendConfig = DEFAULT, aggregated_at: Column | None = None) -> dict[str, DataFrame]:
     enriched = gold.add_category_name(silver, reference).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
         "trending_analytics": gold.build_trending_analytics(enriched),
@@ -76,24 +76,24 @@ def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_r
     }
     out = {}
     for name, df in tables.items():
-        write_table(_stamped(df, aggregated_at), _path(out_root, name), GOLD_PARTITIONS[name])
+        write_table(_stamped(df, aggregated_at), _path(out_root, name), GOLD_PARTITIONS[name], whole=True)
         out[name] = spark.read.parquet(_path(out_root, name))
     enriched.unpersist()
     return out
 
 
 def run_trends(spark: SparkSession, enriched: DataFrame, category: DataFrame,
-               channel: DataFrame, out_root: str, cfg: TrendConfig = CLUSTER,
+               channel: DataFrame, out_root: str, cfg: TrendConfig = DEFAULT,
                gate: bool = True, aggregated_at: Column | None = None) -> dict[str, DataFrame]:
     vt = trends.compute_video_trends(enriched, cfg)
     write_table(_stamped(vt, aggregated_at), _path(out_root, "video_trends"),
-                GOLD_PARTITIONS["video_trends"])
+                GOLD_PARTITIONS["video_trends"], whole=True)
     vt = spark.read.parquet(_path(out_root, "video_trends"))
     cross = trends.compute_cross_market(category, cfg)
     opp = opportunities.build_trend_opportunities(vt.drop("_aggregated_at"), category, cross,
                                                   channel, cfg)
     write_table(_stamped(opp, aggregated_at), _path(out_root, "trend_opportunities"),
-                GOLD_PARTITIONS["trend_opportunities"])
+                GOLD_PARTITIONS["trend_opportunities"], whole=True)
     out = {"video_trends": vt,
            "trend_opportunities": spark.read.parquet(_path(out_root, "trend_opportunities"))}
     if gate:
@@ -103,12 +103,12 @@ def run_trends(spark: SparkSession, enriched: DataFrame, category: DataFrame,
 
 
 def run_all(spark: SparkSession, sf_dir: str, bridge: str = "orders", sink: str = "noop",
-            out_root: str | None = None, cfg: TrendConfig = CLUSTER) -> dict[str, DataFrame]:
+            out_root: str | None = None, cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
     """Every Gold table from a bridge source; ``sink='parquet'`` writes them."""
     layers = Layers(spark, sf_dir, bridge, cfg)
     if sink == "parquet":
         assert out_root, "out_root is required for the parquet sink"
-        write_table(layers.silver, _path(out_root, "clean_statistics"), ("region",))
+        write_table(layers.silver, _path(out_root, "clean_statistics"), ("region",), whole=True)
         silver = spark.read.parquet(_path(out_root, "clean_statistics"))
         reference = layers.reference
         g = run_gold(spark, silver, reference, out_root, cfg)

@@ -14,11 +14,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.oracle.duckdb_sql import with_layers
+from trendspark.oracle.duckdb_sql import sc, with_layers
+from trendspark.oracle.reports_sql import REPORTS as REPORTS_SQL
 from trendspark.operators import gold, quality, silver
 from trendspark.operators.opportunities import video_scores
 from trendspark.plans import reports, views
-from trendspark.plans.layers import Layers
+from trendspark.plans.layers import FIXED_AS_OF, Layers
+from trendspark.sources.reference import flatten_reference
+from trendspark.sources.snapshots import api_to_silver, region_from_path
 from trendspark.sources.testdata import read_table
 from trendspark.session import prepare
 
@@ -105,6 +108,77 @@ def _json_props() -> Query:
     return Query(run, "SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 
 
+def _events_as_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API items made of ``events``: one per event, so a (user, market, day) that has several is landed repeatedly."""
+    prepare(spark)
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    return ev.selectExpr(
+        "concat('u', user_id) AS id",
+        "named_struct('title', concat('Video ', event_id), 'channelTitle', concat('Channel ', user_id % 25),"
+        " 'channelId', concat('UC', user_id % 25), 'categoryId', CAST(user_id % 5 + 1 AS STRING),"
+        " 'publishedAt', '2020-01-01T00:00:00Z', 'tags', CAST(NULL AS STRING)) AS snippet",
+        "named_struct('viewCount', IF(event_id % 9 = 0, 'junk', CAST(CAST(floor(value * 100) AS BIGINT) AS STRING)),"
+        " 'likeCount', CAST(event_id % 50 AS STRING), 'commentCount', CAST(NULL AS STRING)) AS statistics",
+        "named_struct('duration', concat('PT', user_id % 60, 'M')) AS contentDetails",
+        "concat(' M', event_id % 3, ' ') AS region", "to_date(ts) AS date", "hour(ts) AS _hour",
+        "CAST(ts AS STRING) AS _ingestion_timestamp", "CAST(event_id AS STRING) AS _ingestion_id")
+
+
+def _api_silver() -> Query:
+    cols = SILVER_KEY + ("title", "channel_id", "category_id", "views", "likes", "dislikes", "comment_count", "like_rate",
+                         "duration_seconds", "_job_name")
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stamp = F.lit(FIXED_AS_OF).cast("timestamp")
+        stamped = F.date_format("_processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_text")
+        return api_to_silver(_events_as_items(spark, sf_dir), "api", stamp).select(*cols, stamped)
+
+    sql = f"""SELECT video_id, region, trending_date_parsed, title, channel_id, category_id, views, likes, dislikes, comment_count,
+        CASE WHEN views > 0 THEN {sc('likes', 'views', 6)} ELSE 0.0::DOUBLE END AS like_rate, duration_seconds,
+        'api' AS _job_name, '{FIXED_AS_OF}' AS processed_text
+      FROM (SELECT 'u' || user_id AS video_id, 'm' || event_id % 3 AS region, CAST(ts AS DATE) AS trending_date_parsed,
+          'Video ' || event_id AS title, 'UC' || user_id % 25 AS channel_id, CAST(user_id % 5 + 1 AS BIGINT) AS category_id,
+          CASE WHEN event_id % 9 = 0 THEN 0 ELSE CAST(floor(value * 100) AS BIGINT) END AS views,
+          CAST(event_id % 50 AS BIGINT) AS likes, CAST(0 AS BIGINT) AS dislikes, CAST(0 AS BIGINT) AS comment_count,
+          CAST(user_id % 60 * 60 AS INTEGER) AS duration_seconds,
+          row_number() OVER (PARTITION BY user_id, event_id % 3, CAST(ts AS DATE)
+                             ORDER BY hour(ts) DESC, ts DESC, CAST(event_id AS VARCHAR) DESC) AS rn
+        FROM events) WHERE rn = 1"""
+    return Query(run, sql)
+
+
+def _reference_flatten() -> Query:
+    """One reference document per region made of ``nation``, each nation's item twice: the last copy of an id stays."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+        item = ("named_struct('id', CAST(n_nationkey % 4 AS STRING), 'kind', CAST(copy AS STRING),"
+                " 'snippet', named_struct('title', concat(n_name, '/', copy)))")
+        docs = nation.selectExpr("*", "explode(array(1, 2)) AS copy").groupBy("n_regionkey").agg(
+            F.expr(f"transform(array_sort(collect_list(struct(copy, n_nationkey, {item} AS item))), x -> x.item)").alias("items"))
+        raw = docs.selectExpr("items", "concat('s3://reference/region=m', n_regionkey, '/date=2026-01-01/c.json') AS _source_file")
+        flat = flatten_reference(raw, F.lit(FIXED_AS_OF).cast("timestamp"))
+        return flat.select("_source_file", "region", "id", "kind", "snippet_title", "_ingestion_timestamp")
+
+    sql = """SELECT 's3://reference/region=m' || n_regionkey || '/date=2026-01-01/c.json' AS _source_file, 'm' || n_regionkey AS region,
+        CAST(n_nationkey % 4 AS VARCHAR) AS id, '2' AS kind, max_by(n_name, n_nationkey) || '/2' AS snippet_title,
+        '2026-01-01T00:00:00Z' AS _ingestion_timestamp
+      FROM nation GROUP BY n_regionkey, n_nationkey % 4"""
+    return Query(run, sql)
+
+
+def _path_region() -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pages = read_table(spark, sf_dir, "pages", "page_id", "url")
+        path = F.expr("CASE page_id % 3 WHEN 0 THEN concat('s3://b/region=m', page_id % 7, '/date=2026-01-01/x') "
+                      "WHEN 1 THEN concat('region=', substr(url, 1, 4), '/y') ELSE url END")
+        return pages.select("page_id", region_from_path(path).alias("region"))
+
+    sql = """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'm' || page_id % 7 WHEN 1 THEN substr(url, 1, 4) ELSE 'unknown' END AS region
+      FROM pages"""
+    return Query(run, sql)
+
+
 def _video_scores() -> Query:
     cols = VT_KEY + ("velocity_score", "engagement_score", "trend_score")
 
@@ -121,11 +195,11 @@ def _channel_stage(fn, columns, cte) -> Query:
     return Query(run, with_layers(f"SELECT {_cols(*columns)} FROM {cte}"))
 
 
-def _report(name: str, text: str, bridge: str = "activity", oracle: bool = True) -> Query:
+def _report(name: str, text: str, bridge: str = "activity") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return reports.run_report(Layers(spark, sf_dir, bridge), text)
 
-    return Query(run, with_layers(reports.duck_text(text), bridge) if oracle else None)
+    return Query(run, with_layers(REPORTS_SQL[name], bridge))
 
 
 def _quality(check: str) -> Query:
@@ -148,6 +222,9 @@ def build() -> dict[str, Query]:
     q["clean_dates"] = _layer_query("silver", ("video_id", "region", "trending_date",
                                                "trending_date_parsed"), "silver")
     q["json_props"] = _json_props()
+    q["api_silver"] = _api_silver()
+    q["reference_flatten"] = _reference_flatten()
+    q["region_from_path"] = _path_region()
     # ---- Gold
     q["category_lookup"] = _layer_query("enriched", SILVER_KEY + ("category_id", "category_name"),
                                         "enriched")
@@ -214,7 +291,7 @@ def build() -> dict[str, Query]:
     for name, text in reports.REPORTS.items():
         q[name] = _report(name, text)
     for name, text in reports.APPROX_REPORTS.items():
-        q[name] = _report(name, text, oracle=False)
+        q[name] = _report(name, text)
     for name, (attr, cols, cte) in views.VIEWS.items():
         q[name] = _layer_query(attr, cols, cte)
     return q

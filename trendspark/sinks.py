@@ -1,10 +1,11 @@
-"""Parquet sinks: idempotent partition overwrite and the landing layout.
-
-Gold is recomputed over the full history each run, so its sink overwrites
-(dynamic partition overwrite replaces exactly the partitions present in the
-frame): a rerun leaves identical tables instead of duplicated rows. The
-``rebalance`` hint lets AQE split a hot partition value over several tasks
-and merge small ones, instead of one task per value.
+"""Parquet sinks: idempotent overwrite and the landing layout.
+
+Gold is recomputed over the full history each run and replaces its whole table, so
+a market or date that is gone leaves nothing behind; Silver and reference replace
+exactly the partitions present in the frame. Which of the two is an option of the
+write itself. Gold is partitioned by date, so the reports' newest-day predicate
+prunes all other days. The ``rebalance`` hint lets AQE split a hot partition value
+over several tasks and merge small ones, instead of one task per value.
 """
 
 from __future__ import annotations
@@ -13,19 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GOLD_PARTITIONS = {
-    "trending_analytics": ("region",),
-    "channel_analytics": ("region",),
-    "category_analytics": ("region",),
-    "video_trends": ("region",),
-    "trend_opportunities": ("scope",),
+    "trending_analytics": ("trending_date_parsed",),
+    "channel_analytics": ("snapshot_date",),
+    "category_analytics": ("snapshot_date",),
+    "video_trends": ("snapshot_date",),
+    "trend_opportunities": ("snapshot_date",),
 }
 
 
-def write_table(df: DataFrame, path: str, partition_cols=(), mode: str = "overwrite") -> None:
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def write_table(df: DataFrame, path: str, partition_cols=(), whole: bool = False) -> None:
+    """Overwrite the partitions present in ``df``, or with ``whole`` the entire table."""
     out = df.hint("rebalance", *partition_cols) if partition_cols else df
-    writer = out.write.mode(mode).option("compression", "snappy")
+    writer = (out.write.mode("overwrite").option("compression", "snappy")
+              .option("partitionOverwriteMode", "static" if whole else "dynamic"))
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)

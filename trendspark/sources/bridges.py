@@ -32,7 +32,6 @@ CATEGORY_NAMES = {
     1: "Film & Animation", 2: "Autos & Vehicles", 3: "Music",
     4: "Pets & Animals", 5: "Sports", 6: "Travel & Events",
 }
-ORDERS_CUTOFF = "2001-08-01"  # the last month of orders holds a single day
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -91,10 +90,7 @@ def orders_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    orders = (
-        read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-        .where(F.col("o_orderdate") < F.lit(ORDERS_CUTOFF).cast("timestamp_ntz"))
-    )
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     lineitem = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey",
                           "l_quantity", "l_extendedprice", "l_returnflag")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")

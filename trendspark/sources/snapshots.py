@@ -87,16 +87,18 @@ def flatten_items(envelopes: DataFrame) -> DataFrame:
 
 
 def api_to_silver(items: DataFrame, job_name: str = "silver",
-                  processed_at: Column | None = None) -> DataFrame:
+                  processed_at: Column | None = None, keep_order: bool = False) -> DataFrame:
     """API items -> canonical -> cleansed -> newest copy per grain.
 
     The snapshot date is the ``date=`` partition, not the clock; the newest
-    copy is chosen by landing hour, ingestion time and id (a total order).
+    copy is chosen by landing hour, ingestion time and id (a total order), which
+    ``keep_order`` leaves in the rows for a later merge.
     """
     canon = silver.to_canonical(items, snapshot_date_col=F.col("date").cast("date"),
                                 keep=ORDER_COLUMNS)
     cleansed = silver.cleanse(canon, job_name, processed_at)
-    return silver.deduplicate(cleansed, order=ORDER_COLUMNS).drop(*ORDER_COLUMNS)
+    newest = silver.deduplicate(cleansed, order=ORDER_COLUMNS)
+    return newest if keep_order else newest.drop(*ORDER_COLUMNS)
 
 
 def read_snapshots_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

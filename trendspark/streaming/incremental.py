@@ -2,16 +2,17 @@
 
 New landed files are picked up by the file source; the checkpoint records
 which files were processed, so a rerun over the same landing folder adds
-nothing. Each micro-batch is cleansed and de-duplicated, then merged into the
-Silver partitions it touches:
-
-    merged = batch  UNION  (existing rows of the touched partitions whose key
-                            is not in the batch)
-
-and written with dynamic partition overwrite, which replaces exactly those
-partitions. The merged frame is checkpointed (reliable, under the cluster's
-checkpoint folder) before the overwrite so it no longer reads the files it
-replaces. Replaying a batch after a failure yields the same partitions.
+nothing. Each micro-batch is cleansed and de-duplicated, then merged with the
+existing rows of the Silver partitions it touches; the newest copy of a key by
+landing hour, ingestion time and id stays, wherever it comes from, so files that
+arrive late or out of order give what one batch over all files gives. Silver
+therefore keeps those order columns. Partitions match null-safely (a row without a
+date has one too).
+
+The parsed batch, and the merged frame before the overwrite, are checkpointed
+(reliably, under the cluster's checkpoint folder): the JSON is parsed once, and the
+write no longer reads the files it replaces. Replaying a batch yields the same
+partitions.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
-from trendspark.operators.silver import SILVER_KEY
+from trendspark.operators.silver import deduplicate
 from trendspark.session import checkpoint_dir, prepare, stream_checkpoint
 from trendspark.sinks import write_table
 from trendspark.sources import snapshots
@@ -42,17 +43,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def merge_batch(batch: DataFrame, silver_path: str) -> None:
     spark = batch.sparkSession
-    rows = snapshots.api_to_silver(snapshots.flatten_items(batch), "incremental_silver")
+    checkpoint_dir(spark)
+    rows = snapshots.api_to_silver(snapshots.flatten_items(batch), "incremental_silver", keep_order=True).checkpoint()
     if rows.isEmpty():
         return
     if _exists(spark, silver_path):
-        touched = rows.select(*PARTITIONS).distinct()
-        existing = spark.read.parquet(silver_path).join(F.broadcast(touched), list(PARTITIONS))
-        kept = existing.join(rows.select(*SILVER_KEY), list(SILVER_KEY), "left_anti")
-        rows = rows.unionByName(kept.select(*rows.columns))
-    checkpoint_dir(spark)
-    merged = rows.checkpoint(eager=True)
-    write_table(merged, silver_path, PARTITIONS)
+        existing = spark.read.schema(rows.schema).parquet(silver_path)
+        touched = rows.select(*[F.col(c).alias(f"_{c}") for c in PARTITIONS]).distinct()
+        same = F.lit(True)
+        for c in PARTITIONS:
+            same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+        rows = rows.unionByName(existing.join(touched, same, "left_semi"))
+        rows = deduplicate(rows, order=snapshots.ORDER_COLUMNS)
+    write_table(rows.checkpoint(), silver_path, PARTITIONS)
 
 
 def start_incremental_silver(spark: SparkSession, landing: str, silver_path: str,
