@@ -309,8 +309,10 @@ def test_near_groups_equal_brute_force(spark):
     assert minhash.near_groups(docs.limit(0)).count() == 0
 
 
-def test_unsettled_buckets_are_compared_to_the_end(spark):
-    """A bucket whose first leader is like none of two other groups: both are still found."""
+@pytest.mark.parametrize("block", [1024, 4])
+def test_unsettled_buckets_are_compared_to_the_end(spark, monkeypatch, block):
+    """A bucket whose first leader is like none of two other groups: both are still found, also in pairs of blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(4)
     a, b, c = (near_family(rng, n, edits=1) for n in (6, 5, 1))
     texts = [*c, *a, *b]
@@ -320,6 +322,19 @@ def test_unsettled_buckets_are_compared_to_the_end(spark):
     assert root == {**dict.fromkeys(range(1, 7), 1), **dict.fromkeys(range(7, 12), 7)}
 
 
+def test_cross_links_equal_all_pairs():
+    rng = random.Random(9)
+    texts = [t for n in (1, 2, 5, 9) for t in near_family(rng, n, words=60, edits=4)]
+    idf = np.ones(minhash.BUCKETS)
+    sets = [(r, minhash.weights(c, r, idf)) for r, c in map(minhash.counted, texts)]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if minhash.similarity(sets[a], sets[b]) >= 0.8]
+    roots = list(range(len(texts)))
+    roots[-1] = roots[-2] = roots[-3]
+    known = [(a, b) for a in range(len(roots)) for b in range(a) if roots[a] == roots[b]]
+    got = minhash.cross_links(list(range(len(texts))), roots, [0] * len(texts), texts, idf, 0.8)
+    assert brute_components(range(len(texts)), got + known) == brute_components(range(len(texts)), links + known)
+
+
 def test_samples_agree_as_often_as_weighted_jaccard():
     rng = np.random.default_rng(0)
     same = total = 0

@@ -7,11 +7,11 @@ group of copies shares must not lose their weight against the few words in which
 weighted sampling draws BANDS * ROWS samples (k, t); two documents agree in a sample with probability equal to their
 weighted Jaccard similarity. Documents that agree in all ROWS samples of a band share a bucket.
 
-Documents of equal weighted sets are one class first. In each bucket one leader is compared with every other class:
-similarities are computed from whole texts and links kept at THRESHOLD or more. Linked classes become components, and
-buckets whose other classes are still in different components go on with more leaders, taken from the rarest components
-and FASTER times as many each round, until every pair of a bucket is either compared or already in one component. So no
-candidate pair is dropped, and copies are not expanded into all pairs.
+Documents of equal weighted sets are one class first. In each bucket the smallest class is compared with every other:
+similarities are computed from whole texts and links kept at THRESHOLD or more. Linked classes become components. In
+buckets whose other classes are still in different components every pair across components is compared, in pairs of
+blocks through an inverted index of their runs, and each task returns only links that join components. So no candidate
+pair is dropped, and neither copies nor candidates are expanded into all pairs.
 
 Results: one row per document: doc_id, class_id (smallest doc_id of equal weighted sets), component_id (smallest doc_id
 reachable), kept (doc_id = component_id). Words are as in ``common.word_bytes``; a text of fewer than five words is one
@@ -29,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from trendspark.llm.common import arrow_map, cut, map_batches, mix64, shingle_hashes
 from trendspark.llm.components import components
@@ -37,8 +36,8 @@ from trendspark.llm.components import components
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS, SEED = 12, 4, 7
 BUCKETS = 1 << 18
-#: More leaders of an unsettled bucket each round.
-FASTER = 16
+#: Classes of a block; an unsettled bucket of more is compared in pairs of blocks.
+BLOCK = 1024
 #: Runs whose samples are drawn together; bounds memory for long texts.
 CHUNK = 1024
 #: Texts whose weights are kept while pairs are compared.
@@ -180,42 +179,71 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: flo
     return map_batches(both, run, "a long, b long")
 
 
+def cross_links(rep: list[int], root: list[int], block: list[int], texts: list[str], idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links that join different components of one group of classes, enough to connect all that are similar.
+
+    Every pair from different components (and, if the group has two blocks, from different blocks) is compared, through
+    an inverted index of the runs; members of the largest component are only compared with the others."""
+    found = [counted(t) for t in texts]
+    weight = [weights(c, r, idf) for r, c in found]
+    total = np.array([w.sum() for w in weight])
+    owner = np.repeat(np.arange(len(rep)), [len(w) for w in weight])
+    runs, flat = np.concatenate([r for r, _ in found]), np.concatenate(weight)
+    order = np.argsort(runs, kind="stable")
+    runs, owner, flat = runs[order], owner[order], flat[order]
+    names, group = np.unique(root, return_inverse=True)
+    blocks = np.array(block)
+    two = len(set(block)) > 1
+    largest = int(np.argmax(np.bincount(group)))
+    links = []
+    for x in np.flatnonzero(group != largest):  # ``group`` changes as components join
+        low = np.zeros(len(rep))
+        for start in range(0, len(weight[x]), CHUNK):
+            own, mine = found[x][0][start : start + CHUNK], weight[x][start : start + CHUNK]
+            first, last = np.searchsorted(runs, own), np.searchsorted(runs, own, "right")
+            n = last - first
+            at = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            low += np.bincount(owner[at], np.minimum(flat[at], np.repeat(mine, n)), len(rep))
+        near = low >= threshold * (total + total[x] - low)
+        if two:
+            near &= blocks != blocks[x]
+        for y in np.flatnonzero(near & (group != group[x])):
+            if group[y] != group[x]:
+                links.append((rep[x], rep[y]))
+                group[group == group[y]] = group[x]
+    return links
+
+
 def linked(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame | None:
     """(vertex, root) of the components that similar classes sharing a bucket form; None without any bucket.
     ``members``: bucket, rep."""
-    links: DataFrame | None = None
-    done: DataFrame | None = None
-    roots: DataFrame | None = None
-    active, n_leaders = members, 1
-    while True:
-        if roots is None:
-            active = active.withColumn("root", F.col("rep"))
-        else:
-            active = active.join(roots.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        open_ = active.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-        active = cut(active.join(open_, "bucket").select("bucket", "rep", "root"))
-        if active.isEmpty():
-            return roots
-        if n_leaders == 1:  # the smallest class leads in every bucket it is in, so its pairs are found once
-            first = F.min(F.struct("rep", "root"))
-            leader = active.groupBy("bucket").agg(first["rep"].alias("leader"), first["root"].alias("leader_root"))
-        else:
-            often = active.groupBy("bucket", "root").agg(F.count("*").alias("often"))
-            place = F.row_number().over(Window.partitionBy("bucket").orderBy("often", F.xxhash64("rep", "bucket"), "rep"))
-            leader = active.join(often, ["bucket", "root"]).withColumn("place", place).where(F.col("place") <= n_leaders)
-            leader = leader.select("bucket", F.col("rep").alias("leader"), F.col("root").alias("leader_root"))
-        pairs = active.join(leader, "bucket").where("rep != leader AND root != leader_root")
-        # either class of a pair may lead in some bucket; the pair is kept once
-        pairs = pairs.select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        done = pairs if done is None else done.unionByName(pairs)
-        new = cut(verified(pairs, texts, idf, threshold))
-        links = new if links is None else links.unionByName(new)
-        roots = cut(components(links))
-        active = active.join(leader.select("bucket", F.col("leader").alias("rep")), ["bucket", "rep"], "left_anti").select("bucket", "rep")
-        n_leaders *= FASTER
+    if members.isEmpty():
+        return None
+    # the smallest class leads in every bucket it is in, so its pairs are found once
+    leader = members.groupBy("bucket").agg(F.min("rep").alias("a"))
+    pairs = cut(members.join(leader, "bucket").where("rep != a").select("a", F.col("rep").alias("b")).distinct())
+    links = cut(verified(pairs, texts, idf, threshold))
+    roots = cut(components(links))
+    # buckets whose classes are still in different components: all their pairs, in pairs of blocks
+    active = members.join(roots.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    # a leader that is like nobody in its bucket has been compared with all of it
+    rest = active.join(leader, "bucket").where("rep != a")
+    open_ = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    open_ = open_.where("low != high").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    active = rest.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    active = active.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    active = active.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "root")
+    active = cut(active)
+    if active.isEmpty():
+        return roots
+
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        found = cross_links(*(group[c].to_pylist() for c in ("rep", "root", "block", "text")), idf, threshold)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    dealt = active.join(texts.withColumnRenamed("id", "rep"), "rep")
+    more = cut(dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long"))
+    return cut(components(links.unionByName(more)))
 
 
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
