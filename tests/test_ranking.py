@@ -38,7 +38,7 @@ def _values(df):
 
 
 @pytest.mark.parametrize("kind", ["bigint", "double", "decimal(20,2)"])
-@pytest.mark.parametrize("per_bucket", [3, 40, 200_000])
+@pytest.mark.parametrize("per_bucket", [3, 200_000])
 def test_every_rank_equals_the_window(spark, kind, per_bucket):
     df = _frame(spark, kind)
     for method, descending in [("rank", False), ("rank", True), ("dense_rank", False), ("dense_rank", True), ("row_number", True), ("row_number", False)]:
