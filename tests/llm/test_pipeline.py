@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import random
 import re
 from collections import Counter
 
@@ -9,6 +11,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from trendspark.llm import langid
 from trendspark.llm.common import shingle_hashes
 
 SF = "/root/testdata/sf0.01"
@@ -40,6 +43,22 @@ def test_clean_documents_stay_and_toxic_ones_go(spark, stages):
     assert sum(d in left for d in clean) / len(clean) > 0.97 and sum(d in left for d in toxic) / len(toxic) < 0.5
 
 
+def test_gibberish_and_unlearnt_languages_go(spark, stages):
+    rng = random.Random(1)
+    planted = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)) for _ in range(20)]
+    planted += [base64.b64encode(rng.randbytes(450)).decode() for _ in range(20)] + [rng.randbytes(300).hex() for _ in range(20)]
+    planted += [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. " * 2,
+        "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu. " * 3,
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью. " * 3,
+    ]
+    clean = ["The weather is good today.", "Das ist ein kurzer Text.", "Wir gehen nach Hause."]
+    docs = stages["documents"]
+    extra = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(planted + clean)], "doc_id long, text string")
+    left = {r.doc_id for r in langid.known_language(docs.unionByName(extra, allowMissingColumns=True)).where("doc_id < 0").select("doc_id").collect()}
+    assert left == {-1 - i for i in range(len(planted), len(planted) + len(clean))}
+
+
 def test_copies_go_once(stages):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t)
     before = Counter(norm(r.text) for r in stages["toxicity"].select("text").collect())

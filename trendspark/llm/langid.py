@@ -111,15 +111,20 @@ def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return {lang: v / n for lang, v in sorted(found.items()) if (n := np.linalg.norm(v)) > 0}
 
 
-def judge(text: str | None, names: list[str], matrix: np.ndarray) -> tuple[str, float]:
-    """The language of a text and its score; ``matrix`` has a prototype a row."""
+def measured(text: str | None, names: list[str], matrix: np.ndarray) -> tuple[str, float, int]:
+    """The language of a text, its score and its number of n-grams; ``matrix`` has a prototype a row."""
     codes, counts = ngrams(text)
     if not len(codes) or not names:
-        return UNKNOWN, 0.0
+        return UNKNOWN, 0.0, int(counts.sum())
     vector = bundle(codes, counts).astype(np.float64)
     cosines = matrix @ vector / max(np.linalg.norm(vector), 1e-12)
     best = int(np.argmax(cosines))
-    return names[best], float(min(1.0, max(0.0, cosines[best])))
+    return names[best], float(min(1.0, max(0.0, cosines[best]))), int(counts.sum())
+
+
+def judge(text: str | None, names: list[str], matrix: np.ndarray) -> tuple[str, float]:
+    """The language of a text and its score; ``matrix`` has a prototype a row."""
+    return measured(text, names, matrix)[:2]
 
 
 def identify(docs: DataFrame, models: dict[str, np.ndarray], held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,21 +152,65 @@ def identify_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return identify(docs, models, held_out(id_col), id_col, text_col)
 
 
-#: Least cosine with a prototype for a document to count as written in a known language; that of a text unrelated to all
-#: of them is about 1 / sqrt(DIMENSIONS) = 0.03, and short texts in a known language come close to it.
+#: Least cosine with a prototype for any document to count as written in a known language; that of a text unrelated to
+#: all of them is about 1 / sqrt(DIMENSIONS) = 0.03 if it has few n-grams, and grows with their number.
 MIN_SCORE = 0.04
+#: The least score of a length is SHARE of the LOW quantile of the learning documents of that length.
+LOW, SHARE = 0.005, 0.6
+#: Bands of length: two for each doubling of the n-grams. A band of fewer than BAND_DOCS documents takes in its neighbours.
+BANDS, BAND_DOCS = 64, 200
+#: Steps in which scores are counted.
+STEPS = 1000
+
 
+def band_of(n: int) -> int:
+    """The band of a number of n-grams."""
+    return min(BANDS - 1, int(2 * np.log2(max(n, 1))))
 
-def known_language(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+
+def least_scores(docs: DataFrame, models: dict[str, np.ndarray], text_col: str = "text", lang_col: str = "lang") -> np.ndarray:
+    """The least score of each band, from the scores of all learning documents ``docs``."""
+    names = list(models)
+    matrix = np.array([models[n] for n in names]).reshape(len(names), DIMENSIONS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((BANDS, STEPS + 1), np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                lang, score, n = measured(text, names, matrix)
+                if lang != UNKNOWN:
+                    seen[band_of(n), int(score * STEPS)] += 1
+        band, step = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(step), pa.array(seen[band, step])], ["band", "step", "n"])
+
+    learnt = docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"))
+    counts = np.zeros((BANDS, STEPS + 1), np.int64)
+    for r in map_batches(learnt, run, "band long, step long, n long").groupBy("band", "step").agg(F.sum("n").alias("n")).collect():
+        counts[r["band"], r["step"]] = r["n"]
+    least = np.full(BANDS, MIN_SCORE)
+    for band in range(BANDS):
+        for wide in range(BANDS):
+            near = counts[max(0, band - wide) : band + wide + 1].sum(axis=0).cumsum()
+            if near[-1] >= BAND_DOCS:
+                break
+        if near[-1]:
+            least[band] = max(MIN_SCORE, SHARE * int(np.argmax(near > LOW * near[-1])) / STEPS)
+    return least
+
+
+def known_language(docs: DataFrame, min_score: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents in a language that was learnt, with all their columns: a text without a letter is rejected, and
-    so is one whose best cosine is below ``min_score``. With nothing to learn from, every text with a letter stays."""
-    models = prototypes(docs.where(crc_mod(id_col, 5) != 0), text_col, lang_col)
+    so is one whose best cosine is below ``min_score``, or without it below ``least_scores`` of its number of n-grams.
+    With nothing to learn from, every text with a letter stays."""
+    learnt = docs.where(crc_mod(id_col, 5) != 0)
+    models = prototypes(learnt, text_col, lang_col)
     names = list(models)
     matrix = np.array([models[n] for n in names]).reshape(len(names), DIMENSIONS)
+    least = least_scores(learnt, models, text_col, lang_col) if names and min_score is None else np.full(BANDS, min_score or 0.0)
 
     def keep(texts: list) -> list[bool]:
         if not names:
             return [len(ngrams(t)[0]) > 0 for t in texts]
-        return [lang != UNKNOWN and score >= min_score for lang, score in (judge(t, names, matrix) for t in texts)]
+        return [lang != UNKNOWN and score >= least[band_of(n)] for lang, score, n in (measured(t, names, matrix) for t in texts)]
 
     return arrow_filter(docs, text_col, keep)
