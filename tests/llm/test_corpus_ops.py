@@ -251,6 +251,14 @@ def test_exact_groups_equal_grouping(spark):
     assert sorted((str(r.doc_id), r.keep_id, r.kept) for r in exactdedup.exact_groups(alone).collect()) == [("5", 5, True), ("None", 5, False), ("None", 5, False)]
 
 
+def test_one_row_of_each_exact_group_stays(spark):
+    rows = [(1, "a b", "en", "s")] * 50 + [(1, "a  b", "en", "s"), (1, "c", "en", "s"), (2, "ab", "de", "s"), (None, "ab", "en", "s"), (None, "c", "en", "s")]
+    rows += [(None, "d", "en", "s")] * 3 + [(None, "d ", "fr", "s")] + [(3, "", "en", "s"), (3, "", "de", "s"), (4, None, "en", "s"), (5, "e", "en", "s")]
+    for docs in (spark.createDataFrame(rows, DOC), spark.createDataFrame(rows[::-1], DOC).repartition(7)):
+        got = sorted((str(r.doc_id), r.text, r.lang) for r in exactdedup.keep_one(docs).collect())
+        assert got == sorted([("1", "a  b", "en"), ("1", "c", "en"), ("None", "d ", "fr"), ("3", "", "de"), ("5", "e", "en")])
+
+
 def test_recipes_are_whole_texts(spark):
     df = spark.createDataFrame([("x" * 9000 + "kansa" + "y" * 700,), ("",), ("short",)], "t string")
     pattern = f"(?s).{{{exactdedup.MIN_CHUNK},{exactdedup.MAX_CHUNK}}}?{exactdedup.BOUNDARY}|.{{1,{exactdedup.MAX_CHUNK}}}"
@@ -309,6 +317,15 @@ def test_near_groups_equal_brute_force(spark):
     assert minhash.near_groups(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_near_group_stays(spark):
+    rng = random.Random(3)
+    (a, b), (c,) = near_family(rng, 2, edits=1), near_family(rng, 1)
+    rows = [(1, a, "en", "s")] * 40 + [(1, a.upper() + "!", "en", "s"), (1, c, "en", "s"), (1, c, "de", "s"), (2, b, "en", "s"), (2, b, "en", "s"), (3, c + " x", "en", "s"), (7, "", "en", "s")]
+    got = sorted((r.doc_id, r.text, r.lang) for r in minhash.keep_one(spark.createDataFrame(rows, DOC)).collect())
+    assert got == sorted([(1, a.upper() + "!", "en"), (1, c, "de"), (7, "", "en")])
+    assert minhash.keep_one(spark.createDataFrame([], DOC)).count() == 0
+
+
 @pytest.mark.parametrize("block", [1024, 4])
 def test_unsettled_buckets_are_compared_to_the_end(spark, monkeypatch, block):
     """A bucket whose first leader is like none of two other groups: both are still found, also in pairs of blocks."""

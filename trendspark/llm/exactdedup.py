@@ -62,11 +62,30 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def one_row(rows: DataFrame, by: list[str], columns: list[str], text_col: str) -> DataFrame:
+    """``columns`` of one row of each group of ``rows``: the longest text, then the first in order of the row as JSON
+    (rows equal in that are equal)."""
+    whole = F.struct(*columns)
+    order = F.struct(-F.length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), F.to_json(whole))
+    return rows.groupBy(*by).agg(F.min_by(whole, order).alias("_row")).select("_row.*")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; rows without an id stay unless their group has one that does."""
-    dropped = exact_groups(docs, id_col, text_col).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_dropped"))
-    out = docs.join(dropped.distinct(), F.col(id_col).cast("long") == F.col("_dropped"), "left_anti")
-    return out
+    """One document of each group of equal texts, with all its columns: a row with the group's keep_id and its text; of
+    several (repeated rows, or only rows without an id) the one that ``one_row`` chooses. An id with different texts
+    stands in each of their groups by itself."""
+    rows = exact_groups(docs, id_col, text_col)
+    key = [F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_sha256").alias("_sha")]
+    marks = rows.groupBy(*key, F.col("kept").alias("_kept")).agg(F.count("*").alias("_n"))
+    marks = cut(marks.where("NOT _kept OR _n > 1").drop("_n"))
+    own = F.col(id_col).cast("long")
+    keyed = docs.withColumns({"_none": own.isNull(), "_id": F.coalesce(own, F.lit(0)), "_sha": F.sha2(normalised(F.col(text_col)), 256)})
+    on = ["_none", "_id", "_sha"]
+    out = keyed.join(marks, on, "left_anti").select(*docs.columns)
+    repeated = marks.where("_kept")
+    if repeated.isEmpty():
+        return out
+    return out.unionByName(one_row(keyed.join(repeated, on, "left_semi"), ["_sha"], docs.columns, text_col))
 
 
 ORACLE_SQL = r"""

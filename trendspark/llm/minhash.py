@@ -16,7 +16,7 @@ pair is dropped, and neither copies nor candidates are expanded into all pairs.
 Results: one row per document: doc_id, class_id (smallest doc_id of equal weighted sets), component_id (smallest doc_id
 reachable), kept (doc_id = component_id). Words are as in ``common.word_bytes``; a text of fewer than five words is one
 run; null and empty texts and those without a word are like no other and kept, and so are rows without a doc_id. Repeated
-rows share a class. An empty table gives an empty result; other columns are not read.
+rows share a class; an id with different texts is in a class with each. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from trendspark.llm.common import arrow_map, cut, map_batches, mix64, shingle_hashes
 from trendspark.llm.components import components
+from trendspark.llm.exactdedup import one_row
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS, SEED = 12, 4, 7
@@ -133,23 +134,24 @@ def bands_of(drawn: np.ndarray) -> np.ndarray:
 
 
 def sketches(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(doc_id, two hashes of its weighted set, its buckets) of documents with a word; ``texts``: doc_id, text."""
+    """(doc_id, own, two hashes of its weighted set, its buckets) of documents with a word; ``texts``: doc_id, text, own."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, one, two, buckets = [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        ids, own, one, two, buckets = [], [], [], [], []
+        for doc_id, text, mark in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             runs, counts = counted(text)
             if len(runs) and doc_id is not None:
                 part = mix64(runs * np.uint64(0x9E3779B97F4A7C15) + counts.astype(np.uint64))
                 ids.append(doc_id)
+                own.append(mark)
                 one.append(int(part.sum().astype(np.int64)))
                 two.append(int(mix64(part).sum().astype(np.int64)))
                 buckets.append(bands_of(samples(runs, weights(counts, runs, idf))))
         if ids:
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))], ["doc_id", "one", "two", "buckets"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))], ["doc_id", "own", "one", "two", "buckets"])
         return None
 
-    return arrow_map(texts, run, "doc_id long, one long, two long, buckets array<long>")
+    return arrow_map(texts, run, "doc_id long, own long, one long, two long, buckets array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
@@ -246,32 +248,53 @@ def linked(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: flo
     return cut(components(links.unionByName(more)))
 
 
-def near_groups(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id, component_id, kept."""
+def near_rows(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, own (hash of the text), class_id, component_id, group (a hash naming the component;
+    null without a word or an id). Classes are known by a hash of their weighted set, so an id with different texts is
+    in the component of each of them."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     idf = frequencies(texts.select("text"))
-    drawn = cut(sketches(texts, idf))
-    classes = cut(drawn.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.first("buckets").alias("buckets")))
+    drawn = cut(sketches(texts.select("doc_id", "text", F.xxhash64("text").alias("own")), idf))
+    classes = cut(drawn.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.first("buckets").alias("buckets")).withColumn("rep", F.xxhash64("one", "two")))
     members = classes.select("rep", F.explode("buckets").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = cut(members.join(shared, "bucket").select("bucket", "rep"))
-    wanted = members.select(F.col("rep").alias("id")).distinct()
-    own = texts.select(F.col("doc_id").alias("id"), "text")
-    # repeated rows of an id with different texts would be several texts of a class: its smallest one stands for it
-    chosen = cut(own.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+    wanted = classes.select("one", "two", "rep", "low").join(members.select("rep").distinct(), "rep", "left_semi")
+    # a row of each class stands for it: one with its smallest id and its weighted set
+    sets = drawn.select("doc_id", "own", "one", "two").join(wanted, ["one", "two"]).where("doc_id = low").groupBy("rep", "doc_id").agg(F.min("own").alias("own"))
+    own = texts.withColumn("own", F.xxhash64("text"))
+    chosen = cut(own.join(sets, ["doc_id", "own"]).groupBy(F.col("rep").alias("id")).agg(F.min("text").alias("text")))
     roots = linked(members, chosen, idf, threshold)
-    named = drawn.join(classes.select("one", "two", "rep"), ["one", "two"]).select("doc_id", F.col("rep").alias("class_id"))
+    known = classes.select("one", "two", "rep", F.col("low").alias("class_id"))
     if roots is not None:
-        named = named.join(roots.withColumnRenamed("vertex", "class_id"), "class_id", "left")
+        known = known.join(roots.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("group", F.coalesce("root", "rep"))
+        known = cut(known.select("one", "two", "class_id", "group"))
+        least = known.groupBy("group").agg(F.min("class_id").alias("component_id"))
+        known = known.join(least, "group")
     else:
-        named = named.withColumn("root", F.lit(None).cast("long"))
-    named = named.select("doc_id", "class_id", F.coalesce("root", "class_id").alias("component_id"))
-    rest = texts.select("doc_id").join(drawn.select("doc_id").distinct(), "doc_id", "left_anti")
-    rest = rest.select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
-    return named.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        known = known.select("one", "two", "class_id", F.col("rep").alias("group"), F.col("class_id").alias("component_id"))
+    named = drawn.select("doc_id", "own", "one", "two").join(known, ["one", "two"]).select("doc_id", "own", "class_id", "component_id", "group")
+    rest = own.select("doc_id", "own").join(drawn.select("doc_id", "own").distinct(), ["doc_id", "own"], "left_anti")
+    rest = rest.select("doc_id", "own", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
+    return named.unionByName(rest)
+
+
+def near_groups(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, class_id, component_id, kept."""
+    rows = near_rows(docs, threshold, id_col, text_col).select("doc_id", "class_id", "component_id")
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns: one of each group, and all without a word or an id."""
-    dropped = near_groups(docs, threshold, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("_dropped"), "left_anti")
+    """The documents that stay, with all their columns: one row of each group, and all without a word or an id. It has the
+    smallest id of the group; of several rows of that id in the group ``exactdedup.one_row`` chooses."""
+    rows = near_rows(docs, threshold, id_col, text_col).where("group IS NOT NULL")
+    marks = cut(rows.groupBy("doc_id", "own", "group", (F.col("doc_id") == F.col("component_id")).alias("_kept")).agg(F.count("*").alias("_n")))
+    several = marks.where("_kept").groupBy("group").agg(F.sum("_n").alias("_n")).where("_n > 1").select("group")
+    repeated = cut(marks.where("_kept").join(several, "group").select(F.col("doc_id").alias("_id"), F.col("own").alias("_own"), F.col("group").alias("_group")))
+    dropped = marks.where("NOT _kept").select(F.col("doc_id").alias("_id"), F.col("own").alias("_own"))
+    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_own": F.xxhash64(F.col(text_col).cast("string"))})
+    if repeated.isEmpty():
+        return keyed.join(dropped, ["_id", "_own"], "left_anti").select(*docs.columns)
+    out = keyed.join(dropped.unionByName(repeated.drop("_group")), ["_id", "_own"], "left_anti").select(*docs.columns)
+    return out.unionByName(one_row(keyed.join(repeated, ["_id", "_own"]), ["_group"], docs.columns, text_col))
