@@ -317,6 +317,25 @@ def test_near_groups_equal_brute_force(spark):
     assert minhash.near_groups(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_document_frequencies_are_exact(spark, monkeypatch, parts):
+    """Every run's df is its number of documents, with far more runs than BUCKETS, over copies, nulls and task blocks."""
+    monkeypatch.setattr(minhash, "HELD_RUNS", 2000)
+    rng = random.Random(5)
+    found = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(20_000)) for _ in range(16)]
+    found += [t for n in (2, 9) for t in near_family(rng, n)] * 2 + [None, "", "a b", "a b", "a b a b a b a b", "..."]
+    df = Counter(k for t in found for k in set(shingle_hashes(t).tolist()))
+    assert len(df) > minhash.BUCKETS
+    docs = spark.createDataFrame([(t,) for t in found], "text string").repartition(3)
+    own = {r.rep: bytes(r.df) for r in minhash.shared_runs(docs, parts).collect()}
+    for t in found:
+        runs, counts = minhash.counted(t)
+        if len(runs):
+            got = minhash.weights(counts, runs, len(found), own.get(minhash.vertex_of(*minhash.set_hashes(runs, counts))))
+            want = [(1 + math.log(c)) * (1 + math.log((1 + len(found)) / (1 + df[k])) / math.log(minhash.BUCKETS)) for k, c in zip(runs.tolist(), counts, strict=True)]
+            assert np.allclose(got, want, rtol=1e-12)
+
+
 def test_one_row_of_each_near_group_stays(spark):
     rng = random.Random(3)
     (a, b), (c,) = near_family(rng, 2, edits=1), near_family(rng, 1)

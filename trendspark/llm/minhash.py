@@ -1,9 +1,11 @@
 """Near-duplicate documents by improved consistent weighted sampling (operator 8).
 
 Method: a document is a weighted set of its runs of five words. A run's weight is (1 + ln tf) * idf with
-idf = 1 + ln((1 + N) / (1 + df)) / ln(BUCKETS): df counts documents over the whole corpus, in BUCKETS hashed buckets, as
-hashed term features do, so the table has one size at any scale; idf is damped to between 1 and 2, as runs that a large
-group of copies shares must not lose their weight against the few words in which the copies differ. Improved consistent
+idf = 1 + ln((1 + N) / (1 + df)) / ln(BUCKETS): N counts all documents, and df those with the run, exactly, by its 64-bit
+hash. The runs of all documents are dealt into parts by their hash, in packed blocks, and counted there; only runs of two
+or more documents are dealt back, to the classes that have them. idf is damped, as runs that a large group of copies
+shares must not lose their weight against the few words in which the copies differ: with df of 1 it is 2 at N = 2 BUCKETS
+and 2.25 at twelve million documents. Improved consistent
 weighted sampling draws BANDS * ROWS samples (k, t); two documents agree in a sample with probability equal to their
 weighted Jaccard similarity. Documents that agree in all ROWS samples of a band share a bucket.
 
@@ -36,7 +38,10 @@ from trendspark.llm.exactdedup import one_row
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS, SEED = 12, 4, 7
+#: Damps idf; also the length of a table of idf by hashed runs that may be given instead of exact frequencies.
 BUCKETS = 1 << 18
+#: Runs of a part in which frequencies are counted, and of a task's blocks before they are dealt.
+PART_RUNS, HELD_RUNS = 1 << 19, 1 << 20
 #: Classes of a block; an unsettled bucket of more is compared in pairs of blocks.
 BLOCK = 1024
 #: Runs whose samples are drawn together; bounds memory for long texts.
@@ -54,29 +59,97 @@ def bucket_of(runs: np.ndarray) -> np.ndarray:
     return (runs & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def frequencies(texts: DataFrame) -> np.ndarray:
-    """idf of each bucket, from all documents; ``texts`` has one column of texts."""
+def set_hashes(runs: np.ndarray, counts: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a text's weighted set."""
+    part = mix64(runs * np.uint64(0x9E3779B97F4A7C15) + counts.astype(np.uint64))
+    return int(part.sum().astype(np.int64)), int(mix64(part).sum().astype(np.int64))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(BUCKETS, np.int64), 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                df[np.unique(bucket_of(shingle_hashes(text, WIDTH)))] += 1
-                n += 1
-        found = np.flatnonzero(df)
-        for part in np.array_split(found, len(found) // 10_000 + 1):
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(df[part])], ["bucket", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([n], pa.int64())], ["bucket", "n"])
 
-    counts = map_batches(texts, run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    bucket, n = counts["bucket"].to_numpy(), counts["n"].to_numpy()
-    df = np.zeros(BUCKETS)
-    df[bucket[bucket >= 0]] = n[bucket >= 0]
-    return 1 + np.log((1 + n[bucket < 0].sum()) / (1 + df)) / np.log(BUCKETS)
+def vertex_of(one: int, two: int) -> int:
+    """The hash that names a class."""
+    return int(mix64(np.array([one, two], np.int64).view(np.uint64) * np.array([1, 0x9E3779B97F4A7C15], np.uint64)).sum().astype(np.int64))
+
+
+DEALT = "part long, runs binary, reps binary, n binary"
+
 
+def packed_parts(part: np.ndarray, runs: np.ndarray, reps: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """One row for each part: its runs, the classes that have them and a number for each, as bytes."""
+    order = np.argsort(part, kind="stable")
+    names, first = np.unique(part[order], return_index=True)
+    columns = [[x.tobytes() for x in np.split(a[order], first[1:])] if len(names) else [] for a in (runs, reps, n)]
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64), pa.int64()), *(pa.array(c, pa.binary()) for c in columns)], ["part", "runs", "reps", "n"])
 
-def weights(counts: np.ndarray, runs: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return (1 + np.log(counts)) * idf[bucket_of(runs)]
+
+def unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All runs, classes and numbers of a part, those of a class and run once: the numbers added up."""
+    runs, reps, n = (np.frombuffer(b"".join(group[c].to_pylist()), t) for c, t in (("runs", np.uint64), ("reps", np.int64), ("n", np.int64)))
+    order = np.lexsort((reps, runs))
+    runs, reps, n = runs[order], reps[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], (runs[1:] != runs[:-1]) | (reps[1:] != reps[:-1])]))
+    return runs[first], reps[first], np.add.reduceat(n, first)
+
+
+def shared_runs(texts: DataFrame, parts: int) -> DataFrame:
+    """(rep, df): for each class with a run of two or more documents, those runs and their frequencies, packed: the sorted
+    runs, then the numbers. ``texts`` has one column of texts, of all documents."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        size = 0
+
+        def blocks() -> pa.RecordBatch:
+            runs = np.concatenate([r for r, _ in held.values()])
+            lengths = [len(r) for r, _ in held.values()]
+            reps, n = np.repeat(np.fromiter(held, np.int64, len(held)), lengths), np.repeat(np.array([k for _, k in held.values()], np.int64), lengths)
+            return packed_parts(mix64(runs) % np.uint64(parts), runs, reps, n)
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                runs, counts = counted(text)
+                if not len(runs):
+                    continue
+                rep = vertex_of(*set_hashes(runs, counts))
+                if rep in held:
+                    held[rep][1] += 1
+                    continue
+                held[rep] = [runs, 1]
+                size += len(runs)
+                if size >= HELD_RUNS:
+                    yield blocks()
+                    held, size = {}, 0
+        if held:
+            yield blocks()
+
+    def count(key: tuple, group: pa.Table) -> pa.Table:
+        runs, reps, n = unpacked(group)
+        first = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
+        df = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(runs))))
+        many = df > 1
+        runs, reps, df = runs[many], reps[many], df[many]
+        return pa.Table.from_batches([packed_parts(mix64(reps.view(np.uint64)) % np.uint64(parts), runs, reps, df)])
+
+    def collect(key: tuple, group: pa.Table) -> pa.Table:
+        runs, reps, df = unpacked(group)
+        order = np.argsort(reps, kind="stable")
+        names, first = np.unique(reps[order], return_index=True)
+        found = zip(np.split(runs[order], first[1:]), np.split(df[order], first[1:]), strict=True)
+        return pa.table({"rep": pa.array(names, pa.int64()), "df": pa.array([r.tobytes() + k.tobytes() for r, k in found], pa.binary())})
+
+    counts = map_batches(texts, deal, DEALT).groupBy("part").applyInArrow(count, DEALT)
+    return counts.groupBy("part").applyInArrow(collect, "rep long, df binary")
+
+
+def weights(counts: np.ndarray, runs: np.ndarray, idf: int | np.ndarray, own: bytes | None = None) -> np.ndarray:
+    """The weights of a text's sorted runs. ``idf`` is the number of documents, with ``own`` the packed frequencies of the
+    text's runs (1 for those not in it), or else a given table of idf by hashed runs."""
+    if isinstance(idf, np.ndarray):
+        return (1 + np.log(counts)) * idf[bucket_of(runs)]
+    df = np.ones(len(runs))
+    if own:
+        half = len(own) // 2
+        df[np.searchsorted(runs, np.frombuffer(own[:half], np.uint64))] = np.frombuffer(own[half:], np.int64)
+    return (1 + np.log(counts)) * (1 + np.log((1 + idf) / (1 + df)) / np.log(BUCKETS))
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -133,61 +206,71 @@ def bands_of(drawn: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketches(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(doc_id, own, two hashes of its weighted set, its buckets) of documents with a word; ``texts``: doc_id, text, own."""
+def class_hashes(texts: DataFrame) -> DataFrame:
+    """(doc_id, own, n, one, two, rep) of all rows: the number of runs, and without a run or an id no hashes of the weighted
+    set nor a class; ``texts``: doc_id, text, own."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, own, one, two, buckets = [], [], [], [], []
-        for doc_id, text, mark in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, one, two, rep = [], [], [], []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             runs, counts = counted(text)
-            if len(runs) and doc_id is not None:
-                part = mix64(runs * np.uint64(0x9E3779B97F4A7C15) + counts.astype(np.uint64))
-                ids.append(doc_id)
-                own.append(mark)
-                one.append(int(part.sum().astype(np.int64)))
-                two.append(int(mix64(part).sum().astype(np.int64)))
-                buckets.append(bands_of(samples(runs, weights(counts, runs, idf))))
-        if ids:
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))], ["doc_id", "own", "one", "two", "buckets"])
-        return None
+            known = set_hashes(runs, counts) if len(runs) and doc_id is not None else (None, None)
+            n.append(len(runs))
+            one.append(known[0])
+            two.append(known[1])
+            rep.append(None if known[0] is None else vertex_of(*known))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (n, one, two, rep))], ["doc_id", "own", "n", "one", "two", "rep"])
+
+    return arrow_map(texts, run, "doc_id long, own long, n long, one long, two long, rep long")
+
+
+def sketches(texts: DataFrame, n: int) -> DataFrame:
+    """(rep, its buckets); ``texts``: rep, text, df."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        buckets = []
+        for text, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            runs, counts = counted(text)
+            buckets.append(bands_of(samples(runs, weights(counts, runs, n, own))))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(buckets, pa.list_(pa.int64()))], ["rep", "buckets"])
 
-    return arrow_map(texts, run, "doc_id long, own long, one long, two long, buckets array<long>")
+    return arrow_map(texts, run, "rep long, buckets array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough; ``texts`` has one row (id, text) for each class."""
+def verified(pairs: DataFrame, texts: DataFrame, idf: int | np.ndarray, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose texts are similar enough; ``texts`` has one row (id, text, df) for each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: OrderedDict[int, tuple] = OrderedDict()
 
-        def features(doc_id: int, text: str) -> tuple:
+        def features(doc_id: int, text: str, own: bytes | None) -> tuple:
             if doc_id not in kept:
                 runs, counts = counted(text)
-                kept[doc_id] = runs, weights(counts, runs, idf)
+                kept[doc_id] = runs, weights(counts, runs, idf, own)
                 if len(kept) > TEXTS_KEPT:
                     kept.popitem(last=False)
             kept.move_to_end(doc_id)
             return kept[doc_id]
 
         for batch in batches:
-            a, b, s, t = batch.columns
-            links = [similarity(features(a[i].as_py(), s[i].as_py()), features(b[i].as_py(), t[i].as_py())) >= threshold for i in range(batch.num_rows)]
+            a, b, s, t, f, g = batch.columns
+            links = [similarity(features(a[i].as_py(), s[i].as_py(), f[i].as_py()), features(b[i].as_py(), t[i].as_py(), g[i].as_py())) >= threshold for i in range(batch.num_rows)]
             yield batch.select([0, 1]).filter(pa.array(links, pa.bool_()))
 
-    first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"), F.col("df").alias("df_a"))
+    second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"), F.col("df").alias("df_b"))
     # a pair's leader is a: its rows come one after another, and its weights are computed once
-    both = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
+    both = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b", "df_a", "df_b")
     return map_batches(both, run, "a long, b long")
 
 
-def cross_links(rep: list[int], root: list[int], block: list[int], texts: list[str], idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+def cross_links(rep: list[int], root: list[int], block: list[int], texts: list[str], idf: int | np.ndarray, threshold: float, own: list[bytes | None] | None = None) -> list[tuple[int, int]]:
     """Links that join different components of one group of classes, enough to connect all that are similar.
 
     Every pair from different components (and, if the group has two blocks, from different blocks) is compared, through
     an inverted index of the runs; members of the largest component are only compared with the others."""
     found = [counted(t) for t in texts]
-    weight = [weights(c, r, idf) for r, c in found]
+    weight = [weights(c, r, idf, o) for (r, c), o in zip(found, own or [None] * len(texts), strict=True)]
     total = np.array([w.sum() for w in weight])
     owner = np.repeat(np.arange(len(rep)), [len(w) for w in weight])
     runs, flat = np.concatenate([r for r, _ in found]), np.concatenate(weight)
@@ -216,9 +299,11 @@ def cross_links(rep: list[int], root: list[int], block: list[int], texts: list[s
     return links
 
 
-def linked(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame | None:
+def linked(members: DataFrame, texts: DataFrame, idf: int | np.ndarray, threshold: float) -> DataFrame | None:
     """(vertex, root) of the components that similar classes sharing a bucket form; None without any bucket.
-    ``members``: bucket, rep."""
+    ``members``: bucket, rep; ``texts``: id, text and, unless ``idf`` is a table, df."""
+    if "df" not in texts.columns:
+        texts = texts.withColumn("df", F.lit(None).cast("binary"))
     if members.isEmpty():
         return None
     # the smallest class leads in every bucket it is in, so its pairs are found once
@@ -240,7 +325,7 @@ def linked(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: flo
         return roots
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
-        found = cross_links(*(group[c].to_pylist() for c in ("rep", "root", "block", "text")), idf, threshold)
+        found = cross_links(*(group[c].to_pylist() for c in ("rep", "root", "block", "text")), idf, threshold, group["df"].to_pylist())
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     dealt = active.join(texts.withColumnRenamed("id", "rep"), "rep")
@@ -252,18 +337,24 @@ def near_rows(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     """One row per document: doc_id, own (hash of the text), class_id, component_id, group (a hash naming the component;
     null without a word or an id). Classes are known by a hash of their weighted set, so an id with different texts is
     in the component of each of them."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    idf = frequencies(texts.select("text"))
-    drawn = cut(sketches(texts.select("doc_id", "text", F.xxhash64("text").alias("own")), idf))
-    classes = cut(drawn.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.first("buckets").alias("buckets")).withColumn("rep", F.xxhash64("one", "two")))
-    members = classes.select("rep", F.explode("buckets").alias("bucket"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("own", F.xxhash64("text"))
+    rows = cut(class_hashes(texts))
+    total = rows.agg(F.count("*").alias("docs"), F.sum("n").alias("runs")).first()
+    drawn = rows.where("rep IS NOT NULL")
+    classes = cut(drawn.groupBy("one", "two", "rep").agg(F.min(F.struct("doc_id", "own")).alias("first")).select("one", "two", "rep", "first.*"))
+    # of each class the row of its smallest id stands for it, with the frequencies of its runs
+    shared = shared_runs(texts.select("text"), (total["runs"] or 0) // PART_RUNS + 1)
+    stand = cut(classes.select("rep", "doc_id", "own").join(shared, "rep", "left"))
+    whole = texts.join(stand, ["doc_id", "own"])
+    found = sketches(whole.select("rep", "text", "df"), total["docs"]).groupBy("rep").agg(F.first("buckets").alias("buckets"))
+    members = cut(found.select("rep", F.explode("buckets").alias("bucket")))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = cut(members.join(shared, "bucket").select("bucket", "rep"))
-    wanted = classes.select("one", "two", "rep", "low").join(members.select("rep").distinct(), "rep", "left_semi")
-    # a row of each class stands for it: one with its smallest id and its weighted set
-    sets = drawn.select("doc_id", "own", "one", "two").join(wanted, ["one", "two"]).where("doc_id = low").groupBy("rep", "doc_id").agg(F.min("own").alias("own"))
-    own = texts.withColumn("own", F.xxhash64("text"))
-    chosen = cut(own.join(sets, ["doc_id", "own"]).groupBy(F.col("rep").alias("id")).agg(F.min("text").alias("text")))
+    wanted = stand.join(members.select("rep").distinct(), "rep", "left_semi")
+    chosen = texts.join(wanted, ["doc_id", "own"]).groupBy(F.col("rep").alias("id")).agg(F.min(F.struct("text", "df")).alias("row"))
+    chosen = cut(chosen.select("id", "row.*"))
+    idf = total["docs"]
+    classes = classes.withColumnRenamed("doc_id", "low")
     roots = linked(members, chosen, idf, threshold)
     known = classes.select("one", "two", "rep", F.col("low").alias("class_id"))
     if roots is not None:
@@ -274,8 +365,7 @@ def near_rows(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     else:
         known = known.select("one", "two", "class_id", F.col("rep").alias("group"), F.col("class_id").alias("component_id"))
     named = drawn.select("doc_id", "own", "one", "two").join(known, ["one", "two"]).select("doc_id", "own", "class_id", "component_id", "group")
-    rest = own.select("doc_id", "own").join(drawn.select("doc_id", "own").distinct(), ["doc_id", "own"], "left_anti")
-    rest = rest.select("doc_id", "own", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
+    rest = rows.where("rep IS NULL").select("doc_id", "own", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
     return named.unionByName(rest)
 
 
