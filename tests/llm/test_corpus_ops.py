@@ -196,6 +196,20 @@ def test_mined_rules_equal_counting(spark):
 # --- 9: licenses -------------------------------------------------------------------------------------------------
 
 
+def test_every_label_folder_and_key_is_a_token(spark):
+    url = "https://www.cheap-pills.m.example.com/a/12/deep/x.html?one=1&two=2&one=3#q?z=1"
+    tokens = spark.createDataFrame([(url,)], "u string").select(urlfilter.tokens_of(F.col("u"), urlfilter.host_of(F.col("u")), urlfilter.path_of(F.col("u"))).alias("t")).first().t
+    assert sorted(tokens) == sorted(["scheme=https", "end=com", "domain=example", "sub=www", "sub=cheap-pills", "sub=m", "folder=a", "folder=#", "folder=deep", "type=html", "depth=5", "key=one", "key=two"])
+
+
+def test_long_left_sides_are_rules(spark):
+    """Four tokens together say block; any three of them do not."""
+    four = ["a", "b", "c", "d"]
+    sets = [(four, "block")] * 10 + [([x for x in four if x != y], "allow") for y in four for _ in range(10)]
+    rules = urlfilter.mined_rules(spark.createDataFrame(sets, "tokens array<string>, verdict string"), 0.1, 0.9)
+    assert any(set(r[0]) == set(four) and r[1] == "block" for r in rules)
+
+
 def brute_scan(text):
     lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)

@@ -7,8 +7,8 @@ under its rarest token, and a URL only looks at the postings of its own tokens.
 (then support, then fewer tokens, then the tokens' text); without any, the label that most labelled pages have, or
 ``allow`` if there are none.
 
-The rules' number is bounded by the support: a URL has at most TOKENS tokens, so at most
-C(TOKENS, <= MAX_TOKENS) / min_support combinations are frequent, however many pages there are.
+Every label of the host, folder of the path and key of the query is a token. The work is bounded by the support
+alone: a token takes part only if it is frequent over all labelled pages, and left sides have any length.
 
 Results: null URLs and those without ``://`` have an empty host and path and no token, and get the default verdict;
 repeated rows are judged alike; an empty table gives an empty result; other columns are not read.
@@ -28,8 +28,6 @@ from trendspark.llm.common import arrow_map, cut
 #: Fixed values: (host, path, verdict).
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Most tokens of a URL, and of the left side of a rule.
-TOKENS, MAX_TOKENS = 8, 3
 DEFAULT_VERDICT = "allow"
 
 
@@ -53,24 +51,25 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """The URL's tokens: scheme, ending, domain and first label of the host; first folder, file type and depth of the
-    path, first key of the query. Parts that a URL lacks give none."""
+    """The URL's tokens, each once: scheme; ending, domain and every label before it of the host; every folder, file type
+    and depth of the path; every key of the query. Parts that a URL lacks give none."""
     labels = F.split(host, r"\.")
     folders = F.split(path, "/")
-    folder = F.element_at(folders, 2)
     extension = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
-    key = F.regexp_extract(url, r"\?([^=&#]{1,32})=", 1)
-    parts = [
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    keys = F.regexp_extract_all(query, F.lit(r"(?:^|&)([^=&]+)="), F.lit(1))
+    one = [
         F.concat(F.lit("scheme="), F.regexp_extract(url, r"^([A-Za-z]{1,8})://", 1)),
         F.concat(F.lit("end="), F.element_at(labels, -1)),
         F.when(F.size(labels) > 1, F.concat(F.lit("domain="), F.element_at(labels, -2))),
-        F.when(F.size(labels) > 2, F.concat(F.lit("sub="), F.element_at(labels, 1))),
-        F.when(F.size(folders) > 2, F.concat(F.lit("folder="), F.when(folder.rlike(r"^\d+$"), F.lit("#")).otherwise(folder))),
         F.when(extension != "", F.concat(F.lit("type="), extension)),
         F.concat(F.lit("depth="), F.least(F.size(folders), F.lit(9)).cast("string")),
-        F.when(key != "", F.concat(F.lit("key="), key)),
     ]
-    return F.when(host != "", F.array_compact(F.array(*parts))).otherwise(F.array().cast("array<string>"))
+    subs = F.transform(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0))), lambda x: F.concat(F.lit("sub="), x))
+    inner = F.filter(F.slice(folders, 2, F.greatest(F.size(folders) - 2, F.lit(0))), lambda x: x != "")
+    inner = F.transform(inner, lambda x: F.concat(F.lit("folder="), F.when(x.rlike(r"^\d+$"), F.lit("#")).otherwise(x)))
+    parts = F.concat(F.array_compact(F.array(*one)), subs, inner, F.transform(keys, lambda x: F.concat(F.lit("key="), x)))
+    return F.when(host != "", F.array_distinct(parts)).otherwise(F.array().cast("array<string>"))
 
 
 def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> list[tuple]:
@@ -78,7 +77,7 @@ def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float)
     items = F.concat(F.col("tokens"), F.array(F.concat(F.lit("verdict="), F.col("verdict"))))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(labelled.select(items.alias("items")))
     frequent = {r["items"][0]: r["freq"] for r in model.freqItemsets.where(F.size("items") == 1).collect()}
-    found = model.associationRules.where(F.col("consequent")[0].startswith("verdict=") & (F.size("antecedent") <= MAX_TOKENS))
+    found = model.associationRules.where(F.col("consequent")[0].startswith("verdict="))
     rules = [(tuple(sorted(r["antecedent"])), r["consequent"][0].removeprefix("verdict="), r["confidence"], r["support"]) for r in found.collect()]
     kept: dict[str, list[tuple]] = defaultdict(list)
     for rule in sorted(rules, key=lambda r: (len(r[0]), -r[2], r[0])):
