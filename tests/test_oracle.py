@@ -1,6 +1,7 @@
 """Registered queries against their DuckDB oracle on the smallest tables."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -40,7 +41,8 @@ def test_every_query_is_registered_with_an_oracle():
     qs, oracles = entry.queries(), entry.oracle_sql()
     assert len(qs) >= 70
     assert set(oracles) <= set(qs)
-    assert set(qs) - set(oracles) == {"percentile_approx_growth"}
+    optional = re.compile(r"op\d+_|pipeline$")  # of the corpus operators, which may be absent
+    assert {n for n in set(qs) - set(oracles) if not optional.match(n)} == set()
 
 
 @pytest.mark.parametrize("name", NAMES)

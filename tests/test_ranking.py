@@ -1,7 +1,6 @@
-"""Histogram ranks equal plain window ranks exactly, at every bucket size and in the value's own type."""
+"""Ranks by prefix sums equal plain window ranks exactly, at any number of parts and in the value's own type."""
 
 import random
-import re
 from decimal import Decimal
 
 import pytest
@@ -13,6 +12,16 @@ from trendspark.operators import ranking
 G = ["region", "day"]
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    """Small tests keep all their parts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def _frame(spark, kind):
     rng = random.Random(5)
     near = [2**53, 2**53 + 1, 2**53 + 2, -(2**62), 2**63 - 1, 0]
@@ -38,19 +47,22 @@ def _values(df):
 
 
 @pytest.mark.parametrize("kind", ["bigint", "double", "decimal(20,2)"])
-@pytest.mark.parametrize("per_bucket", [3, 200_000])
-def test_every_rank_equals_the_window(spark, kind, per_bucket):
+@pytest.mark.parametrize("parts", [8, 61])
+def test_every_rank_equals_the_window(spark, kind, parts, uncoalesced):
+    """A third of the rows share one value, so its run goes over many parts; 61 parts cut small groups too."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     df = _frame(spark, kind)
-    for method, descending in [("rank", False), ("rank", True), ("dense_rank", False), ("dense_rank", True), ("row_number", True), ("row_number", False)]:
-        got = ranking.rank_within(df, G, "v", "r", method, descending, tie_break=["id"], values_per_bucket=per_bucket)
-        assert _values(got) == _values(_window(df, method, descending)), (method, descending)
+    methods = [("rank", False), ("rank", True), ("dense_rank", False), ("dense_rank", True), ("row_number", True), ("row_number", False)]
+    got = ranking.with_ranks(df, G, "v", {f"r{i}": how for i, how in enumerate(methods)}, tie_break=["id"])
+    assert got.columns == [*df.columns, *(f"r{i}" for i in range(len(methods)))]
+    for i, how in enumerate(methods):
+        assert _values(got.select("id", F.col(f"r{i}").alias("r"))) == _values(_window(df, *how)), how
 
 
-def test_percentiles_equal_the_window(spark):
+def test_percentiles_equal_the_window(spark, uncoalesced):
     df = _frame(spark, "bigint")
     want = _values(_window(df, "percent_score", False))
-    for per_bucket in (3, 200_000):
-        assert _values(ranking.percentile_score(df, G, "v", "r", values_per_bucket=per_bucket)) == want
+    assert _values(ranking.percentile_score(df, G, "v", "r")) == want
     assert _values(ranking.percentile_score_small(df, G, "v", "r")) == want
 
 
@@ -60,16 +72,33 @@ def test_row_numbers_are_unique_beyond_double_precision(spark):
     assert _values(got) == [("a", 2), ("b", 1)]
 
 
-def test_several_ranks_share_one_histogram(spark):
-    df = _frame(spark, "bigint")
-    got = ranking.with_ranks(df, G, "v", {"r": ("rank", True), "p": ("percent_score", False)})
-    assert _values(got) == _values(_window(df, "rank", True))
-    assert got.columns == [*df.columns, "r", "p"]
+def test_numbers_of_an_empty_table_and_of_repeated_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), (None, 2)], "g string, v int")
+    got = sorted((str(r.g), str(r.v), r.i, r.n) for r in ranking.numbered(df, ["g"], ["v"], "i", "n").collect())
+    assert got == [("None", "2", 0, 1), ("a", "1", 1, 3), ("a", "1", 2, 3), ("a", "None", 0, 3)]
+    assert ranking.numbered(df.limit(0), ["g"], ["v"], "i", "n").collect() == []
+
+
+def test_a_hot_value_is_dealt_over_many_tasks(spark, uncoalesced):
+    """Nine tenths of a group have one value: no part holds more than its share, and the ranks are right."""
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    df = spark.range(20_000).select(F.col("id"), F.lit("us").alias("region"), F.lit("d").alias("day"), F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id")).alias("v"))
+    sizes = [r.n for r in ranking.dealt(df, G, "v", ["id"]).groupBy("_part").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 30 and max(sizes) < 3 * 20_000 / 32
+    for method, descending in [("rank", True), ("dense_rank", True), ("row_number", True), ("percent_score", False)]:
+        assert _values(ranking.rank_within(df, G, "v", "r", method, descending, tie_break=["id"])) == _values(_window(df, method, descending))
 
 
-def test_no_window_is_over_a_whole_group_of_rows(spark):
+def test_three_exchanges_a_rank_and_the_input_planned_once(spark):
     df = spark.createDataFrame([("v", "us", "d", 1)], "id string, region string, day string, v bigint")
-    plan = ranking.rank_within(df, G, "v", "r", "rank", True)._jdf.queryExecution().executedPlan().toString()
-    specs = re.findall(r"windowspecdefinition\(([^)]*)\)", plan)
-    # by (group, bucket) over values, and by group over its buckets only
-    assert specs and all("_at" in s or "_r#" in s or "_n#" in s for s in specs) or "_at" in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+        dealt = plan(ranking.dealt(df, G, "v"))
+        ranked = plan(ranking.rank_within(df, G, "v", "r", "rank", True))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert dealt.count("Scan ExistingRDD") == 1 and dealt.count("Exchange rangepartitioning") == 1
+    assert dealt.count("Exchange ") == 2
+    # the rows stay where they are; only the sums, one row for each (part, group), are dealt
+    assert ranked.count("Exchange hashpartitioning") == 2 and "+- Exchange" not in ranked.split("Scan ExistingRDD")[0]

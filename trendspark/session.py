@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -63,6 +63,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared checkpoint folder: frames that read them several times read one
+    result, and a lost executor's work is not done again from the sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 CLUSTER_DEFAULTS = {
     # AQE re-plans at runtime: coalesces small shuffle partitions towards the
     # advisory size and splits skewed join partitions
