@@ -80,5 +80,5 @@ def test_everything_left_is_packed(stages):
 
 def test_queries_are_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())

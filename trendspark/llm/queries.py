@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendspark.llm import codec, embdedup, exactdedup, langid, licenses, minhash, packing, tokencount, toxicity, urlfilter
+from trendspark.llm import codec, embdedup, exactdedup, langid, licenses, merkle, minhash, packing, tokencount, toxicity, urlfilter
 from trendspark.llm.common import table
 
 
@@ -61,12 +61,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and verdict in the manifest of the whole table."""
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_token_counts, op3_url_filter, op4_toxicity, op5_best_fit_packing, op6_bpe_codec,
-        op7_embedding_dedup, op8_minhash_dedup, op9_license_scan, op10_exact_dedup,
+        op7_embedding_dedup, op8_minhash_dedup, op9_license_scan, op10_exact_dedup, op13_merkle_manifest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": embdedup.ORACLE_SQL, "op10_exact_dedup": exactdedup.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": embdedup.ORACLE_SQL, "op10_exact_dedup": exactdedup.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}
