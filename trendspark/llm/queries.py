@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendspark.llm import codec, embdedup, exactdedup, langid, licenses, merkle, minhash, packing, tokencount, toxicity, urlfilter
+from trendspark.llm import codec, embdedup, exactdedup, langid, licenses, merkle, minhash, packing, quality, tokencount, toxicity, urlfilter
 from trendspark.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the verdict of the n-gram likelihood ratio for every whole text."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, proof and verdict in the manifest of the whole table."""
     return merkle.proofs(table(spark, sf_dir, "documents"))
@@ -70,7 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_token_counts, op3_url_filter, op4_toxicity, op5_best_fit_packing, op6_bpe_codec,
-        op7_embedding_dedup, op8_minhash_dedup, op9_license_scan, op10_exact_dedup, op13_merkle_manifest,
+        op7_embedding_dedup, op8_minhash_dedup, op9_license_scan, op10_exact_dedup, op12_quality_rules, op13_merkle_manifest,
     )
 }
 
