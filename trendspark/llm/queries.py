@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendspark.llm import codec, embdedup, exactdedup, langid, licenses, merkle, minhash, packing, quality, tokencount, toxicity, urlfilter
+from trendspark.llm import align, codec, embdedup, exactdedup, langid, licenses, merkle, minhash, packing, quality, tokencount, toxicity, urlfilter
 from trendspark.llm.common import table
 
 
@@ -61,6 +61,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' tokens of every whole text."""
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the verdict of the n-gram likelihood ratio for every whole text."""
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -75,7 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_token_counts, op3_url_filter, op4_toxicity, op5_best_fit_packing, op6_bpe_codec,
-        op7_embedding_dedup, op8_minhash_dedup, op9_license_scan, op10_exact_dedup, op12_quality_rules, op13_merkle_manifest,
+        op7_embedding_dedup, op8_minhash_dedup, op9_license_scan, op10_exact_dedup, op11_token_alignment, op12_quality_rules, op13_merkle_manifest,
     )
 }
 
