@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -86,14 +87,12 @@ def test_common_ends_at_every_shift():
         a, b = (sorted({last, *rng.sample(range(1, last + 1), rng.randrange(last))}) for _ in range(2))
         if rng.random() < 0.5:  # long stretches one to one
             a, b = ([*range(1, 200), *(199 + x for x in side), *range(200 + last, 300 + last)] for side in (a, b))
-        upto_a, upto_b = align.aligned(a, b)
+        upto_a, upto_b = align.aligned(np.array(a), np.array(b))
         common = sorted(set(a) & set(b))
         assert [a[i - 1] for i in upto_a] == common == [b[j - 1] for j in upto_b]
 
 
 def test_wide_groups_link_by_distinct_ids(monkeypatch):
-    import numpy as np
-
     s = align.sides(A, B)
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 40, 300), rng.integers(0, 30, 200)

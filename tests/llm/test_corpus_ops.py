@@ -39,6 +39,31 @@ def real(spark):
     return [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
 
 
+@pytest.mark.parametrize("keep_one", [exactdedup.keep_one, minhash.keep_one])
+def test_columns_of_any_name_keep_their_values(spark, keep_one):
+    schema = "doc_id long, text string, _id long, _own string, _sha string, _none int, _kept string, _n int, _group string, __id long, _row int, kept int, n int"
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, 77, "o", "s", 5, "k", 6, "g", 78, 9, 8, 7), (1, text, 77, "o", "s", 5, "k", 6, "g", 78, 9, 8, 7), (2, text, 0, *[None] * 10), (3, "x", 1, "p", "t", 6, "l", 7, "h", 79, 10, 9, 8)]
+    got = sorted(tuple(r) for r in keep_one(spark.createDataFrame(rows, schema)).collect())
+    assert got == [rows[0], rows[3]]
+
+
+def test_exact_groups_of_the_least_id(spark):
+    rows = [(-(2**63), "a", None, None), (2**63 - 1, "a", None, None), (0, "b", None, None)]
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exactdedup.exact_groups(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {-(2**63): (-(2**63), 2), 2**63 - 1: (-(2**63), 2), 0: (0, 1)}
+
+
+def test_scripts_are_told_apart_by_their_letters(spark):
+    ru = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства. "
+    uk = "Всі люди народжуються вільними і рівними у своїй гідності та правах. Вони наділені розумом і совістю і повинні діяти у відношенні один до одного в дусі братерства. "
+    assert not (langid.ngram_vectors().letter(ord("а")) == langid.ngram_vectors().letter(ord("х"))).all()
+    rows = [(i, t * 3, lang, None) for i, (t, lang) in enumerate([(ru, "ru"), (uk, "uk")] * 3)]
+    rows += [(100, "они рождаются в духе свободы и должны быть равными", None, None), (101, "вони народжуються в дусі свободи і повинні бути рівними", None, None)]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(spark.createDataFrame(rows, DOC), langid.prototypes(spark.createDataFrame(rows, DOC)), langid.held_out()).collect()}
+    assert (got[100], got[101]) == ("ru", "uk")
+
+
 # --- 6 and 2: exact BPE ------------------------------------------------------------------------------------------
 
 
@@ -102,10 +127,9 @@ def test_language_on_held_out_documents(spark):
 def test_language_bundle_and_cosine_by_hand():
     text = "The cat, the hat!"
     codes, counts = langid.ngrams(text)
-    letters = np.random.default_rng(langid.SEED).choice(np.array([-1, 1], np.int8), (langid.SYMBOLS, langid.DIMENSIONS)).astype(int)
     spelt = " the cat the hat "
-    number = {c: 0 if c == " " else ord(c) - 96 for c in spelt}
-    total = sum(np.roll(letters[number[a]], 2) * np.roll(letters[number[b]], 1) * letters[number[c]] for a, b, c in zip(spelt, spelt[1:], spelt[2:], strict=False))
+    letter = {c: langid.ngram_vectors().letter(0 if c == " " else ord(c)).astype(int) for c in spelt}
+    total = sum(np.roll(letter[a], 2) * np.roll(letter[b], 1) * letter[c] for a, b, c in zip(spelt, spelt[1:], spelt[2:], strict=False))
     assert np.array_equal(langid.bundle(codes, counts), total)
 
 
@@ -332,22 +356,43 @@ def test_near_groups_equal_brute_force(spark):
 
 
 @pytest.mark.parametrize("parts", [1, 5])
-def test_document_frequencies_are_exact(spark, monkeypatch, parts):
-    """Every run's df is its number of documents, with far more runs than BUCKETS, over copies, nulls and task blocks."""
-    monkeypatch.setattr(minhash, "HELD_RUNS", 2000)
+def test_document_frequencies_are_exact(spark, parts):
+    """Every run's df is its number of documents, with far more runs than BUCKETS, over copies, nulls and blocks."""
     rng = random.Random(5)
     found = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(20_000)) for _ in range(16)]
     found += [t for n in (2, 9) for t in near_family(rng, n)] * 2 + [None, "", "a b", "a b", "a b a b a b a b", "..."]
     df = Counter(k for t in found for k in set(shingle_hashes(t).tolist()))
     assert len(df) > minhash.BUCKETS
-    docs = spark.createDataFrame([(t,) for t in found], "text string").repartition(3)
-    own = {r.rep: bytes(r.df) for r in minhash.shared_runs(docs, parts).collect()}
+    classes = defaultdict(set)
     for t in found:
         runs, counts = minhash.counted(t)
-        if len(runs):
-            got = minhash.weights(counts, runs, len(found), own.get(minhash.vertex_of(*minhash.set_hashes(runs, counts))))
-            want = [(1 + math.log(c)) * (1 + math.log((1 + len(found)) / (1 + df[k])) / math.log(minhash.BUCKETS)) for k, c in zip(runs.tolist(), counts, strict=True)]
-            assert np.allclose(got, want, rtol=1e-12)
+        name = minhash.set_hashes(runs, counts) if len(runs) else None
+        for k in runs.tolist():
+            classes[k].add(name)
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(found)], "doc_id long, own long, text string").repartition(3)
+    dealt = minhash.runs_and_documents(docs, parts, held_runs=2000)
+    got = {}
+    for r in dealt.where("part >= 0").collect():
+        for k, n in zip(np.frombuffer(r.runs, np.uint64).tolist(), np.frombuffer(r.n, np.int64).tolist(), strict=True):
+            assert got.setdefault(k, n) == n
+    assert {k: n >> 1 for k, n in got.items()} == {k: n for k, n in df.items() if n > 1}
+    assert all(n & 1 for k, n in got.items() if len(classes[k]) > 1)  # else a class might be left out wrongly
+    rows = {r.doc_id: r for r in minhash.documents_of(dealt).collect()}
+    assert sorted(rows) == list(range(len(found)))
+    for i, t in enumerate(found):
+        runs, counts = minhash.counted(t)
+        assert rows[i].n == len(runs) and (rows[i].one, rows[i].two) == (minhash.set_hashes(runs, counts) if len(runs) else (None, None))
+
+
+def test_only_classes_that_can_be_like_another_are_sketched(spark):
+    rng = random.Random(7)
+    alone = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(80)) for _ in range(20)]
+    pair = near_family(rng, 2, edits=1)
+    texts = spark.createDataFrame(list(enumerate([*alone, *pair, alone[0]])), "doc_id long, text string").withColumn("own", F.xxhash64("text"))
+    dealt = minhash.cut(minhash.runs_and_documents(texts, 3))
+    rows = minhash.documents_of(dealt).join(texts, ["doc_id", "own"]).where("doc_id < 22").select("block", "rep", "text")
+    left = {r.text for r in minhash.sketches(rows, dealt, 23, minhash.THRESHOLD).collect()}
+    assert set(pair) <= left <= {*pair, alone[0]}
 
 
 def test_one_row_of_each_near_group_stays(spark):

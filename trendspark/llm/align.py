@@ -79,18 +79,19 @@ class Sides:
             return None
         spaced = " " + text
         if LONG_RUN.search(spaced):
-            a = self.library.encode(spaced, add_special_tokens=False).ids
+            a = np.array(self.library.encode(spaced, add_special_tokens=False).ids, np.int64)
         else:
-            a = self.fast.encode_ordinary(spaced)
+            a = np.array(self.fast.encode_ordinary(spaced), np.int64)
         b = self.model.encode(text, num_threads=1)
         raw = spaced.encode("utf-8", "replace")
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+        # a byte-level vocabulary with all 256 bytes loses nothing, so its bytes are the text's; B's are compared
+        if self.lengths_a[a].sum() != len(raw) or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
             return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        return a, np.array(b, np.int64)
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each group the number of A tokens, and of B tokens, up to its end."""
-        return aligned(np.cumsum(self.lengths_a[a]).tolist(), np.cumsum(self.lengths_b[b]).tolist())
+        return aligned(np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b]))
 
     def text_of(self, a: np.ndarray, b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray) -> str:
         """The groups as ``a1,a2|b1;a3|b2,b3``."""
@@ -135,21 +136,25 @@ def sides(path_a: str, path_b: str) -> Sides:
     return Sides(path_a, path_b)
 
 
-def aligned(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def aligned(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two arrays of ends, both ending at the same byte: for each common end the number of tokens of either side up to it."""
-    n, m = len(a), len(b)
+    n, m = len(ends_a), len(ends_b)
+    a, b = ends_a.tolist(), ends_b.tolist()
+    # stretches are compared as bytes, four for each end (a text has less than 4 GB)
+    raw_a, raw_b = ends_a.astype("<u4").tobytes(), ends_b.astype("<u4").tobytes()
     runs_a, runs_b, lengths = [], [], []  # common ends that follow each other at one shift
     i = j = 0
     while i < n:
-        start, step = i, 1
-        while i < n and a[i : i + step] == b[j : j + step]:
+        start, step = i, 4
+        while i < n and raw_a[4 * i : 4 * (i + step)] == raw_b[4 * j : 4 * (j + step)]:
             i, j, step = i + step, j + step, step * 2
-        if i > n:
+        if i >= n:
             i, j = n, m
-        while step > 1:
-            step //= 2
-            if i < n and a[i : i + step] == b[j : j + step]:
-                i, j = min(i + step, n), min(j + step, m)
+        else:
+            while step > 1:
+                step //= 2
+                if raw_a[4 * i : 4 * (i + step)] == raw_b[4 * j : 4 * (j + step)]:
+                    i, j = i + step, j + step
         runs_a.append(start)
         runs_b.append(j - (i - start))
         lengths.append(i - start)

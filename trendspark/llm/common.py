@@ -57,6 +57,17 @@ def cut(df: DataFrame) -> DataFrame:
             spark.conf.set(CLEANUP, before)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names`` with so many underscores before them that none is among ``columns``."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def arrow_map(df: DataFrame, per_slice: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``per_slice`` to every slice of at most SLICE_ROWS rows of ``df``, inside Spark's tasks."""
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import cut
+from trendspark.llm.common import cut, fresh
 
 #: Fixed value: the characters that do not count.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -53,10 +53,10 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = cut(recipes(docs, id_col, text_col))
-    best = F.max(F.struct(F.col("doc_id").isNotNull(), F.col("n_points"), -F.col("doc_id"))).alias("best")
+    best = F.max(F.struct(F.col("doc_id").isNotNull(), F.col("n_points"), F.bitwise_not("doc_id"))).alias("best")
     groups = rows.groupBy("recipe").agg(best, F.count("*").alias("group_size"))
     # written out, so that the join has an exchange of its own on both sides and AQE can split a large group
-    groups = cut(groups.select("recipe", (-F.col("best.col3")).alias("keep_id"), "group_size"))
+    groups = cut(groups.select("recipe", F.bitwise_not(F.col("best.col3")).alias("keep_id"), "group_size"))
     return rows.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
@@ -73,19 +73,20 @@ def one_row(rows: DataFrame, by: list[str], columns: list[str], text_col: str) -
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of equal texts, with all its columns: a row with the group's keep_id and its text; of
     several (repeated rows, or only rows without an id) the one that ``one_row`` chooses. An id with different texts
-    stands in each of their groups by itself."""
+    stands in each of their groups by itself. Columns of any name keep their values."""
     rows = exact_groups(docs, id_col, text_col)
-    key = [F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_sha256").alias("_sha")]
-    marks = rows.groupBy(*key, F.col("kept").alias("_kept")).agg(F.count("*").alias("_n"))
-    marks = cut(marks.where("NOT _kept OR _n > 1").drop("_n"))
+    none, own_id, sha, kept, n = fresh(docs.columns, "_none", "_id", "_sha", "_kept", "_n")
+    key = [F.col("doc_id").isNull().alias(none), F.coalesce("doc_id", F.lit(0)).alias(own_id), F.col("text_sha256").alias(sha)]
+    marks = rows.groupBy(*key, F.col("kept").alias(kept)).agg(F.count("*").alias(n))
+    marks = cut(marks.where(~F.col(kept) | (F.col(n) > 1)).drop(n))
     own = F.col(id_col).cast("long")
-    keyed = docs.withColumns({"_none": own.isNull(), "_id": F.coalesce(own, F.lit(0)), "_sha": F.sha2(normalised(F.col(text_col)), 256)})
-    on = ["_none", "_id", "_sha"]
+    keyed = docs.withColumns({none: own.isNull(), own_id: F.coalesce(own, F.lit(0)), sha: F.sha2(normalised(F.col(text_col)), 256)})
+    on = [none, own_id, sha]
     out = keyed.join(marks, on, "left_anti").select(*docs.columns)
-    repeated = marks.where("_kept")
+    repeated = marks.where(kept)
     if repeated.isEmpty():
         return out
-    return out.unionByName(one_row(keyed.join(repeated, on, "left_semi"), ["_sha"], docs.columns, text_col))
+    return out.unionByName(one_row(keyed.join(repeated, on, "left_semi"), [sha], docs.columns, text_col))
 
 
 ORACLE_SQL = r"""

@@ -6,8 +6,8 @@ vectors of all its n-grams; a language's prototype bundles those of all its docu
 the greatest cosine with the document is predicted (ties: the first language in order), and that cosine, not below 0,
 is the score.
 
-Letters are lower-cased; A-Z have vectors of their own, other letters share OTHER_LETTERS by code point, and each run
-of other characters is one blank. Prototypes bundle every learning document, as sums of integers per task and then per
+Letters are lower-cased; every letter of every script has a vector of its own, drawn for its code point, and each run of
+other characters is one blank. Prototypes bundle every learning document, as sums of integers per task and then per
 language, so they do not depend on partitioning; what reaches the driver is one vector a language.
 
 Results: null texts and texts without a letter are ``und`` with score 0; with no document to learn from every text is
@@ -27,64 +27,76 @@ from pyspark.sql import functions as F
 from trendspark.llm.common import arrow_filter, arrow_map, crc_mod, map_batches
 
 DIMENSIONS, SEED = 1024, 20_240_501
-OTHER_LETTERS = 21
-SYMBOLS = 27 + OTHER_LETTERS
-NGRAMS = SYMBOLS**3
 UNKNOWN = "und"
+#: Vectors of letters and of n-grams kept in a Python worker (8 and 16 MB); emptied when full, which changes no result.
+LETTERS_KEPT, NGRAMS_KEPT = 8192, 16_384
+#: N-grams bundled together, and languages whose sums a task holds.
+TOGETHER, LANGS_HELD = 4096, 1024
 
 
 @cache
-def symbol_table() -> np.ndarray:
-    """The symbol of each code point: 0 for no letter, 1 to 26 for a to z, the rest shared by other letters."""
-    letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-    table = np.where(letters, 27 + np.arange(0x110000) % OTHER_LETTERS, 0).astype(np.uint8)
-    table[97:123] = np.arange(1, 27)
-    return table
+def is_letter() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 class NgramVectors:
-    """Vectors of n-grams, bound when first met; a row is only ever touched for an n-gram that occurs."""
+    """Vectors of letters, each drawn for its own code point (0: a blank), and of n-grams, bound when first met."""
 
     def __init__(self):
-        letters = np.random.default_rng(SEED).choice(np.array([-1, 1], np.int8), (SYMBOLS, DIMENSIONS))
-        self.placed = [np.roll(letters, 2 - k, axis=1) for k in range(3)]
-        self.rows = np.empty((NGRAMS, DIMENSIONS), np.int8)
-        self.known = np.zeros(NGRAMS, bool)
+        self.letters: dict[int, np.ndarray] = {}
+        self.slots: dict[int, int] = {}
+        self.rows = np.empty((NGRAMS_KEPT, DIMENSIONS), np.int8)
+
+    def letter(self, point: int) -> np.ndarray:
+        found = self.letters.get(point)
+        if found is None:
+            if len(self.letters) >= LETTERS_KEPT:
+                self.letters.clear()
+            found = self.letters[point] = np.random.default_rng([SEED, point]).choice(np.array([-1, 1], np.int8), DIMENSIONS)
+        return found
 
     def of(self, codes: np.ndarray) -> np.ndarray:
-        new = codes[~self.known[codes]]
-        if len(new):
-            a, b, c = new // SYMBOLS**2, new // SYMBOLS % SYMBOLS, new % SYMBOLS
-            self.rows[new] = self.placed[0][a] * self.placed[1][b] * self.placed[2][c]
-            self.known[new] = True
-        return self.rows[codes]
+        """The vectors of at most TOGETHER n-grams."""
+        wanted = codes.tolist()
+        new = [c for c in wanted if c not in self.slots]
+        if len(self.slots) + len(new) > NGRAMS_KEPT:
+            self.slots.clear()
+            new = wanted
+        for c in new:
+            placed = [np.roll(self.letter(c >> 21 * (2 - k) & 0x1FFFFF), 2 - k) for k in range(3)]
+            self.slots[c] = at = len(self.slots)
+            self.rows[at] = placed[0] * placed[1] * placed[2]
+        return self.rows[[self.slots[c] for c in wanted]]
 
 
 @cache
 def ngram_vectors() -> NgramVectors:
-    """One table a Python worker."""
+    """One store a Python worker."""
     return NgramVectors()
 
 
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of a whole text, as sorted codes, and how often each occurs; none if it has no letter."""
+    """The n-grams of a whole text, as sorted codes (21 bits for each letter), and how often each occurs; none if it has
+    no letter."""
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32)
-    symbols = symbol_table()[points]
+    symbols = np.where(is_letter()[points], points, 0)
     if not symbols.any():
         return np.empty(0, np.int64), np.empty(0, np.int64)
     symbols = np.concatenate([[0], symbols, [0]])
     symbols = symbols[np.concatenate([[True], (symbols[1:] != 0) | (symbols[:-1] != 0)])].astype(np.int64)
-    codes = (symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:] if len(symbols) > 2 else np.empty(0, np.int64)
-    if len(codes) > NGRAMS // 8:
-        counts = np.bincount(codes, minlength=NGRAMS)
-        found = np.flatnonzero(counts)
-        return found, counts[found]
-    return np.unique(codes, return_counts=True)
+    if len(symbols) < 3:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.unique(symbols[:-2] << 42 | symbols[1:-1] << 21 | symbols[2:], return_counts=True)
 
 
 def bundle(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The sum of the vectors of n-grams, each as often as it occurs."""
-    return counts.astype(np.float32) @ ngram_vectors().of(codes).astype(np.float32)
+    """The sum of the vectors of n-grams, each as often as it occurs: whole numbers, exact below 2**24 n-grams."""
+    total = np.zeros(DIMENSIONS)
+    for start in range(0, len(codes), TOGETHER):
+        part = slice(start, start + TOGETHER)
+        total += counts[part].astype(np.float32) @ ngram_vectors().of(codes[part]).astype(np.float32)
+    return total
 
 
 def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
@@ -92,16 +104,19 @@ def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.list_(pa.int64()))], ["lang", "vector"])
+
         for batch in batches:
             for text, lang in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-                codes, counts = ngrams(text)
-                total = seen.setdefault(lang, np.zeros(NGRAMS, np.int64))
-                total[codes] += counts
-        for lang, total in seen.items():
-            found, vector = np.flatnonzero(total), np.zeros(DIMENSIONS, np.int64)
-            for part in np.array_split(found, len(found) // 4096 + 1):
-                vector += total[part] @ ngram_vectors().of(part).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([vector], pa.list_(pa.int64()))], ["lang", "vector"])
+                if lang not in seen:
+                    if len(seen) >= LANGS_HELD:
+                        yield rows()
+                        seen.clear()
+                    seen[lang] = np.zeros(DIMENSIONS, np.int64)
+                seen[lang] += np.rint(bundle(*ngrams(text))).astype(np.int64)
+        yield rows()
 
     learnt = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang IS NOT NULL")
     parts = map_batches(learnt, run, "lang string, vector array<long>").select("lang", F.posexplode("vector").alias("at", "x"))
@@ -116,7 +131,7 @@ def measured(text: str | None, names: list[str], matrix: np.ndarray) -> tuple[st
     codes, counts = ngrams(text)
     if not len(codes) or not names:
         return UNKNOWN, 0.0, int(counts.sum())
-    vector = bundle(codes, counts).astype(np.float64)
+    vector = bundle(codes, counts)
     cosines = matrix @ vector / max(np.linalg.norm(vector), 1e-12)
     best = int(np.argmax(cosines))
     return names[best], float(min(1.0, max(0.0, cosines[best]))), int(counts.sum())

@@ -2,8 +2,9 @@
 
 Method: a document is a weighted set of its runs of five words. A run's weight is (1 + ln tf) * idf with
 idf = 1 + ln((1 + N) / (1 + df)) / ln(BUCKETS): N counts all documents, and df those with the run, exactly, by its 64-bit
-hash. The runs of all documents are dealt into parts by their hash, in packed blocks, and counted there; only runs of two
-or more documents are dealt back, to the classes that have them. idf is damped, as runs that a large group of copies
+hash. Documents are read in blocks; the distinct runs of a block, with the number of its documents, are dealt into parts
+by their hash and counted there, and those of two or more documents go back to the block. A class whose runs that other
+classes have too weigh less than THRESHOLD of it can be like none, and takes no further part. idf is damped, as runs that a large group of copies
 shares must not lose their weight against the few words in which the copies differ: with df of 1 it is 2 at N = 2 BUCKETS
 and 2.25 at twelve million documents. Improved consistent
 weighted sampling draws BANDS * ROWS samples (k, t); two documents agree in a sample with probability equal to their
@@ -29,10 +30,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import arrow_map, cut, map_batches, mix64, shingle_hashes
+from trendspark.llm.common import SLICE_ROWS, cut, fresh, map_batches, mix64, reachable, shingle_hashes
 from trendspark.llm.components import components
 from trendspark.llm.exactdedup import one_row
 
@@ -40,14 +42,17 @@ WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS, SEED = 12, 4, 7
 #: Damps idf; also the length of a table of idf by hashed runs that may be given instead of exact frequencies.
 BUCKETS = 1 << 18
-#: Runs of a part in which frequencies are counted, and of a task's blocks before they are dealt.
-PART_RUNS, HELD_RUNS = 1 << 19, 1 << 20
+#: Runs of a part in which frequencies are counted, and distinct runs (or documents) of a block.
+PART_RUNS, HELD_RUNS = 1 << 20, 1 << 19
+#: Bytes of a text for each run, about; only sets how many parts there are.
+RUN_BYTES = 6
 #: Classes of a block; an unsettled bucket of more is compared in pairs of blocks.
 BLOCK = 1024
 #: Runs whose samples are drawn together; bounds memory for long texts.
 CHUNK = 1024
 #: Texts whose weights are kept while pairs are compared.
 TEXTS_KEPT = 64
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -65,90 +70,124 @@ def set_hashes(runs: np.ndarray, counts: np.ndarray) -> tuple[int, int]:
     return int(part.sum().astype(np.int64)), int(mix64(part).sum().astype(np.int64))
 
 
-def vertex_of(one: int, two: int) -> int:
-    """The hash that names a class."""
-    return int(mix64(np.array([one, two], np.int64).view(np.uint64) * np.array([1, 0x9E3779B97F4A7C15], np.uint64)).sum().astype(np.int64))
+#: Either the distinct runs of a block of documents in one part, or (part below 0) the documents of a block.
+DEALT = "part long, block long, runs binary, n binary, ids binary, own binary, one binary, two binary"
+NONE = b""
 
 
-DEALT = "part long, runs binary, reps binary, n binary"
+def dealt_rows(rows: list[tuple]) -> pa.RecordBatch:
+    names = [f.split()[0] for f in DEALT.split(", ")]
+    types = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
-def packed_parts(part: np.ndarray, runs: np.ndarray, reps: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """One row for each part: its runs, the classes that have them and a number for each, as bytes."""
-    order = np.argsort(part, kind="stable")
-    names, first = np.unique(part[order], return_index=True)
-    columns = [[x.tobytes() for x in np.split(a[order], first[1:])] if len(names) else [] for a in (runs, reps, n)]
-    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64), pa.int64()), *(pa.array(c, pa.binary()) for c in columns)], ["part", "runs", "reps", "n"])
-
-
-def unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All runs, classes and numbers of a part, those of a class and run once: the numbers added up."""
-    runs, reps, n = (np.frombuffer(b"".join(group[c].to_pylist()), t) for c, t in (("runs", np.uint64), ("reps", np.int64), ("n", np.int64)))
-    order = np.lexsort((reps, runs))
-    runs, reps, n = runs[order], reps[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (runs[1:] != runs[:-1]) | (reps[1:] != reps[:-1])]))
-    return runs[first], reps[first], np.add.reduceat(n, first)
-
-
-def shared_runs(texts: DataFrame, parts: int) -> DataFrame:
-    """(rep, df): for each class with a run of two or more documents, those runs and their frequencies, packed: the sorted
-    runs, then the numbers. ``texts`` has one column of texts, of all documents."""
+def runs_and_documents(texts: DataFrame, parts: int, held_runs: int = HELD_RUNS) -> DataFrame:
+    """The first pass over all texts (``texts``: doc_id, own, text), in blocks of documents. Of each block come its
+    documents (id, hash of the text, number of runs, two hashes of the weighted set), and of its distinct runs those
+    that two or more documents have anywhere: packed runs, and twice their documents plus 1 if more than one class has
+    them. A run that all documents share is one entry a block, in one part."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        partition, number = TaskContext.get().partitionId(), 0
+        classes: dict[tuple[int, int], list] = {}
+        docs: list[tuple] = []
         size = 0
 
-        def blocks() -> pa.RecordBatch:
-            runs = np.concatenate([r for r, _ in held.values()])
-            lengths = [len(r) for r, _ in held.values()]
-            reps, n = np.repeat(np.fromiter(held, np.int64, len(held)), lengths), np.repeat(np.array([k for _, k in held.values()], np.int64), lengths)
-            return packed_parts(mix64(runs) % np.uint64(parts), runs, reps, n)
+        def close() -> pa.RecordBatch:
+            block = (partition << 32) + number
+            ids = np.array([d[0] or 0 for d in docs], np.int64).tobytes() + np.array([d[0] is None for d in docs], np.int8).tobytes()
+            own, one, two, n = (np.array([d[k] for d in docs], np.int64).tobytes() for k in (1, 3, 4, 2))
+            rows = [(-1 - block % parts, block, NONE, n, ids, own, one, two)]
+            if classes:
+                runs = np.concatenate([r for r, _ in classes.values()])
+                many = np.repeat(np.array([k for _, k in classes.values()], np.int64), [len(r) for r, _ in classes.values()])
+                order = np.argsort(runs, kind="stable")
+                runs, many = runs[order], many[order]
+                first = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
+                several = np.diff(np.append(first, len(runs))) > 1
+                runs, n = runs[first], 2 * np.add.reduceat(many, first) + several
+                part = (mix64(runs) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                names, first = np.unique(part[order], return_index=True)
+                pieces = zip(names.tolist(), np.split(runs[order], first[1:]), np.split(n[order], first[1:]), strict=True)
+                rows += [(p, block, r.tobytes(), k.astype("<u4").tobytes(), *[NONE] * 4) for p, r, k in pieces]
+            return dealt_rows(rows)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                runs, counts = counted(text)
-                if not len(runs):
-                    continue
-                rep = vertex_of(*set_hashes(runs, counts))
-                if rep in held:
-                    held[rep][1] += 1
-                    continue
-                held[rep] = [runs, 1]
-                size += len(runs)
-                if size >= HELD_RUNS:
-                    yield blocks()
-                    held, size = {}, 0
-        if held:
-            yield blocks()
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                for doc_id, own, text in zip(*(c.to_pylist() for c in batch.slice(start, SLICE_ROWS).columns), strict=True):
+                    runs, counts = counted(text)
+                    key = set_hashes(runs, counts) if len(runs) else (0, 0)
+                    docs.append((doc_id, own or 0, len(runs), *key))
+                    if len(runs):
+                        if key in classes:
+                            classes[key][1] += 1
+                        else:
+                            classes[key] = [runs, 1]
+                            size += len(runs)
+                    if size >= held_runs or len(docs) >= held_runs:
+                        yield close()
+                        classes, docs, size, number = {}, [], 0, number + 1
+        if docs:
+            yield close()
 
     def count(key: tuple, group: pa.Table) -> pa.Table:
-        runs, reps, n = unpacked(group)
+        if key[0].as_py() < 0:
+            return group
+        blocks, runs, n = (group[c].to_pylist() for c in ("block", "runs", "n"))
+        block = np.repeat(np.arange(len(blocks), dtype=np.int32), [len(r) // 8 for r in runs])
+        runs, n = np.frombuffer(b"".join(runs), np.uint64), np.frombuffer(b"".join(n), "<u4")
+        order = np.argsort(runs, kind="stable")
+        runs, n, block = runs[order], n[order], block[order]
         first = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
-        df = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(runs))))
-        many = df > 1
-        runs, reps, df = runs[many], reps[many], df[many]
-        return pa.Table.from_batches([packed_parts(mix64(reps.view(np.uint64)) % np.uint64(parts), runs, reps, df)])
+        times = np.diff(np.append(first, len(runs)))
+        df = np.add.reduceat((n >> 1).astype(np.int64), first)
+        shared = (times > 1) | (np.maximum.reduceat(n & 1, first) > 0)
+        n = np.repeat(2 * df + shared, times)
+        many = np.repeat(df > 1, times)
+        runs, n, block = runs[many], n[many], block[many]
+        order = np.argsort(block, kind="stable")
+        names, first = np.unique(block[order], return_index=True)
+        pieces = zip(names.tolist(), np.split(runs[order], first[1:]), np.split(n[order], first[1:]), strict=True)
+        rows = [(key[0].as_py(), blocks[b], r.tobytes(), k.tobytes(), *[NONE] * 4) for b, r, k in pieces]
+        return pa.Table.from_batches([dealt_rows(rows)]) if rows else group.slice(0, 0)
+
+    return map_batches(texts.select("doc_id", "own", "text"), deal, DEALT).groupBy("part").applyInArrow(count, DEALT)
+
+
+def documents_of(dealt: DataFrame) -> DataFrame:
+    """(doc_id, own, n, one, two, rep, block) of all rows: without a run or an id no hashes of the weighted set nor a class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own, n, one, two = (np.frombuffer(row[c], np.int64) for c in ("own", "n", "one", "two"))
+                ids, none = np.frombuffer(row["ids"][: 8 * len(n)], np.int64), np.frombuffer(row["ids"][8 * len(n) :], np.int8) > 0
+                lost = none | (n == 0)
+                rep = mix64(one.view(np.uint64)) + mix64(mix64(two.view(np.uint64) * _GOLD))
+                columns = [pa.array(ids, mask=none), pa.array(own), pa.array(n), *(pa.array(x, mask=lost) for x in (one, two, rep.view(np.int64)))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(n), row["block"]))], ["doc_id", "own", "n", "one", "two", "rep", "block"])
+
+    return map_batches(dealt.where("part < 0"), run, "doc_id long, own long, n long, one long, two long, rep long, block long")
+
 
-    def collect(key: tuple, group: pa.Table) -> pa.Table:
-        runs, reps, df = unpacked(group)
-        order = np.argsort(reps, kind="stable")
-        names, first = np.unique(reps[order], return_index=True)
-        found = zip(np.split(runs[order], first[1:]), np.split(df[order], first[1:]), strict=True)
-        return pa.table({"rep": pa.array(names, pa.int64()), "df": pa.array([r.tobytes() + k.tobytes() for r, k in found], pa.binary())})
+def packed_df(df: np.ndarray) -> bytes:
+    """The frequencies of a text's sorted runs, packed."""
+    raw = df.astype("<u4" if df.max(initial=0) < 1 << 32 else "<u8")
+    return len(raw).to_bytes(7, "little") + bytes([raw.itemsize]) + pa.compress(raw.tobytes(), "zstd", asbytes=True)
 
-    counts = map_batches(texts, deal, DEALT).groupBy("part").applyInArrow(count, DEALT)
-    return counts.groupBy("part").applyInArrow(collect, "rep long, df binary")
+
+def unpacked_df(data: bytes) -> np.ndarray:
+    size, each = int.from_bytes(data[:7], "little"), data[7]
+    return np.frombuffer(pa.decompress(data[8:], size * each, "zstd", asbytes=True), f"<u{each}").astype(np.float64)
 
 
 def weights(counts: np.ndarray, runs: np.ndarray, idf: int | np.ndarray, own: bytes | None = None) -> np.ndarray:
-    """The weights of a text's sorted runs. ``idf`` is the number of documents, with ``own`` the packed frequencies of the
-    text's runs (1 for those not in it), or else a given table of idf by hashed runs."""
+    """The weights of a text's sorted runs. ``idf`` is the number of documents, with ``own`` the packed frequencies of
+    these runs (all 1 without it), or else a given table of idf by hashed runs."""
     if isinstance(idf, np.ndarray):
         return (1 + np.log(counts)) * idf[bucket_of(runs)]
-    df = np.ones(len(runs))
-    if own:
-        half = len(own) // 2
-        df[np.searchsorted(runs, np.frombuffer(own[:half], np.uint64))] = np.frombuffer(own[half:], np.int64)
+    df = unpacked_df(own) if own else np.ones(len(runs))
     return (1 + np.log(counts)) * (1 + np.log((1 + idf) / (1 + df)) / np.log(BUCKETS))
 
 
@@ -206,35 +245,34 @@ def bands_of(drawn: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def class_hashes(texts: DataFrame) -> DataFrame:
-    """(doc_id, own, n, one, two, rep) of all rows: the number of runs, and without a run or an id no hashes of the weighted
-    set nor a class; ``texts``: doc_id, text, own."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, one, two, rep = [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            runs, counts = counted(text)
-            known = set_hashes(runs, counts) if len(runs) and doc_id is not None else (None, None)
-            n.append(len(runs))
-            one.append(known[0])
-            two.append(known[1])
-            rep.append(None if known[0] is None else vertex_of(*known))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (n, one, two, rep))], ["doc_id", "own", "n", "one", "two", "rep"])
-
-    return arrow_map(texts, run, "doc_id long, own long, n long, one long, two long, rep long")
-
-
-def sketches(texts: DataFrame, n: int) -> DataFrame:
-    """(rep, its buckets); ``texts``: rep, text, df."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        buckets = []
-        for text, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            runs, counts = counted(text)
-            buckets.append(bands_of(samples(runs, weights(counts, runs, n, own))))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(buckets, pa.list_(pa.int64()))], ["rep", "buckets"])
-
-    return arrow_map(texts, run, "rep long, buckets array<long>")
+def sketches(texts: DataFrame, dealt: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(rep, buckets, text, df) of the classes that can be like another one; ``texts``: block, rep, text, one row a class.
+
+    A class can only share weight in runs that another class has. If these are less than ``threshold`` of its weight, its
+    similarity with every other class is below it: it needs no samples, and is left out without losing a link."""
+    reachable(texts.sparkSession)
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        runs, n_of = (np.frombuffer(b"".join(found[c].to_pylist()), t) for c, t in (("runs", np.uint64), ("n", np.int64)))
+        order = np.argsort(runs, kind="stable")
+        runs, n_of = runs[order], n_of[order]
+        out: list[tuple] = []
+        for rep, text in zip(own["rep"].to_pylist(), own["text"].to_pylist(), strict=True):
+            mine, counts = counted(text)
+            at = np.searchsorted(runs, mine)
+            at[at == len(runs)] = 0
+            known = runs[at] == mine if len(runs) else np.zeros(len(mine), bool)
+            value = np.where(known, n_of[at], 2) if len(runs) else np.full(len(mine), 2)
+            packed = packed_df(value >> 1)
+            weight = weights(counts, mine, n, packed)
+            if weight[value & 1 > 0].sum() >= (threshold - 1e-9) * weight.sum():
+                out.append((rep, bands_of(samples(mine, weight)), text, packed))
+        columns = list(zip(*out, strict=True)) or [[]] * 4
+        types = (pa.int64(), pa.list_(pa.int64()), pa.string(), pa.binary())
+        return pa.table({c: pa.array(list(x), t) for c, x, t in zip(("rep", "buckets", "text", "df"), columns, types, strict=True)})
+
+    answers = dealt.where("part >= 0").select("block", "runs", "n")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, "rep long, buckets array<long>, text string, df binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: int | np.ndarray, threshold: float) -> DataFrame:
@@ -338,23 +376,24 @@ def near_rows(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     null without a word or an id). Classes are known by a hash of their weighted set, so an id with different texts is
     in the component of each of them."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("own", F.xxhash64("text"))
-    rows = cut(class_hashes(texts))
-    total = rows.agg(F.count("*").alias("docs"), F.sum("n").alias("runs")).first()
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = cut(runs_and_documents(texts, size // (RUN_BYTES * PART_RUNS) + 1))
+    rows = cut(documents_of(dealt))
+    n_docs = rows.count()
     drawn = rows.where("rep IS NOT NULL")
-    classes = cut(drawn.groupBy("one", "two", "rep").agg(F.min(F.struct("doc_id", "own")).alias("first")).select("one", "two", "rep", "first.*"))
-    # of each class the row of its smallest id stands for it, with the frequencies of its runs
-    shared = shared_runs(texts.select("text"), (total["runs"] or 0) // PART_RUNS + 1)
-    stand = cut(classes.select("rep", "doc_id", "own").join(shared, "rep", "left"))
-    whole = texts.join(stand, ["doc_id", "own"])
-    found = sketches(whole.select("rep", "text", "df"), total["docs"]).groupBy("rep").agg(F.first("buckets").alias("buckets"))
+    # of each class the row of its smallest id stands for it, in a block that has it
+    classes = drawn.groupBy("one", "two", "rep").agg(F.min(F.struct("doc_id", "own", "block")).alias("first"))
+    classes = cut(classes.select("one", "two", "rep", "first.*"))
+    # an id with one text is one row, however often it is repeated
+    once = texts.dropDuplicates(["doc_id", "own"])
+    whole = once.join(classes.select("rep", "doc_id", "own", "block"), ["doc_id", "own"]).select("block", "rep", "text")
+    found = cut(sketches(whole, dealt, n_docs, threshold))
     members = cut(found.select("rep", F.explode("buckets").alias("bucket")))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = cut(members.join(shared, "bucket").select("bucket", "rep"))
-    wanted = stand.join(members.select("rep").distinct(), "rep", "left_semi")
-    chosen = texts.join(wanted, ["doc_id", "own"]).groupBy(F.col("rep").alias("id")).agg(F.min(F.struct("text", "df")).alias("row"))
-    chosen = cut(chosen.select("id", "row.*"))
-    idf = total["docs"]
-    classes = classes.withColumnRenamed("doc_id", "low")
+    chosen = found.join(members.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("id"), "text", "df")
+    idf = n_docs
+    classes = classes.select("one", "two", "rep", F.col("doc_id").alias("low"))
     roots = linked(members, chosen, idf, threshold)
     known = classes.select("one", "two", "rep", F.col("low").alias("class_id"))
     if roots is not None:
@@ -377,14 +416,17 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "do
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns: one row of each group, and all without a word or an id. It has the
-    smallest id of the group; of several rows of that id in the group ``exactdedup.one_row`` chooses."""
+    smallest id of the group; of several rows of that id in the group ``exactdedup.one_row`` chooses. Columns of any
+    name keep their values."""
     rows = near_rows(docs, threshold, id_col, text_col).where("group IS NOT NULL")
-    marks = cut(rows.groupBy("doc_id", "own", "group", (F.col("doc_id") == F.col("component_id")).alias("_kept")).agg(F.count("*").alias("_n")))
-    several = marks.where("_kept").groupBy("group").agg(F.sum("_n").alias("_n")).where("_n > 1").select("group")
-    repeated = cut(marks.where("_kept").join(several, "group").select(F.col("doc_id").alias("_id"), F.col("own").alias("_own"), F.col("group").alias("_group")))
-    dropped = marks.where("NOT _kept").select(F.col("doc_id").alias("_id"), F.col("own").alias("_own"))
-    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_own": F.xxhash64(F.col(text_col).cast("string"))})
+    own_id, own, group = fresh(docs.columns, "_id", "_own", "_group")
+    marks = cut(rows.groupBy("doc_id", "own", "group", (F.col("doc_id") == F.col("component_id")).alias("kept")).agg(F.count("*").alias("n")))
+    several = marks.where("kept").groupBy("group").agg(F.sum("n").alias("n")).where("n > 1").select("group")
+    key = [F.col("doc_id").alias(own_id), F.col("own").alias(own)]
+    repeated = cut(marks.where("kept").join(several, "group").select(*key, F.col("group").alias(group)))
+    dropped = marks.where("NOT kept").select(*key)
+    keyed = docs.withColumns({own_id: F.col(id_col).cast("long"), own: F.xxhash64(F.col(text_col).cast("string"))})
     if repeated.isEmpty():
-        return keyed.join(dropped, ["_id", "_own"], "left_anti").select(*docs.columns)
-    out = keyed.join(dropped.unionByName(repeated.drop("_group")), ["_id", "_own"], "left_anti").select(*docs.columns)
-    return out.unionByName(one_row(keyed.join(repeated, ["_id", "_own"]), ["_group"], docs.columns, text_col))
+        return keyed.join(dropped, [own_id, own], "left_anti").select(*docs.columns)
+    out = keyed.join(dropped.unionByName(repeated.drop(group)), [own_id, own], "left_anti").select(*docs.columns)
+    return out.unionByName(one_row(keyed.join(repeated, [own_id, own]), [group], docs.columns, text_col))
