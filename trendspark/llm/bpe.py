@@ -93,7 +93,8 @@ class PrefixBpe:
         #: Whether every token is made by a later rule than its parts, so that rules apply in the order of their ranks.
         self.ordered = all(made_at[t] > max(made_at.get(x, -1) for x in p) for t, p in self.parts.items())
         self.edges: dict[tuple[str, int], list[tuple[str, int]]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.known: dict[int, bool] = {}
+        self.known_old: dict[int, bool] = {}
 
     def _symbols(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:
@@ -136,37 +137,56 @@ class PrefixBpe:
     def compatible(self, a: str, b: str) -> bool:
         """Whether two tokens, side by side, are their own encoding: no rule joins a piece at the end of the first
         with a piece at the start of the second before either is used up (of equal rules the left one comes first)."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            if self.ordered:
-                rank = self.rank.get
-                known = not any(
-                    (r := rank((x, y))) is not None and r < x_end and r <= y_end
-                    for x, x_end in self._edge(a, 1)
-                    for y, y_end in self._edge(b, 0)
-                )
-            else:
-                known = self._merged([*self._symbols(a), *self._symbols(b)])[0] == [a, b]
-            self.pairs[a, b] = known
-        return known
+        if self.ordered:
+            rank = self.rank.get
+            return not any(
+                (r := rank((x, y))) is not None and r < x_end and r <= y_end
+                for x, x_end in self._edge(a, 1)
+                for y, y_end in self._edge(b, 0)
+            )
+        return self._merged([*self._symbols(a), *self._symbols(b)])[0] == [a, b]
 
     def _step(self, matches: list[tuple[int, str, int]], i: int, back: list, what: str) -> tuple:
         for length, token, ident in matches:
             j = i - length
-            if j == 0 or (back[j] is not None and self.compatible(back[j][1], token)):
+            if j == 0 or self._joins(back[j], token, ident):
                 return (j, token, ident, (back[j][3] if j else 0) + 1)
         raise ValueError(f"no encoding ends at {i} of {what[:40]!r}")
 
+    def _joins(self, before: tuple, token: str, ident: int) -> bool:
+        """``compatible`` of a prefix's last token and the next one, remembered by their ids for two generations."""
+        key = before[2] << 32 | ident
+        known = self.known_old.get(key)
+        if known is None:
+            known = self.compatible(before[1], token)
+        if len(self.known) >= PAIRS_KEPT // 2:
+            self.known_old, self.known = self.known, {}
+        self.known[key] = known
+        return known
+
     def prefixes(self, word: str) -> list[tuple]:
         """For each prefix without a word end: (start of its last token, that token, its id, tokens so far)."""
-        found: list[list] = [[] for _ in range(len(word) + 1)]
-        for at, match in self.inner.iter(word):
-            found[at + 1].append(match)
         back: list = [(0, "", -1, 0)]
-        for i in range(1, len(word) + 1):
-            back.append(self._step(found[i], i, back, word))
+        at, known = 1, self.known  # the prefix whose last token is looked for
+        for end, (length, token, ident) in self.inner.iter(word):  # by ends, the longest match of each first
+            if end + 1 != at:
+                if end + 1 < at:
+                    continue
+                break
+            if length == at:
+                back.append((0, token, ident, 1))
+                at += 1
+                continue
+            before = back[at - length]
+            joins = known.get(before[2] << 32 | ident)
+            if joins is None:
+                joins = self._joins(before, token, ident)
+                known = self.known
+            if joins:
+                back.append((at - length, token, ident, before[3] + 1))
+                at += 1
+        if at <= len(word):
+            raise ValueError(f"no encoding ends at {at} of {word[:40]!r}")
         return back
 
     def ended(self, word: str, back: list[tuple], every: bool = False) -> list[tuple]:

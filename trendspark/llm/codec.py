@@ -11,6 +11,7 @@ taken from a store of bounded size. Other columns of the input are not read, wha
 from __future__ import annotations
 
 import hashlib
+import struct
 from functools import cache
 
 import numpy as np
@@ -33,8 +34,8 @@ class Codec:
         self.words = bpe.Remembered(self._word)
 
     def _word(self, word: str) -> tuple[bytes, bytes]:
-        ids = np.array(self.vocabulary.bpe.encode(self.vocabulary.symbols(word)), "<u4").tobytes()
-        return ids, self.decode_bytes(ids)
+        ids = self.vocabulary.bpe.encode(self.vocabulary.symbols(word))
+        return struct.pack(f"<{len(ids)}I", *ids), b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
 
     def decode_bytes(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
