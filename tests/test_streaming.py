@@ -61,3 +61,72 @@ def test_late_files_and_missing_dates_equal_batch(spark, tmp_path):
     merge_batch(envelopes.where("hour = 3"), undated)
     merge_batch(envelopes.where("hour = 3"), undated)
     assert {r.video_id: r.views for r in spark.read.parquet(undated).collect()} == {"v1": 120, "v2": 7}
+
+
+def _landed(landing, n):
+    for i in range(n):
+        _land(landing, "us" if i % 2 else "gb", f"2026-07-{17 + i % 3}", i % 24, _doc([_item(f"v{i % 4}", 100 + i)], ingestion_id=f"i{i}"), f"{i}.json")
+
+
+def test_a_backlog_is_drained_in_several_batches(spark, tmp_path):
+    from trendspark.streaming.incremental import merged_batches
+
+    landing, silver, ckpt = (str(tmp_path / x) for x in ("landing", "silver", "ckpt"))
+    _landed(landing, 7)
+    got = run_incremental_silver(spark, landing, silver, ckpt, max_files=3)
+    assert len(merged_batches(spark, silver)) == 3
+    assert _rows(got) == _rows(snapshots.api_to_silver(snapshots.flatten_items(snapshots.read_snapshot_envelopes(spark, landing))))
+
+
+def test_a_job_killed_after_the_write_counts_once(spark, tmp_path, monkeypatch):
+    """The second batch is lost between its overwrite and its record, and again right after its record; a restart of the
+    same stream ends with what one batch over all files gives."""
+    import pytest
+
+    from trendspark import publish
+    from trendspark.streaming import incremental
+
+    landing, silver, ckpt = (str(tmp_path / x) for x in ("landing", "silver", "ckpt"))
+    _landed(landing, 6)
+    replace = publish.Store.replace
+    for after in (False, True):
+        def killed(self, name, text, after=after):
+            if name.endswith("-1"):
+                if after:
+                    replace(self, name, text)
+                raise RuntimeError("killed")
+            replace(self, name, text)
+
+        monkeypatch.setattr(publish.Store, "replace", killed)
+        with pytest.raises(Exception, match="killed"):
+            run_incremental_silver(spark, landing, silver, ckpt, max_files=2)
+        monkeypatch.setattr(publish.Store, "replace", replace)
+        assert len(incremental.merged_batches(spark, silver)) == 1 + after
+    writes = []
+    monkeypatch.setattr(incremental, "write_table", lambda *a, **k: writes.append(a))
+    run_incremental_silver(spark, landing, silver + "", ckpt, max_files=4)
+    # the recorded batch is left alone; only the third is merged
+    assert len(writes) == 1
+    monkeypatch.undo()
+    got = spark.read.parquet(silver)
+    assert got.groupBy(*KEY).count().where("count > 1").count() == 0
+
+
+def test_a_restart_ends_as_one_batch(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from trendspark import publish
+
+    landing, silver, ckpt = (str(tmp_path / x) for x in ("landing", "silver", "ckpt"))
+    _landed(landing, 6)
+    replace = publish.Store.replace
+
+    def killed(self, name, text):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(publish.Store, "replace", killed)
+    with pytest.raises(Exception, match="killed"):
+        run_incremental_silver(spark, landing, silver, ckpt, max_files=2)
+    monkeypatch.setattr(publish.Store, "replace", replace)
+    got = run_incremental_silver(spark, landing, silver, ckpt, max_files=2)
+    assert _rows(got) == _rows(snapshots.api_to_silver(snapshots.flatten_items(snapshots.read_snapshot_envelopes(spark, landing))))

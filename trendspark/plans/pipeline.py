@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from trendspark.config import DEFAULT, TrendConfig
 from trendspark.operators import gold, opportunities, quality, trends
 from trendspark.plans.layers import Layers
+from trendspark.publish import publish, read_table
 from trendspark.session import prepare
 from trendspark.sinks import GOLD_PARTITIONS, write_noop, write_table
 from trendspark.sources import reference as reference_docs
@@ -76,8 +77,8 @@ def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_r
     }
     out = {}
     for name, df in tables.items():
-        write_table(_stamped(df, aggregated_at), _path(out_root, name), GOLD_PARTITIONS[name], whole=True)
-        out[name] = spark.read.parquet(_path(out_root, name))
+        publish(_stamped(df, aggregated_at), _path(out_root, name), GOLD_PARTITIONS[name])
+        out[name] = read_table(spark, _path(out_root, name))
     enriched.unpersist()
     return out
 
@@ -86,16 +87,14 @@ def run_trends(spark: SparkSession, enriched: DataFrame, category: DataFrame,
                channel: DataFrame, out_root: str, cfg: TrendConfig = DEFAULT,
                gate: bool = True, aggregated_at: Column | None = None) -> dict[str, DataFrame]:
     vt = trends.compute_video_trends(enriched, cfg)
-    write_table(_stamped(vt, aggregated_at), _path(out_root, "video_trends"),
-                GOLD_PARTITIONS["video_trends"], whole=True)
-    vt = spark.read.parquet(_path(out_root, "video_trends"))
+    publish(_stamped(vt, aggregated_at), _path(out_root, "video_trends"), GOLD_PARTITIONS["video_trends"])
+    vt = read_table(spark, _path(out_root, "video_trends"))
     cross = trends.compute_cross_market(category, cfg)
     opp = opportunities.build_trend_opportunities(vt.drop("_aggregated_at"), category, cross,
                                                   channel, cfg)
-    write_table(_stamped(opp, aggregated_at), _path(out_root, "trend_opportunities"),
-                GOLD_PARTITIONS["trend_opportunities"], whole=True)
+    publish(_stamped(opp, aggregated_at), _path(out_root, "trend_opportunities"), GOLD_PARTITIONS["trend_opportunities"])
     out = {"video_trends": vt,
-           "trend_opportunities": spark.read.parquet(_path(out_root, "trend_opportunities"))}
+           "trend_opportunities": read_table(spark, _path(out_root, "trend_opportunities"))}
     if gate:
         quality.assert_quality(quality.run_checks(
             {**out, "category_analytics": category, "channel_analytics": channel}))

@@ -18,6 +18,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendspark.publish import read_table
 from trendspark.plans.layers import Layers
 
 LATEST = "snapshot_date = (SELECT day FROM {day})"
@@ -181,7 +182,7 @@ def run_report(layers: Layers, text: str) -> DataFrame:
 def run_report_on_gold(spark, gold_root: str, text: str) -> DataFrame:
     """A report over written Gold tables (the dashboard path): the newest day comes from the table's date partitions,
     and the subquery on it prunes the scan."""
-    frames = {k: spark.read.parquet(os.path.join(gold_root, GOLD_TABLES[k])) for k in _names(text)}
+    frames = {k: read_table(spark, os.path.join(gold_root, GOLD_TABLES[k])) for k in _names(text)}
     first = next(iter(frames.values()))
     column = "snapshot_date" if "snapshot_date" in first.columns else "trending_date_parsed"
     return spark.sql(text, **frames, day=first.agg(F.max(column).alias("day")))
