@@ -7,6 +7,11 @@ under its rarest token, and a URL only looks at the postings of its own tokens.
 (then support, then fewer tokens, then the tokens' text); without any, the label that most labelled pages have, or
 ``allow`` if there are none.
 
+Before mining, tokens that are on the same labelled pages become one item, and tokens that leave the mining are those
+whose pages all have one label and those that all pages have: a longer left side with one of them is never more
+confident than a shorter one. Both steps lose no rule, and a popular deep URL costs a few items, not every
+combination of its folders. A rule of merged items holds for every choice of a token of each.
+
 Every label of the host, folder of the path and key of the query is a token. The work is bounded by the support
 alone: a token takes part only if it is frequent over all labelled pages, and left sides have any length.
 
@@ -16,7 +21,9 @@ repeated rows are judged alike; an empty table gives an empty result; other colu
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
+from itertools import product
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -72,18 +79,48 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.when(host != "", F.array_distinct(parts)).otherwise(F.array().cast("array<string>"))
 
 
-def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> list[tuple]:
-    """(tokens, verdict, confidence, support, rarest token) of the pruned rules; ``labelled`` has tokens and verdict."""
-    items = F.concat(F.col("tokens"), F.array(F.concat(F.lit("verdict="), F.col("verdict"))))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(labelled.select(items.alias("items")))
-    frequent = {r["items"][0]: r["freq"] for r in model.freqItemsets.where(F.size("items") == 1).collect()}
-    found = model.associationRules.where(F.col("consequent")[0].startswith("verdict="))
-    rules = [(tuple(sorted(r["antecedent"])), r["consequent"][0].removeprefix("verdict="), r["confidence"], r["support"]) for r in found.collect()]
+def closed_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> list[tuple]:
+    """(groups, verdict, confidence, support, rarest group) of the pruned rules; ``labelled`` has tokens and verdict. A
+    group holds the tokens that are on the same labelled pages; a rule holds where a URL has a token of each group."""
+    shares = {r["verdict"]: r["count"] for r in labelled.groupBy("verdict").count().collect()}
+    total = sum(shares.values())
+    least = max(1, math.ceil(min_support * total))
+    sets = labelled.select(F.array_sort("tokens").alias("tokens"), "verdict").groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("n"))
+    # equal sets of pages have equal order-free hashes of their distinct kinds of pages
+    marked = sets.select(F.explode("tokens").alias("token"), "n", "verdict", F.xxhash64("tokens", "verdict").alias("one"), F.xxhash64(F.lit("second"), "verdict", "tokens").alias("two"))
+    tokens = marked.groupBy("token").agg(F.sum("n").alias("n"), F.bit_xor("one").alias("one"), F.bit_xor("two").alias("two"), F.min("verdict").alias("low"), F.max("verdict").alias("high"))
+    alike: dict[tuple, list[str]] = defaultdict(list)
+    for r in tokens.where(F.col("n") >= least).collect():  # at most (tokens a page) / min_support
+        alike[r["n"], r["one"], r["two"], r["low"], r["high"]].append(r["token"])
+    groups = {min(found): (tuple(sorted(found)), key[0]) for key, found in alike.items()}
+    rules, name = [], {}
+    for (n, _, _, low, high), found in alike.items():
+        if low == high:  # sure alone: no longer left side is more confident
+            rules.append(((min(found),), low, 1.0, n / total))
+        elif n == total:  # on all pages: adds nothing to any left side
+            rules += [((min(found),), v, m / total, m / total) for v, m in shares.items() if m >= least]
+        else:
+            name.update((t, min(found)) for t in found)
+    if name:
+
+        def items(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array([[*sorted({name[t] for t in own if t in name}), f"verdict={v}"] for own, v in rows], pa.list_(pa.string()))], ["items"])
+
+        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(arrow_map(labelled.select("tokens", "verdict"), items, "items array<string>"))
+        for r in model.associationRules.where(F.col("consequent")[0].startswith("verdict=")).collect():
+            rules.append((tuple(sorted(r["antecedent"])), r["consequent"][0].removeprefix("verdict="), r["confidence"], r["support"]))
     kept: dict[str, list[tuple]] = defaultdict(list)
-    for rule in sorted(rules, key=lambda r: (len(r[0]), -r[2], r[0])):
+    for rule in sorted((r for r in rules if r[2] >= min_confidence), key=lambda r: (len(r[0]), -r[2], r[0])):
         if not any(set(k[0]) <= set(rule[0]) and k[2] >= rule[2] for k in kept[rule[1]]):
             kept[rule[1]].append(rule)
-    return [(*r, min(r[0], key=lambda t: (frequent[t], t))) for rules in kept.values() for r in rules]
+    return [(tuple(groups[t][0] for t in r[0]), *r[1:], groups[min(r[0], key=lambda t: (groups[t][1], t))][0]) for rules in kept.values() for r in rules]
+
+
+def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> list[tuple]:
+    """The rules of ``closed_rules`` spelled out, for reports over few rules: (tokens, verdict, confidence, support)."""
+    found = closed_rules(labelled, min_support, min_confidence)
+    return [(tuple(sorted(tokens)), *r[1:4]) for r in found for tokens in product(*r[0])]
 
 
 def judge_urls(
@@ -104,8 +141,9 @@ def judge_urls(
     usual = max(shares, key=lambda v: (shares[v], v), default=DEFAULT_VERDICT)
     index: dict[str, list[tuple]] = defaultdict(list)
     if shares:
-        for tokens, verdict, confidence, support, rarest in mined_rules(labelled, min_support, min_confidence):
-            index[rarest].append((confidence, support, -len(tokens), tokens, verdict, frozenset(tokens)))
+        for groups, verdict, confidence, support, rarest in closed_rules(labelled, min_support, min_confidence):
+            for token in rarest:
+                index[token].append((confidence, support, -len(groups), [frozenset(g) for g in groups], verdict))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         verdicts, used, sure = [], [], []
@@ -113,9 +151,10 @@ def judge_urls(
             best = None
             if verdict is None:
                 own = set(tokens)
-                best = max((r for t in own for r in index.get(t, ()) if r[5] <= own), default=None, key=lambda r: r[:4])
+                held = (r for t in own for r in index.get(t, ()) if not any(own.isdisjoint(g) for g in r[3]))
+                best = max(((*r[:3], sorted(max(own & g) for g in r[3]), r[4]) for r in held), default=None)
             verdicts.append(verdict or (best[4] if best else usual))
-            used.append(list(best[3]) if best else None)
+            used.append(best[3] if best else None)
             sure.append(best[0] if best else None)
         columns = [*(batch.column(i) for i in (0, 1, 2, 4)), pa.array(verdicts, pa.string()), pa.array(used, pa.list_(pa.string())), pa.array(sure, pa.float64())]
         return pa.RecordBatch.from_arrays(columns, ["page_id", "host", "path", "rule", "verdict", "mined_tokens", "confidence"])
