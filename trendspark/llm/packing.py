@@ -7,8 +7,9 @@ and goes on until a bin's bitmap does not conflict. Without one a new bin is ope
 
 Lengths are bytes of UTF-8. A document longer than a bin is cut into pieces: full ones take a bin each, the last is
 packed. Documents are dealt by a hash of their id into shards of about SHARD_ROWS, packed on their own, so the work of
-a task is bounded and a source or cluster with a third of all rows is spread over all shards. Only ids, sources,
-lengths and hashes of texts are shuffled.
+a task is bounded and a source or cluster with a third of all rows is spread over all shards. Rows that are alike (one
+id, or none, and one source, cluster and length) are counted first and dealt round all shards, from that hash on. Only
+ids, sources, lengths and hashes of texts are shuffled.
 
 Results: one row a piece: doc_id, piece, start, length, shard, bin (null for an empty or null text, which takes no
 room). A null source conflicts with nothing, and so does a text without characters. Repeated rows are documents of one
@@ -80,8 +81,10 @@ def _numbers(values: list, offset: int) -> tuple[list[int], int]:
 
 
 def pack_shard(rows: pa.Table, capacity: int) -> pa.Table:
-    """All pieces of one shard's documents with their bins; ``rows`` has doc_id, source, cluster, length, shard."""
-    data = sorted(zip(*(rows[c].to_pylist() for c in ("doc_id", "source", "cluster", "length")), strict=True), key=lambda r: (-(r[3] % capacity), r[0] is None, r[0] or 0, r[1] or "", r[3]))
+    """All pieces of one shard's documents with their bins; ``rows`` has doc_id, source, cluster, length, shard and
+    copies, how many such rows the shard has."""
+    alike = zip(*(rows[c].to_pylist() for c in ("doc_id", "source", "cluster", "length", "copies")), strict=True)
+    data = sorted((r[:4] for r in alike for _ in range(r[4])), key=lambda r: (-(r[3] % capacity), r[0] is None, r[0] or 0, r[1] or "", r[3]))
     items = [r for r in data if r[3] % capacity]
     by_source, used = _numbers([r[1] for r in items], 0)
     by_cluster, _ = _numbers([r[2] for r in items], used)
@@ -111,7 +114,14 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
     )
     rows = cut(rows)
     shards = max(1, -(-rows.count() // SHARD_ROWS))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "length"), F.lit(shards)))
+    many = F.least(F.col("n"), F.lit(shards))
+    rows = rows.groupBy("doc_id", "source", "cluster", "length").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)).alias("turn"))
+    first = F.pmod(F.xxhash64("doc_id", "length"), F.lit(shards))
+    rows = rows.select(
+        "doc_id", "source", "cluster", "length", F.pmod(first + F.col("turn"), F.lit(shards)).alias("shard"),
+        F.expr(f"n DIV {shards} + IF(turn < n % {shards}, 1, 0)").alias("copies"),
+    )
 
     def run(group: pa.Table) -> pa.Table:
         return pack_shard(group, capacity)
