@@ -2,7 +2,9 @@
 
 Method: an Aho-Corasick automaton over the words of a text finds the phrases of notices and the tag of license
 identifiers; after a tag, the expression on its line is read by a shunting-yard parser (``WITH`` binds before ``AND``
-before ``OR``) and evaluated to its labels and to whether the licenses allowed by the caller satisfy it.
+before ``OR``) and evaluated to its labels and to whether the licenses allowed by the caller satisfy it. The same is
+read after ``License:``. Operands are known identifiers or start with ``LicenseRef-``, after ``WITH`` an exception's
+name; any other word ends the expression.
 
 Words: runs of digits, letters a-z (A-Z in lower case) and characters beyond ASCII. ``n_base`` counts every place of a
 base phrase, overlapping ones too. ``score`` is 1 for a readable expression, 0.9 for a base phrase, 0.6 for another
@@ -41,14 +43,40 @@ NOTICES = {
     "cc by nd": "cc-by-nd",
     "public domain dedication": "cc0",
     "released into the public domain": "public-domain",
+    "mit license": "mit",
+    "apache license": "apache-2",
+    "bsd 2 clause license": "bsd-2-clause",
+    "bsd 3 clause license": "bsd-3-clause",
+    "simplified bsd license": "bsd-2-clause",
+    "new bsd license": "bsd-3-clause",
+    "isc license": "isc",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "cc by nc sa": "cc-by-nc-sa",
+    "cc by nc nd": "cc-by-nc-nd",
+    "creative commons zero": "cc0",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "european union public licence": "eupl",
 }
 TAG = "spdx license identifier"
+#: Words of a field that may hold an expression.
+FIELDS = ("license", "licence")
 #: Identifiers whose label differs from their lower-case text.
 IDENTIFIERS = {"apache-2.0": "apache-2", "cc-by-nc-4.0": "cc-by-nc", "cc-by-nc-3.0": "cc-by-nc", "cc-by-4.0": "cc-by", "cc0-1.0": "cc0"}
 #: Licenses that the caller accepts, unless told otherwise.
 ALLOWED = frozenset({"mit", "apache-2", "bsd-2-clause", "bsd-3-clause", "bsd", "isc", "cc-by", "cc0", "unlicense", "public-domain"})
 
 _TAG_LINE = re.compile(r"spdx[\W_]*license[\W_]*identifier[\W_]*?[:=]?[ \t]*([^\r\n]*)", re.I)
+_FIELD_LINE = re.compile(r"(?<![\w-])licen[cs]e[ \t]*:[ \t]*([^\r\n]*)", re.I)
+#: The identifiers that an expression may name, families with their versions as patterns.
+KNOWN = re.compile(
+    r"mit(-0|-cmu)?|apache-(1\.0|1\.1|2\.0)|bsd-[1-4]-clause(-clear|-patent|-uc)?|0bsd|isc|zlib|libpng(-2\.0)?|"
+    r"(gpl|lgpl|agpl)-[1-3]\.[01](\+|-only|-or-later)?|gfdl-1\.[1-3](-only|-or-later)?|mpl-(1\.0|1\.1|2\.0)(-no-copyleft-exception)?|"
+    r"epl-[12]\.0|eupl-1\.[0-2]|cddl-1\.[01]|cpl-1\.0|bsl-1\.0|busl-1\.1|sspl-1\.0|artistic-[12]\.0|afl-[123]\.[01]|osl-[123]\.[01]|"
+    r"cc0-1\.0|cc-by(-nc)?(-sa|-nd)?-[1-4]\.[05]|cc-pddc|pddl-1\.0|odbl-1\.0|odc-by-1\.0|ofl-1\.[01]|unlicense|wtfpl|ncsa|postgresql|"
+    r"psf-2\.0|python-2\.0|php-3\.0[01]?|ruby|vim|w3c|x11|curl|openssl|ms-pl|ms-rl|unicode-(dfs-201[56]|3\.0)|upl-1\.0|blueoak-1\.0\.0|"
+    r"mulanpsl-[12]\.0|hpnd|ecl-[12]\.0|licenseref-[a-z0-9.-]+"
+)
+_EXCEPTION = re.compile(r"[a-z0-9.+-]*-exception(-[a-z0-9.]+)?|licenseref-[a-z0-9.-]+")
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -78,9 +106,10 @@ def to_postfix(expression: str) -> list[str] | None:
             wants_operand = True
             continue
         else:
-            if not wants_operand:
+            name = low.rstrip(".:-")
+            if not wants_operand or not (_EXCEPTION if held and held[-1] == "with" else KNOWN).fullmatch(name):
                 break
-            out.append(low)
+            out.append(name)
             wants_operand = False
         if not wants_operand and "(" not in held:
             best = out + held[::-1]
@@ -107,7 +136,7 @@ def evaluate(postfix: list[str], allowed: frozenset[str] = ALLOWED) -> tuple[set
 def automaton() -> ahocorasick.Automaton:
     """One automaton a Python worker, over words parted and surrounded by blanks."""
     found = ahocorasick.Automaton()
-    for phrase, label in [*NOTICES.items(), *BASE.items(), (TAG, "")]:
+    for phrase, label in [*NOTICES.items(), *BASE.items(), (TAG, ""), *((w, "") for w in FIELDS)]:
         found.add_word(f" {phrase} ", (len(phrase) + 2, phrase, label))
     found.make_automaton()
     return found
@@ -120,10 +149,12 @@ def scan(text: str | None, allowed: frozenset[str] = ALLOWED) -> tuple:
         return 0, 0, None, None, "", "", 0.0, None
     line = f" {joined} "
     starts, base, labels, score, permitted = [], set(), set(), 0.0, None
-    tagged = False
+    tagged = field = False
     for end, (length, phrase, label) in automaton().iter(line):
         if phrase == TAG:
             tagged, score = True, max(score, 0.5)
+        elif phrase in FIELDS:
+            field = True
         elif phrase in BASE:
             starts.append(end - length + 1)
             base.add(label)
@@ -131,8 +162,8 @@ def scan(text: str | None, allowed: frozenset[str] = ALLOWED) -> tuple:
         else:
             labels.add(label)
             score = max(score, 0.6)
-    if tagged:
-        for expression in _TAG_LINE.findall(text):
+    if tagged or field:
+        for expression in [*(_TAG_LINE.findall(text) if tagged else ()), *_FIELD_LINE.findall(text)]:
             if postfix := to_postfix(expression):
                 named, ok = evaluate(postfix, allowed)
                 labels |= named
