@@ -1,0 +1,62 @@
+"""Schemas that grow: added, absent and widened columns, and changes that are refused by name."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql.types import StructType
+
+from trendspark.evolution import SchemaConflict, read_evolving, reconcile, write_evolving
+from trendspark.plans import pipeline
+
+
+def schema(text):
+    return StructType.fromDDL(text)
+
+
+def test_reconcile_widens_and_appends(spark):
+    merged = reconcile(schema("a int, b float, c decimal(10,2), d int, e long"), schema("E int, new string, a long, b double, c decimal(12,2), d double"))
+    assert merged.simpleString() == "struct<a:bigint,b:double,c:decimal(12,2),d:double,e:bigint,new:string>"
+    for old, new in [("long", "double"), ("string", "int"), ("boolean", "string"), ("struct<x:int>", "struct<x:long>"), ("decimal(10,2)", "decimal(10,4)")]:
+        with pytest.raises(SchemaConflict) as caught:
+            reconcile(schema(f"k int, v {old}"), schema(f"v {new}, k int"))
+        assert caught.value.columns == ["v"]
+
+
+def test_old_files_are_read_in_the_wider_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_evolving(spark.createDataFrame([(1, 1.5, "a")], "n int, x float, p string"), path, ("p",))
+    write_evolving(spark.createDataFrame([(1 << 40, 0.1, "b", "more")], "N long, x double, p string, extra string"), path, ("p",))
+    write_evolving(spark.createDataFrame([(7, "c")], "n short, p string"), path, ("p",))
+    rows = {r.p: (r.n, r.x, r.extra) for r in read_evolving(spark, path).collect()}
+    assert rows == {"a": (1, 1.5, None), "b": (1 << 40, 0.1, "more"), "c": (7, None, None)}
+    assert dict(read_evolving(spark, path).dtypes) == {"n": "bigint", "x": "double", "extra": "string", "p": "string"}
+
+
+def test_a_table_without_a_record_is_adopted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "n int, p string").write.partitionBy("p").parquet(path)
+    write_evolving(spark.createDataFrame([(2, 3, "b")], "n long, m int, p string"), path, ("p",))
+    assert {(r.n, r.m, r.p) for r in read_evolving(spark, path).collect()} == {(1, None, "a"), (2, 3, "b")}
+
+
+def test_reference_with_a_changed_type_fails_before_the_write(spark, tmp_path):
+    bronze, out = tmp_path / "bronze", str(tmp_path / "silver")
+
+    def land(market, day, items):
+        folder = bronze / f"region={market}" / f"date={day}"
+        os.makedirs(folder)
+        (folder / f"{market}.json").write_text(json.dumps({"kind": "list", "items": items}))
+
+    land("us", "2026-07-17", [{"id": "1", "snippet": {"title": "Film", "assignable": True}}])
+    land("gb", "2026-07-17", [{"id": "2", "snippet": {"title": "Autos", "assignable": False}}])
+    land("us", "2026-07-18", [{"id": "1", "snippet": {"title": "Film", "assignable": True, "owner": "x"}}])
+    land("us", "2026-07-19", [{"id": "9", "snippet": {"title": "Broken", "assignable": "yes"}}])
+    pipeline.run_reference(spark, str(bronze), "2026-07-17", out)
+    grown = pipeline.run_reference(spark, str(bronze), "2026-07-18", out)
+    want = {("us", "1", "x"), ("gb", "2", None)}
+    assert {(r.region, r.id, r.snippet_owner) for r in grown.collect()} == want
+    with pytest.raises(SchemaConflict, match="snippet_assignable"):
+        pipeline.run_reference(spark, str(bronze), "2026-07-19", out)
+    kept = read_evolving(spark, os.path.join(out, "clean_reference_data"))
+    assert {(r.region, r.id, r.snippet_owner) for r in kept.collect()} == want

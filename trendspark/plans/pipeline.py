@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
+from trendspark.evolution import read_evolving, write_evolving
 from trendspark.operators import gold, opportunities, quality, trends
 from trendspark.plans.layers import Layers
 from trendspark.publish import publish, read_table
@@ -57,14 +58,16 @@ def run_reference(spark: SparkSession, bronze: str, date: str, out_root: str,
     """Category reference documents of one date -> per-market Silver table.
 
     Raises when the date has no document or none is readable; only the
-    markets present are overwritten (dynamic partition overwrite).
+    markets present are overwritten (dynamic partition overwrite). New columns
+    join the table's schema; a column whose type changed beyond widening is a
+    ``SchemaConflict`` before anything is overwritten.
     """
     prepare(spark)
     reference_docs.reference_outcome(spark, bronze, date)
     flat = reference_docs.read_reference(spark, bronze, date, ingested_at)
     path = _path(out_root, "clean_reference_data")
-    write_table(flat, path, ("region",))
-    return spark.read.option("mergeSchema", True).parquet(path)
+    write_evolving(flat, path, ("region",))
+    return read_evolving(spark, path)
 
 
 def run_gold(spark: SparkSession, silver: DataFrame, reference: DataFrame, out_root: str,

@@ -56,7 +56,7 @@ class Store:
         context.rename(beside, self.path(name), options)
 
     def folders(self, name: str) -> list[str]:
-        path = self.path(name)
+        path = self.path(name) if name else self.path()
         return sorted(s.getPath().getName() for s in self.fs.listStatus(path)) if self.fs.exists(path) else []
 
     def remove(self, *parts: str) -> None:

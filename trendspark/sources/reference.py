@@ -29,14 +29,27 @@ def _flatten_field(path: str, dtype, name: str) -> list[Column]:
     return [F.col(path).alias(name)]
 
 
+def _documents(spark: SparkSession, path: str, date: str | None) -> DataFrame:
+    """Documents under ``path``, of one date if given. Only that date's folders are listed and read, so the
+    documents of other dates neither cost a scan nor change the types found."""
+    reader = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_corrupt_record"))
+    folders = f"{path.rstrip('/')}/region=*/date={date}"
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folders)
+    if date is not None and glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob):
+        raw = reader.option("basePath", path).json(folders)
+    else:
+        raw = reader.json(path)
+    raw = raw.withColumn("_source_file", F.col("_metadata.file_path"))
+    if date is not None and "date" in raw.columns:
+        raw = raw.where(F.col("date").cast("string") == date)
+    return raw
+
+
 def read_reference(spark: SparkSession, path: str, date: str | None = None,
                    ingested_at: Column | None = None) -> DataFrame:
     """Flatten every reference document under ``path`` (optionally one date)."""
-    raw = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-           .withColumn("_source_file", F.col("_metadata.file_path")))
-    if date is not None and "date" in raw.columns:
-        raw = raw.where(F.col("date").cast("string") == date)
+    raw = _documents(spark, path, date)
     flat = flatten_reference(raw, ingested_at)
     missing = [c for c in REQUIRED if c not in flat.columns]
     if missing:  # kept as a warning: the lookup falls back to "Unknown Category"
@@ -81,11 +94,7 @@ def reference_outcome(spark: SparkSession, path: str, date: str) -> DataFrame:
     Raises when the date has no file or when no file is usable (unreadable
     or without any category row).
     """
-    raw = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-           .withColumn("_source_file", F.col("_metadata.file_path")))
-    if "date" in raw.columns:
-        raw = raw.where(F.col("date").cast("string") == date)
+    raw = _documents(spark, path, date)
     corrupt = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in raw.columns
                else F.lit(False))
     # a document without ``items`` is itself one row
