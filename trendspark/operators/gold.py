@@ -10,6 +10,8 @@ key tie-break so results do not depend on row order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -196,3 +198,9 @@ def build_category_analytics(df: DataFrame, cfg: TrendConfig = DEFAULT) -> DataF
     )).drop("_m_sum", "_m_n")
     cat = cat.withColumn("rank_change", F.col("previous_rank") - F.col("category_rank"))
     return cat.withColumnRenamed(DATE, "snapshot_date")
+
+
+def market_heatmap(category: DataFrame, markets: Sequence[str] = DEFAULT.markets) -> DataFrame:
+    """Views of each category by market, a column for each of ``markets`` (null where a category is absent there);
+    markets that are not listed are left out. The list is given, so no job looks for the values."""
+    return category.groupBy("category_name").pivot("region", list(markets)).agg(F.sum("total_views"))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendspark.config import DEFAULT
 from trendspark.oracle.duckdb_sql import sc, with_layers
 from trendspark.oracle.reports_sql import REPORTS as REPORTS_SQL
 from trendspark.operators import gold, quality, silver
@@ -148,25 +149,36 @@ def _api_silver() -> Query:
 
 
 def _reference_flatten() -> Query:
-    """One reference document per region made of ``nation``, each nation's item twice: the last copy of an id stays."""
+    """Reference documents of 40 parts each, in the markets by turns, each part's item twice: the last copy of an id stays."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
-        nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-        item = ("named_struct('id', CAST(n_nationkey % 4 AS STRING), 'kind', CAST(copy AS STRING),"
-                " 'snippet', named_struct('title', concat(n_name, '/', copy)))")
-        docs = nation.selectExpr("*", "explode(array(1, 2)) AS copy").groupBy("n_regionkey").agg(
-            F.expr(f"transform(array_sort(collect_list(struct(copy, n_nationkey, {item} AS item))), x -> x.item)").alias("items"))
-        raw = docs.selectExpr("items", "concat('s3://reference/region=m', n_regionkey, '/date=2026-01-01/c.json') AS _source_file")
+        part = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
+        item = ("named_struct('id', CAST(p_partkey % 16 AS STRING), 'kind', CAST(copy AS STRING),"
+                " 'snippet', named_struct('title', concat(p_name, '/', copy)))")
+        docs = part.selectExpr("*", "p_partkey DIV 40 AS doc", "explode(array(1, 2)) AS copy").groupBy("doc").agg(
+            F.expr(f"transform(array_sort(collect_list(struct(copy, p_partkey, {item} AS item))), x -> x.item)").alias("items"))
+        raw = docs.selectExpr("items", "concat('s3://reference/region=m', doc % 10, '/date=2026-01-01/c', doc, '.json') AS _source_file")
         flat = flatten_reference(raw, F.lit(FIXED_AS_OF).cast("timestamp"))
         return flat.select("_source_file", "region", "id", "kind", "snippet_title", "_ingestion_timestamp")
 
-    sql = """SELECT 's3://reference/region=m' || n_regionkey || '/date=2026-01-01/c.json' AS _source_file, 'm' || n_regionkey AS region,
-        CAST(n_nationkey % 4 AS VARCHAR) AS id, '2' AS kind, max_by(n_name, n_nationkey) || '/2' AS snippet_title,
-        '2026-01-01T00:00:00Z' AS _ingestion_timestamp
-      FROM nation GROUP BY n_regionkey, n_nationkey % 4"""
+    sql = """SELECT 's3://reference/region=m' || doc % 10 || '/date=2026-01-01/c' || doc || '.json' AS _source_file, 'm' || doc % 10 AS region,
+        id, '2' AS kind, max_by(p_name, p_partkey) || '/2' AS snippet_title, '2026-01-01T00:00:00Z' AS _ingestion_timestamp
+      FROM (SELECT p_partkey, p_name, p_partkey // 40 AS doc, CAST(p_partkey % 16 AS VARCHAR) AS id FROM part)
+      GROUP BY doc, id"""
     return Query(run, sql)
 
 
+def _market_heatmap() -> Query:
+    """Views of the newest day's categories, a column a market."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        latest = reports.run_report(Layers(spark, sf_dir), f"SELECT region, category_name, total_views FROM {{cat}} WHERE {reports.LATEST}")
+        return gold.market_heatmap(latest)
+
+    markets = ", ".join(f"CAST(sum(total_views) FILTER (region = '{m}') AS BIGINT) AS \"{m}\"" for m in DEFAULT.markets)
+    return Query(run, with_layers(f"""SELECT category_name, {markets}
+      FROM (SELECT *, max(snapshot_date) OVER () AS newest FROM category) WHERE snapshot_date = newest GROUP BY 1"""))
+
+
 def _path_region() -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages = read_table(spark, sf_dir, "pages", "page_id", "url")
@@ -294,4 +306,5 @@ def build() -> dict[str, Query]:
         q[name] = _report(name, text)
     for name, (attr, cols, cte) in views.VIEWS.items():
         q[name] = _layer_query(attr, cols, cte)
+    q["v_market_heatmap"] = _market_heatmap()
     return q
