@@ -59,6 +59,17 @@ def test_gibberish_and_unlearnt_languages_go(spark, stages):
     assert left == {-1 - i for i in range(len(planted), len(planted) + len(clean))}
 
 
+def test_texts_of_few_words_repeated_count_as_short_texts(spark):
+    _, counts = langid.ngrams("the weather is good today ")
+    _, repeated = langid.ngrams("the weather is good today " * 40)
+    assert langid.effective(counts[:0]) == 0 and langid.effective(counts) <= counts.sum()
+    assert abs(langid.effective(repeated) - langid.effective(counts)) <= 2
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(-1, "The weather is good today. " * 60), (-2, "Das ist ein kurzer Text. " * 60)], "doc_id long, text string")
+    left = langid.known_language(docs.unionByName(extra, allowMissingColumns=True)).where("doc_id < 0")
+    assert left.count() == 2
+
+
 def test_copies_go_once(stages):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t)
     before = Counter(norm(r.text) for r in stages["toxicity"].select("text").collect())

@@ -126,15 +126,24 @@ def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return {lang: v / n for lang, v in sorted(found.items()) if (n := np.linalg.norm(v)) > 0}
 
 
+def effective(counts: np.ndarray) -> int:
+    """How many n-grams that occur once would carry as much as these: a text that repeats few words counts as the short
+    text that it is, whose cosine with its language is that of a short text too."""
+    if not len(counts):
+        return 0
+    n = counts.astype(np.float64)
+    return int(np.rint(n.sum() ** 2 / (n @ n)))
+
+
 def measured(text: str | None, names: list[str], matrix: np.ndarray) -> tuple[str, float, int]:
-    """The language of a text, its score and its number of n-grams; ``matrix`` has a prototype a row."""
+    """The language of a text, its score and its ``effective`` number of n-grams; ``matrix`` has a prototype a row."""
     codes, counts = ngrams(text)
     if not len(codes) or not names:
-        return UNKNOWN, 0.0, int(counts.sum())
+        return UNKNOWN, 0.0, effective(counts)
     vector = bundle(codes, counts)
     cosines = matrix @ vector / max(np.linalg.norm(vector), 1e-12)
     best = int(np.argmax(cosines))
-    return names[best], float(min(1.0, max(0.0, cosines[best]))), int(counts.sum())
+    return names[best], float(min(1.0, max(0.0, cosines[best]))), effective(counts)
 
 
 def judge(text: str | None, names: list[str], matrix: np.ndarray) -> tuple[str, float]:
@@ -172,14 +181,14 @@ def identify_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 MIN_SCORE = 0.04
 #: The least score of a length is SHARE of the LOW quantile of the learning documents of that length.
 LOW, SHARE = 0.005, 0.6
-#: Bands of length: two for each doubling of the n-grams. A band of fewer than BAND_DOCS documents takes in its neighbours.
+#: Bands of length: two for each doubling of the effective n-grams. A band of fewer than BAND_DOCS documents takes in its neighbours.
 BANDS, BAND_DOCS = 64, 200
 #: Steps in which scores are counted.
 STEPS = 1000
 
 
 def band_of(n: int) -> int:
-    """The band of a number of n-grams."""
+    """The band of an effective number of n-grams."""
     return min(BANDS - 1, int(2 * np.log2(max(n, 1))))
 
 
@@ -215,7 +224,7 @@ def least_scores(docs: DataFrame, models: dict[str, np.ndarray], text_col: str =
 
 def known_language(docs: DataFrame, min_score: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents in a language that was learnt, with all their columns: a text without a letter is rejected, and
-    so is one whose best cosine is below ``min_score``, or without it below ``least_scores`` of its number of n-grams.
+    so is one whose best cosine is below ``min_score``, or without it below ``least_scores`` of its effective number of n-grams.
     With nothing to learn from, every text with a letter stays."""
     learnt = docs.where(crc_mod(id_col, 5) != 0)
     models = prototypes(learnt, text_col, lang_col)
