@@ -289,6 +289,21 @@ def test_exact_groups_equal_grouping(spark):
     assert sorted((str(r.doc_id), r.keep_id, r.kept) for r in exactdedup.exact_groups(alone).collect()) == [("5", 5, True), ("None", 5, False), ("None", 5, False)]
 
 
+def test_chunks_are_deduplicated_to_identifiers(spark):
+    one, two = "kanawaterkanalpaper" * 60, "слово, ещё слово. И другое; " * 90
+    texts = [one + two, " ".join(one + two), two + one, one, one, two[:-9], "", None, "alone in the world " * 70]
+    rows = exactdedup.recipes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).withColumnRenamed("doc_id", "row")
+    cuts = {r.row: [bytes(c) for c in r.recipe] for r in rows.collect()}
+    places = Counter(c for chunks in cuts.values() for c in chunks)
+    lists = {r.row: r.ids for r in exactdedup.identifier_lists(rows).collect()}
+    assert set(lists) == {r for r, chunks in cuts.items() if chunks and all(places[c] > 1 for c in chunks)} and {0, 1, 3, 4} <= set(lists)
+    name = {}
+    assert all(name.setdefault(c, i) == i for r in lists for c, i in zip(cuts[r], lists[r], strict=True))
+    assert len(set(name.values())) == len(name)  # one identifier a chunk, another chunk another identifier
+    assert lists[0] == lists[1] and lists[3] == lists[4] and len(cuts[2]) > 2  # other scripts are cut by content too
+    assert exactdedup.identifier_lists(rows.limit(0)).count() == 0
+
+
 def test_one_row_of_each_exact_group_stays(spark):
     rows = [(1, "a b", "en", "s")] * 50 + [(1, "a  b", "en", "s"), (1, "c", "en", "s"), (2, "ab", "de", "s"), (None, "ab", "en", "s"), (None, "c", "en", "s")]
     rows += [(None, "d", "en", "s")] * 3 + [(None, "d ", "fr", "s")] + [(3, "", "en", "s"), (3, "", "de", "s"), (4, None, "en", "s"), (5, "e", "en", "s")]

@@ -1,11 +1,15 @@
 """Exact de-duplication by content-defined chunk recipes (operator 10), in DataFrame functions only.
 
 Method: a text without blanks (``[\\x20\\x09-\\x0D]``) is cut into chunks where its own content says so: a chunk ends
-after the first run of letters of BOUNDARY past MIN_CHUNK characters, or at MAX_CHUNK. Each chunk becomes a verified
-identifier, its SHA-256 digest with its length, so equal chunks are one identifier wherever they occur and no chunk's
-text leaves the task that read it. Two texts are equal when their ordered lists of identifiers, the recipes, are equal.
-Only recipes are shuffled, never documents: first partial maxima per recipe, then the result back to the rows; a recipe
-shared by a third of all rows is reduced before the shuffle, and the join back is one that AQE can split.
+at the first BOUNDARY past MIN_CHUNK characters (letters of some kinds in a row, or beyond ASCII a character and a
+punctuation mark), or at MAX_CHUNK. A chunk is known by its SHA-256 digest, its length and a second hash, and no chunk's
+text leaves the task that read it. The chunks of all documents are de-duplicated: every distinct chunk that stands in two
+places or more becomes one identifier, a long. A chunk that differs from another in any of the three is another
+identifier, so a collision of one digest joins nothing. A document with a chunk that stands in one place only has no
+equal; of the others the ordered lists of identifiers are compared, and equal lists are equal texts.
+What is shuffled is 44 bytes a chunk and then 8, never documents: first partial counts of chunks, then the identifiers
+back to the rows, then partial maxima of each list, which reduce a list shared by a third of all rows before the shuffle.
+The joins have exchanges of their own on both sides, so that AQE can split a chunk or a list that many rows share.
 
 Of equal texts the row with the most code points in the original text, then the smallest doc_id, stays. Results: null
 text counts as empty, and empty texts are equal to each other; repeated rows count as rows of a group; a row without a
@@ -23,8 +27,8 @@ from trendspark.llm.common import cut, fresh
 #: Fixed value: the characters that do not count.
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_CHUNK, MAX_CHUNK = 512, 4096
-#: Letters that end a chunk; on average one place in about a hundred of Latin text.
-BOUNDARY = "[k-t][a-e][n-z][a-l]"
+#: What ends a chunk: letters found at about one place in a hundred of Latin text; in other scripts punctuation.
+BOUNDARY = r"(?:[k-t][a-e][n-z][a-l]|[^\x00-\x7F]\p{P})"
 
 
 def normalised(text: Column) -> Column:
@@ -33,10 +37,11 @@ def normalised(text: Column) -> Column:
 
 
 def recipe(norm: Column) -> Column:
-    """The ordered identifiers of a text's chunks; the chunks together are the whole text."""
+    """The ordered chunks of a text, each as digest, length and second hash; the chunks together are the whole text."""
     pattern = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK}}}?{BOUNDARY}|.{{1,{MAX_CHUNK}}}"
     chunks = F.regexp_extract_all(norm, F.lit(pattern), F.lit(0))
-    return F.transform(chunks, lambda c: F.concat(F.unhex(F.sha2(c, 256)), F.unhex(F.hex(F.length(c)))))
+    return F.transform(chunks, lambda c: F.concat(
+        F.unhex(F.sha2(c, 256)), F.unhex(F.lpad(F.hex(F.length(c)), 8, "0")), F.unhex(F.lpad(F.hex(F.xxhash64(c)), 16, "0"))))
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -50,16 +55,36 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def chunk_table(pieces: DataFrame) -> DataFrame:
+    """One row for each distinct ``chunk`` of ``pieces`` that stands in two places or more: chunk, chunk_id."""
+    repeated = cut(pieces.groupBy("chunk").agg(F.count("*").alias("places")).where("places > 1").select("chunk"))
+    return repeated.withColumn("chunk_id", F.monotonically_increasing_id())  # of written rows, so the same at every reading
+
+
+def identifier_lists(rows: DataFrame) -> DataFrame:
+    """The rows (``row``, ``recipe``) that can have an equal, with their ordered identifiers: row, ids. Rows with a chunk
+    that stands nowhere else are left out."""
+    pieces = rows.select("row", F.size("recipe").alias("n"), F.posexplode("recipe").alias("at", "chunk"))
+    known = pieces.join(chunk_table(pieces.select("chunk")), "chunk").groupBy("row").agg(
+        F.any_value("n").alias("n"), F.sort_array(F.collect_list(F.struct("at", "chunk_id"))).alias("found"))
+    return known.where(F.size("found") == F.col("n")).select("row", F.col("found.chunk_id").alias("ids"))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = cut(recipes(docs, id_col, text_col))
+    rows = cut(recipes(docs, id_col, text_col)).withColumn("row", F.monotonically_increasing_id())
+    own = F.when(F.size("recipe") == 0, F.array().cast("array<long>"))
+    lists = identifier_lists(rows).withColumnRenamed("ids", "found")
+    listed = cut(rows.withColumn("own", own).drop("recipe").join(lists, "row", "left").select(
+        "doc_id", "n_points", "text_sha256", F.coalesce("own", "found").alias("ids")))
     best = F.max(F.struct(F.col("doc_id").isNotNull(), F.col("n_points"), F.bitwise_not("doc_id"))).alias("best")
-    groups = rows.groupBy("recipe").agg(best, F.count("*").alias("group_size"))
+    groups = listed.where("ids IS NOT NULL").groupBy("ids").agg(best, F.count("*").alias("group_size"))
     # written out, so that the join has an exchange of its own on both sides and AQE can split a large group
-    groups = cut(groups.select("recipe", F.bitwise_not(F.col("best.col3")).alias("keep_id"), "group_size"))
-    return rows.join(groups, "recipe").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+    groups = cut(groups.select("ids", F.bitwise_not(F.col("best.col3")).alias("keep_id"), "group_size"))
+    columns = ["doc_id", "keep_id", "group_size", "text_sha256"]
+    alone = listed.where("ids IS NULL").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256")
+    out = listed.where("ids IS NOT NULL").join(groups, "ids").select(*columns).unionByName(alone)
+    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def one_row(rows: DataFrame, by: list[str], columns: list[str], text_col: str) -> DataFrame:
