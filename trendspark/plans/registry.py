@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from trendspark.config import DEFAULT
 from trendspark.oracle.duckdb_sql import sc, with_layers
 from trendspark.oracle.reports_sql import REPORTS as REPORTS_SQL
-from trendspark.operators import gold, quality, silver
+from trendspark.operators import gold, quality, silver, sketches
 from trendspark.operators.opportunities import video_scores
 from trendspark.plans import reports, views
 from trendspark.plans.layers import FIXED_AS_OF, Layers
 from trendspark.sources.reference import flatten_reference
-from trendspark.sources.snapshots import api_to_silver, region_from_path
+from trendspark.sources.snapshots import api_to_silver, parsed_records, region_from_path
 from trendspark.sources.testdata import read_table
-from trendspark.session import prepare
+from trendspark.session import cut, prepare
 
 
 @dataclass(frozen=True)
@@ -179,6 +179,42 @@ def _market_heatmap() -> Query:
       FROM (SELECT *, max(snapshot_date) OVER () AS newest FROM category) WHERE snapshot_date = newest GROUP BY 1"""))
 
 
+def _growth_sketches() -> Query:
+    """Medians of growth merged from daily sketches, held against the ranks of all rows."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        trends = cut(Layers(spark, sf_dir).video_trends.select("region", "trend_stage", "snapshot_date", "view_growth_rate"))
+        return sketches.bound_check(trends, sketches.merged_quantile(sketches.growth_sketches(trends)))
+
+    return Query(run, with_layers("SELECT region, trend_stage, count(*) AS growth_count, true AS within_bound FROM video_trends "
+                                  "WHERE view_growth_rate IS NOT NULL GROUP BY ALL"))
+
+
+def _csv_recovery() -> Query:
+    """Export text of five events each, whose first record leaves a quote open: the other records are found again."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
+        line = ev.selectExpr("event_id", '''concat(lpad(CAST(event_id AS STRING), 11, 'v'), ',', date_format(ts, 'yy.dd.MM'),
+            ',"Video ""', event_id, '"", by ', user_id, '",Channel ', user_id % 25, ',', user_id % 5 + 1, ',2020-01-01T00:00:00.000Z,"a|""b""",',
+            CAST(floor(value * 100) AS BIGINT), ',', event_id % 50, ',0,', event_id % 7, ',http://x,FALSE,False,FALSE,"first',
+            if(event_id % 5 = 0, '', concat(char(10), 'second, ', event_id % 3, '"'))) AS line''')
+        texts = line.groupBy(F.expr("event_id DIV 5").alias("text_id")).agg(
+            F.expr("array_join(transform(array_sort(collect_list(struct(event_id, line))), x -> x.line), char(10))").alias("text"))
+        found = parsed_records(texts, F.col("text"))
+        return found.select("text_id", F.col("_whole").alias("whole"), F.substring("_piece", 1, 11).alias("video_id"),
+                            *[F.when(F.col("_whole"), F.col(f"_record.{c}")).alias(c) for c in ("trending_date", "title", "tags", "views", "likes", "description")])
+
+    sql = """SELECT event_id // 5 AS text_id, event_id % 5 <> 0 AS whole, lpad(CAST(event_id AS VARCHAR), 11, 'v') AS video_id,
+        CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%y.%d.%m') END AS trending_date,
+        CASE WHEN event_id % 5 <> 0 THEN 'Video "' || event_id || '", by ' || user_id END AS title,
+        CASE WHEN event_id % 5 <> 0 THEN 'a|"b"' END AS tags,
+        CASE WHEN event_id % 5 <> 0 THEN CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END AS views,
+        CASE WHEN event_id % 5 <> 0 THEN CAST(event_id % 50 AS VARCHAR) END AS likes,
+        CASE WHEN event_id % 5 <> 0 THEN 'first' || chr(10) || 'second, ' || event_id % 3 END AS description
+      FROM events"""
+    return Query(run, sql)
+
+
 def _path_region() -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages = read_table(spark, sf_dir, "pages", "page_id", "url")
@@ -237,6 +273,8 @@ def build() -> dict[str, Query]:
     q["api_silver"] = _api_silver()
     q["reference_flatten"] = _reference_flatten()
     q["region_from_path"] = _path_region()
+    q["csv_recovery"] = _csv_recovery()
+    q["growth_sketches"] = _growth_sketches()
     # ---- Gold
     q["category_lookup"] = _layer_query("enriched", SILVER_KEY + ("category_id", "category_name"),
                                         "enriched")

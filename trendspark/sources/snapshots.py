@@ -47,6 +47,10 @@ CSV_COLUMNS = ("video_id", "trending_date", "title", "channel_title", "category_
 CSV_SCHEMA = StructType([StructField(c, _S) for c in CSV_COLUMNS]
                         + [StructField("_corrupt_record", _S)])
 
+# fixed values: how the exports quote, and how a record begins (an 11-character id, a YY.DD.MM date)
+CSV_QUOTES = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_corrupt_record"}
+RECORD_START = r"[^,\n]{11},\d{2}\.\d{2}\.\d{2},"
+
 ORDER_COLUMNS = ("_hour", "_ingestion_timestamp", "_ingestion_id")
 REGION_FROM_PATH = r"(?:^|/)region=([^/]*)"
 
@@ -101,22 +105,62 @@ def api_to_silver(items: DataFrame, job_name: str = "silver",
     return newest if keep_order else newest.drop(*ORDER_COLUMNS)
 
 
-def read_snapshots_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_snapshots_csv(spark: SparkSession, path: str, recover: bool = False) -> tuple[DataFrame, DataFrame]:
     """Legacy CSV (embedded newlines, doubled quotes) -> (rows, quarantined rows).
 
     An unclosed quote swallows the following lines into ``description``; such
     rows are quarantined by the pattern "newline, then an 11-char id and a
-    YY.DD.MM date", as are rows Spark flags as malformed.
+    YY.DD.MM date", as are rows Spark flags as malformed. With ``recover`` the
+    records in quarantined text are parsed again (``recover_swallowed``).
     """
     df = (spark.read.schema(CSV_SCHEMA)
-          .options(header=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE",
-                   columnNameOfCorruptRecord="_corrupt_record")
+          .options(header=True, multiLine=True, mode="PERMISSIVE", **CSV_QUOTES)
           .csv(path)
           .withColumn("region", region_from_path(F.col("_metadata.file_path"))))
-    swallowed = F.coalesce(F.col("description").rlike(r"\n[^,\n]{11},\d{2}\.\d{2}\.\d{2},"),
-                           F.lit(False))
+    swallowed = F.coalesce(F.col("description").rlike(rf"\n{RECORD_START}"), F.lit(False))
     bad = swallowed | F.col("_corrupt_record").isNotNull()
-    return df.where(~bad).drop("_corrupt_record"), df.where(bad)
+    rows, quarantined = df.where(~bad).drop("_corrupt_record"), df.where(bad)
+    if not recover:
+        return rows, quarantined
+    recovered, lost = recover_swallowed(quarantined)
+    return rows.unionByName(recovered), lost
+
+
+def parsed_records(df: DataFrame, text: Column) -> DataFrame:
+    """The rows of ``df`` once for each piece of ``text`` that begins where a record does: ``_at`` (0: what stands before
+    the first boundary, or begins the text), ``_piece``, ``_record`` (its columns) and ``_whole``.
+
+    A piece is a whole record if it begins with an id and a date, closes every quote, fills all columns, and has numbers
+    and flags where they belong; anything else is not guessed at.
+    """
+    pieces = df.select("*", F.posexplode(F.split(text, rf"\n(?={RECORD_START})")).alias("_at", "_piece"))
+    pieces = pieces.withColumn("_piece", F.rtrim("_piece", F.lit("\r\n")))
+    pieces = pieces.withColumn("_record", F.from_csv("_piece", CSV_SCHEMA.simpleString()[7:-1].replace(":", " "), CSV_QUOTES))
+    record = F.col("_record")
+    checks = [F.col("_piece").rlike(f"^{RECORD_START}"), F.regexp_count("_piece", F.lit('"')) % 2 == 0, record["_corrupt_record"].isNull()]
+    checks += [record[c].try_cast("long").isNotNull() for c in ("views", "likes", "dislikes", "comment_count")]
+    checks += [F.upper(record[c]).isin("TRUE", "FALSE") for c in ("comments_disabled", "ratings_disabled", "video_error_or_removed")]
+    whole = checks[0]
+    for check in checks[1:]:
+        whole = whole & check
+    return pieces.withColumn("_whole", F.coalesce(whole, F.lit(False)))
+
+
+def recover_swallowed(quarantined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Quarantined rows -> (records found whole in their text, what is left in quarantine).
+
+    The text is the raw record where Spark kept it, else the description that swallowed the lines after it. Nothing is
+    lost: the broken row stays, cut at the first boundary, and a piece that is no whole record stays as a row of its own
+    with its text in ``_corrupt_record``.
+    """
+    raw = F.col("_corrupt_record").isNotNull()
+    pieces = parsed_records(quarantined, F.coalesce("_corrupt_record", "description", F.lit("")))
+    recovered = pieces.where("_whole").select(*[F.col(f"_record.{c}").alias(c) for c in CSV_COLUMNS], "region")
+    first = F.col("_at") == 0
+    before = {"description": F.split("description", rf"\n(?={RECORD_START})")[0]}
+    columns = [F.when(first, before.get(c, F.col(c))).alias(c) for c in CSV_COLUMNS]
+    lost = pieces.where("NOT _whole").select(*columns, F.when(raw | ~first, F.col("_piece")).alias("_corrupt_record"), "region")
+    return recovered, lost
 
 
 __all__ = ["read_snapshot_envelopes", "flatten_items", "api_to_silver", "read_snapshots_csv",
