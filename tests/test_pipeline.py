@@ -26,6 +26,11 @@ def test_run_silver_with_gate(spark, tmp_path):
     _land(landing, "gb", "2026-07-17", 3, _doc(items, region="gb"), "b.json")
     silver = pipeline.run_silver(spark, landing, str(tmp_path / "silver"), markets=["us"], gate=False)
     assert silver.count() == 12
+    observed = pipeline.run_silver(spark, landing, str(tmp_path / "s3"), markets=["us"], observed=True)
+    assert observed.count() == 12
+    with pytest.raises(RuntimeError, match="rows, at least"):
+        _land(str(tmp_path / "few"), "us", "2026-07-17", 3, _doc(items[:3]), "a.json")
+        pipeline.run_silver(spark, str(tmp_path / "few"), str(tmp_path / "s4"), observed=True)
     with pytest.raises(RuntimeError):
         pipeline.run_silver(spark, landing, str(tmp_path / "s2"), markets=["fr"], gate=False)
 

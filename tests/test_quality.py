@@ -124,3 +124,19 @@ assert r["passed"] and r["latest_record"].startswith("2026-07-15 14:00"), r
 def test_a_missing_path_is_a_failed_check(spark, tmp_path):
     found = quality.run_checks({"video_trends": str(tmp_path / "nothing")})
     assert [r["check"] for r in found["details"]] == ["read_table"] and not found["quality_passed"]
+
+
+def test_profile_observed_in_the_write_gives_the_same_report(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from trendspark.sinks import write_table
+    frames = [_clean(spark, 40, null_titles=6, views={1: -5, 2: 10**15}), _clean(spark, 12), _clean(spark, 12).limit(0)]
+    for i, frame in enumerate(frames):
+        frame = frame.withColumn("_processed_at", F.lit("2026-01-01 00:00:00").cast("timestamp")).drop("channel_title")
+        metrics, stamp = quality.profile_metrics(frame.columns, "clean_statistics")
+        path, now = str(tmp_path / str(i)), dt.datetime(2026, 1, 2, tzinfo=dt.timezone.utc)
+        seen = write_table(frame, path, ("region",), metrics=metrics)
+        profile = {"row": seen, "ts_column": stamp, "columns": set(frame.columns)}
+        written = spark.read.schema(frame.schema).parquet(path)
+        got = quality.check_table(written, "clean_statistics", now=now, profile=profile)
+        assert got == quality.check_table(written, "clean_statistics", now=now)

@@ -45,9 +45,9 @@ def _pct(nulls: str, rows: str) -> Column:
     return F.expr(f"CASE WHEN {rows} > 0 THEN {scaled(nulls, rows, 2, times=100)} ELSE 0.0D END")
 
 
-def table_profile(df: DataFrame, table: str, cfg: TrendConfig = DEFAULT) -> dict:
-    """One aggregate job: every count the non-key checks need."""
-    cols = set(df.columns)
+def profile_metrics(columns: list[str], table: str, cfg: TrendConfig = DEFAULT) -> tuple[list[Column], str | None]:
+    """Every count the non-key checks need, as aggregates over a table with these columns, and its time column."""
+    cols = set(columns)
     aggs = [F.count(F.lit(1)).alias("rows")]
     for col in CRITICAL_COLUMNS.get(table, []):
         if col in cols:
@@ -63,7 +63,13 @@ def table_profile(df: DataFrame, table: str, cfg: TrendConfig = DEFAULT) -> dict
         # as microseconds since 1970 in UTC: a timestamp would reach the driver in its own time zone
         aggs.append(F.unix_micros(F.max(F.col(ts).cast("string").try_cast("timestamp"))).alias("latest"))
         aggs.append(F.count(F.col(ts)).alias("ts_present"))
-    return {"row": df.agg(*aggs).first().asDict(), "ts_column": ts, "columns": cols}
+    return aggs, ts
+
+
+def table_profile(df: DataFrame, table: str, cfg: TrendConfig = DEFAULT) -> dict:
+    """One aggregate job over a table."""
+    aggs, ts = profile_metrics(df.columns, table, cfg)
+    return {"row": df.agg(*aggs).first().asDict(), "ts_column": ts, "columns": set(df.columns)}
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -77,8 +83,9 @@ def _check(check: str, table: str, passed: bool, message: str, **more) -> dict:
 
 
 def check_table(df: DataFrame, table: str, cfg: TrendConfig = DEFAULT,
-                now: datetime | None = None) -> list[dict]:
-    prof = table_profile(df, table, cfg)
+                now: datetime | None = None, profile: dict | None = None) -> list[dict]:
+    """All checks of a table; with the ``profile`` observed while it was written, only its key columns are read."""
+    prof = profile or table_profile(df, table, cfg)
     row, cols = prof["row"], prof["columns"]
     n, critical = int(row["rows"]), CRITICAL_COLUMNS.get(table, [])
     missing = sorted(set(critical) - cols)
@@ -130,15 +137,15 @@ def _uniqueness(df: DataFrame, table: str, cols: set, keys: list[str] | None = N
 
 
 def run_checks(tables: dict[str, DataFrame | str], cfg: TrendConfig = DEFAULT,
-               now: datetime | None = None) -> dict:
+               now: datetime | None = None, profiles: dict[str, dict] | None = None) -> dict:
     """Gate over several tables, given as frames or as paths; one that cannot be opened or read is a failed
-    ``read_table``."""
+    ``read_table``. ``profiles`` holds what writes observed."""
     results: list[dict] = []
     for name, df in tables.items():
         try:
             if isinstance(df, str):
                 df = SparkSession.active().read.parquet(df)
-            results.extend(check_table(df, name, cfg, now))
+            results.extend(check_table(df, name, cfg, now, (profiles or {}).get(name)))
         except Exception as exc:  # noqa: BLE001 - reported as a failed check
             results.append(_check("read_table", name, False, str(exc)))
     passed = sum(1 for r in results if r["passed"])

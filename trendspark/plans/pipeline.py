@@ -37,8 +37,12 @@ def _stamped(df: DataFrame, aggregated_at: Column | None) -> DataFrame:
 
 
 def run_silver(spark: SparkSession, landing: str, out_root: str, markets=None, dates=None,
-               processed_at: Column | None = None, gate: bool = True) -> DataFrame:
-    """Landed JSON -> clean_statistics (partitioned by market and date)."""
+               processed_at: Column | None = None, gate: bool = True, observed: bool = False) -> DataFrame:
+    """Landed JSON -> clean_statistics (partitioned by market and date).
+
+    The gate reads the whole written table. With ``observed`` it judges the rows of this run by counts taken while they
+    are written, and reads only the table's keys again.
+    """
     prepare(spark)
     env = snapshots.read_snapshot_envelopes(spark, landing, markets, dates)
     items = snapshots.flatten_items(env)
@@ -46,10 +50,12 @@ def run_silver(spark: SparkSession, landing: str, out_root: str, markets=None, d
         raise RuntimeError("no snapshot rows for the requested markets/dates")
     silver = snapshots.api_to_silver(items, "bronze_to_silver", processed_at)
     path = _path(out_root, "clean_statistics")
-    write_table(silver, path, ("region", "trending_date_parsed"))
+    metrics, stamp = quality.profile_metrics(silver.columns, "clean_statistics")
+    seen = write_table(silver, path, ("region", "trending_date_parsed"), metrics=metrics if gate and observed else None)
     written = spark.read.parquet(path)
     if gate:
-        quality.assert_quality(quality.run_checks({"clean_statistics": written}))
+        profiles = {"clean_statistics": {"row": seen, "ts_column": stamp, "columns": set(silver.columns)}} if observed else None
+        quality.assert_quality(quality.run_checks({"clean_statistics": written}, profiles=profiles))
     return written
 
 

@@ -10,7 +10,7 @@ over several tasks and merge small ones, instead of one task per value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 GOLD_PARTITIONS = {
@@ -22,14 +22,19 @@ GOLD_PARTITIONS = {
 }
 
 
-def write_table(df: DataFrame, path: str, partition_cols=(), whole: bool = False) -> None:
-    """Overwrite the partitions present in ``df``, or with ``whole`` the entire table."""
+def write_table(df: DataFrame, path: str, partition_cols=(), whole: bool = False, metrics: list[Column] | None = None) -> dict:
+    """Overwrite the partitions present in ``df``, or with ``whole`` the entire table; returns ``metrics``, aggregates
+    over the rows as they are written. They are taken after the last shuffle, where a task that runs again counts once."""
     out = df.hint("rebalance", *partition_cols) if partition_cols else df
+    seen = Observation() if metrics else None
+    if seen is not None:
+        out = out.observe(seen, *metrics)
     writer = (out.write.mode("overwrite").option("compression", "snappy")
               .option("partitionOverwriteMode", "static" if whole else "dynamic"))
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
+    return dict(seen.get) if seen is not None else {}
 
 
 def write_noop(df: DataFrame) -> None:
