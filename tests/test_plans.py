@@ -1,7 +1,10 @@
 """Physical-plan shape: pushdown, pruning, top-N, shuffle budget."""
 
+from pyspark.sql import functions as F
+
 from trendspark.plans.layers import Layers
 from trendspark.operators.ranking import top_n
+from trendspark.session import cut
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,3 +46,19 @@ def test_video_trends_shuffle_budget(spark):
 
 def test_category_lookup_is_broadcast(spark):
     assert "BroadcastHashJoin" in _plan(Layers(spark, SF).enriched)
+
+
+def test_opportunities_read_the_sources_once(spark):
+    """All three scopes, the categories' two uses included, read rows that were written once."""
+    assert "FileScan" not in _plan(Layers(spark, SF, "orders").opportunities)
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    def files():
+        names = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {n.split("/")[-1] for n in names.split("\n") if "/shuffle_" in n}
+
+    before = files()
+    assert cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()).count() == 7
+    left = files() - before  # the count has one small shuffle of its own
+    assert len({n.split("_")[1] for n in left}) <= 1

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.session import checkpoint_dir
+from trendspark import session
 
 #: Rows of an Arrow batch turned into Python objects at a time.
 SLICE_ROWS = 256
@@ -36,25 +36,10 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(run, schema)
 
 
-#: Spark removes an execution's shuffle files when it ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows without their lineage, written to the shared checkpoint folder; the shuffle files that made them go
-    at once, not when the driver happens to collect its garbage."""
-    spark = df.sparkSession
-    reachable(spark)
-    checkpoint_dir(spark)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        return df.select("*").checkpoint()  # a frame has the setting that holds when it is made
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+    """``session.cut`` with the library in the workers' reach."""
+    reachable(df.sparkSession)
+    return session.cut(df)
 
 
 def fresh(columns: list[str], *names: str) -> list[str]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
 from trendspark.operators import gold, opportunities, silver, trends
-from trendspark.session import checkpoint_dir, prepare
+from trendspark.session import checkpoint_dir, cut, prepare
 from trendspark.sources.bridges import SNAPSHOT_BRIDGES, category_reference
 
 FIXED_AS_OF = "2026-01-01 00:00:00"
@@ -53,21 +53,30 @@ class Layers:
     def enriched(self) -> DataFrame:
         return gold.add_category_name(self.silver, self.reference)
 
+    @cached_property
+    def written(self) -> DataFrame:
+        """What the channel, category and video tables read of ``enriched``, written once: each of them reads it several
+        times, and its joins are not done again."""
+        return cut(self.enriched.select(*trends.PUBLISHED, trends.DATE, "engagement_rate"))
+
     @cached_property
     def trending(self) -> DataFrame:
         return gold.build_trending_analytics(self.enriched)
 
     @cached_property
     def channel(self) -> DataFrame:
-        return gold.build_channel_analytics(self.enriched, self.cfg)
+        return gold.build_channel_analytics(self.written, self.cfg)
 
     @cached_property
     def category(self) -> DataFrame:
-        return gold.build_category_analytics(self.enriched, self.cfg)
+        return gold.build_category_analytics(self.__dict__.get("written", self.enriched), self.cfg)
 
     @cached_property
     def video_trends(self) -> DataFrame:
-        return trends.compute_video_trends(self.enriched, self.cfg)
+        written = self.__dict__.get("written")
+        if written is None:
+            written = cut(self.enriched.select(*trends.PUBLISHED, trends.DATE))
+        return trends.compute_video_trends(written, self.cfg)
 
     @cached_property
     def cross_market(self) -> DataFrame:
@@ -75,6 +84,8 @@ class Layers:
 
     @cached_property
     def opportunities(self) -> DataFrame:
+        if "category" not in self.__dict__:
+            self.written  # noqa: B018 - so that the categories read it too
         return opportunities.build_trend_opportunities(
             self.video_trends, self.category, self.cross_market, self.channel, self.cfg)
 
@@ -84,7 +95,8 @@ class Layers:
         if "enriched" not in self.__dict__:
             checkpoint_dir(self.spark)
             self.silver = self.silver.checkpoint()
-            for name in ("enriched", "category", "channel", "video_trends", "opportunities"):
+            self.enriched = self.written = self.enriched.checkpoint()
+            for name in ("category", "channel", "video_trends", "opportunities"):
                 setattr(self, name, getattr(self, name).checkpoint())
         return self
 

@@ -63,11 +63,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Spark removes an execution's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared checkpoint folder: frames that read them several times read one
-    result, and a lost executor's work is not done again from the sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    result, and a lost executor's work is not done again from the sources. The shuffle files that made them go at once,
+    not when the driver happens to collect its garbage."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()  # a frame has the setting that holds when it is made
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
 CLUSTER_DEFAULTS = {
