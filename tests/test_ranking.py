@@ -102,3 +102,17 @@ def test_three_exchanges_a_rank_and_the_input_planned_once(spark):
     assert dealt.count("Exchange ") == 2
     # the rows stay where they are; only the sums, one row for each (part, group), are dealt
     assert ranked.count("Exchange hashpartitioning") == 2 and "+- Exchange" not in ranked.split("Scan ExistingRDD")[0]
+
+
+def test_written_rows_are_not_dealt_again_for_their_sums(spark, monkeypatch):
+    plan = lambda: ranking.rank_within(df, G, "v", "r", "rank", True)._jdf.queryExecution().executedPlan().toString()
+    df = _frame(spark, "bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan()
+        monkeypatch.setattr(ranking, "SENT", 1)  # more groups than are sent: the same ranks by a dealt join
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert _values(ranking.rank_within(df, G, "v", "r", "rank", True)) == _values(_window(df, "rank", True))

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from trendspark.operators import opportunities, trends
+from trendspark.operators import opportunities, ranking, trends
 
 D = [dt.date(2026, 7, d) for d in range(1, 12)]
 SCHEMA = ("video_id string, region string, trending_date_parsed date, title string, views long, "
@@ -119,3 +119,20 @@ def test_union_has_three_scopes(spark):
     layers = Layers(spark, "/root/testdata/sf0.001")
     scopes = {r.scope for r in layers.opportunities.select("scope").distinct().collect()}
     assert scopes == {"VIDEO", "CATEGORY", "CHANNEL"}
+
+
+def test_only_the_rank_s_key_is_dealt_for_it(spark, monkeypatch):
+    seen, dealt = [], ranking.dealt
+    monkeypatch.setattr(ranking, "dealt", lambda df, *rest: seen.append(set(df.columns)) or dealt(df, *rest))
+    trends.compute_video_trends(spark.createDataFrame([], SCHEMA))
+    assert seen == [{"video_id", "region", "trending_date_parsed", "views"}]
+
+
+def test_ranks_of_repeated_and_null_keys_equal_the_window(spark):
+    rows = [(v, r, t, d, n, i) for i, (v, r, t, d, n) in enumerate(
+        (v, r, f"t{v}", d, n) for v in ("a", "b", None) for r in ("us", None) for d in ("2026-07-01", None) for n in (None, 5, 5, 9))]
+    df = spark.createDataFrame(rows, "video_id string, region string, title string, d string, views long, likes long").selectExpr(
+        "video_id", "region", "title", "CAST(d AS DATE) AS trending_date_parsed", "views", "likes", "0L AS comment_count", "0.0D AS like_rate", "0.0D AS comment_rate")
+    got = trends.compute_video_trends(df).selectExpr("likes", "rank_in_region", "title")
+    want = df.selectExpr("likes", "dense_rank() OVER (PARTITION BY region, trending_date_parsed ORDER BY views DESC NULLS LAST)", "title")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))

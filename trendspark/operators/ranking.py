@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from trendspark.session import cut
 
+#: Sums of so many (part, group) at most, a few hundred bytes each, are sent to every task.
+SENT = 50_000
+
 
 def dealt(df: DataFrame, group: list[str], value: str, tie_break=()) -> DataFrame:
     """``df`` with each row's part, and inside its (part, group) the place of the row, the first and last place of its
@@ -95,8 +98,13 @@ def _result(method: str, descending: bool, value: str) -> Column:
 def _placed(df: DataFrame, group: list[str], value: str, tie_break=()) -> DataFrame:
     """``df`` with the places of each row in its whole group."""
     rows = cut(dealt(df, group, value, tie_break))
-    # a (part, group) is at most a part, so the join has no large key; the rows are already dealt by it
-    joined = rows.join(_sums(rows, value), ["_part", "_group"])
+    # a (part, group) is at most a part, so the join has no large key. Written rows are known to lie by it only if the
+    # plan was not adaptive; otherwise the sums are sent to the rows, unless there are very many groups
+    sums = _sums(rows, value)
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if adaptive and rows.select("_part", "_group").distinct().limit(SENT + 1).count() <= SENT:
+        sums = F.broadcast(sums)
+    joined = rows.join(sums, ["_part", "_group"])
     return joined.withColumns({name: F.expr(sql) for name, sql in _GLOBAL.items()})
 
 
