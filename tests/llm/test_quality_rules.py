@@ -119,3 +119,21 @@ def test_trusted_documents_are_bounded_and_chosen_by_id(spark):
     some = {r.id for r in quality.trusted(labels, 500).collect()}
     assert 400 < len(some) < 600 and some == {r.id for r in quality.trusted(labels.repartition(7), 500).collect()}
     assert quality.trusted(labels, 4000).count() == 4000
+
+
+def test_every_trusted_document_is_learnt_from(spark):
+    labels = spark.range(200_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.trusted(labels).count() == 200_000
+
+
+def test_results_do_not_depend_on_how_trusted_ids_reach_the_scores(spark):
+    rows = [(i if i % 9 else None, " ".join(f"word{j * i % 97}" for j in range(70 + i)) if i % 7 else None) for i in range(60)]
+    docs, labels = spark.createDataFrame(rows * 2, DOC), spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(40)], LABELS)
+    found = lambda: sorted(map(str, quality.quality(docs, labels).collect()))
+    sent = found()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert found() == sent
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
